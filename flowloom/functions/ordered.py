@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from flowloom.functions.scalar import idiv, size_ns, window_id
-from flowloom.functions.sized import same_key_join, small_side
 
 #: Blocks per group of blocks.
 FAN = 4096
@@ -57,7 +56,7 @@ def _add_last(df, keys, block, order, values, inclusive, carried) -> DataFrame:
     here = _spec([*keys, block], order, 0 if inclusive else -1)
     local = df.select("*", *[F.last(v, ignorenulls=True).over(here).alias(f"_in_{n}") for n, v in values.items()])
     renamed = carried.select(*keys, block, *[F.col(n).alias(f"_up_{n}") for n in values])
-    out = same_key_join(local, renamed, [*keys, block])
+    out = local.join(renamed, [*keys, block], "left")
     return out.select(*df.columns, *[F.coalesce(f"_in_{n}", f"_up_{n}").alias(n) for n in values])
 
 
@@ -75,7 +74,7 @@ def _carry(tails: DataFrame, keys, block: str, names: list[str]) -> DataFrame:
     above = tops.select(
         *keys, "_group", *[F.last(n, ignorenulls=True).over(outer).alias(f"_t_{n}") for n in names]
     )
-    joined = same_key_join(local, above, [*keys, "_group"])
+    joined = local.join(above, [*keys, "_group"], "left")
     return joined.select(*keys, block, *[F.coalesce(f"_l_{n}", f"_t_{n}").alias(n) for n in names])
 
 
@@ -96,14 +95,14 @@ def running_total(
         .agg(*[F.sum(n).alias(n) for n in values])
         .select(*keys, "_group", *[F.sum(n).over(outer).alias(f"_t_{n}") for n in values])
     )
-    base = same_key_join(local, above, [*keys, "_group"]).select(
+    base = local.join(above, [*keys, "_group"], "left").select(
         *keys,
         block,
         *[(F.coalesce(f"_l_{n}", F.lit(0)) + F.coalesce(f"_t_{n}", F.lit(0))).alias(f"_up_{n}") for n in values],
     )
     here = _spec([*keys, block], order, 0)
     rows = df.select("*", *[F.sum(v).over(here).alias(f"_in_{n}") for n, v in values.items()])
-    out = same_key_join(rows, base, [*keys, block])
+    out = rows.join(base, [*keys, block], "left")
     return out.select(
         *df.columns,
         *[(F.coalesce(f"_in_{n}", F.lit(0)) + F.coalesce(f"_up_{n}", F.lit(0))).alias(n) for n in values],
@@ -154,9 +153,5 @@ def split_hot_groups(
     part = idiv(offset * F.coalesce(F.col("_slices"), F.lit(0)), ns)
     out = out.withColumn("slice_id", F.col("window_id") * F.lit(MAX_SLICES).cast("long") + part)
     out = out.withColumn("crowded", F.col("_slices").isNotNull()).drop("_slices")
-    return out.select(*[c for c in df.columns if c not in ("window_id",)], "window_id", "slice_id", "crowded"), "slice_id"
+    return out, "slice_id"
 
-
-__all__ = [
-    "last_before", "running_total", "row_numbers", "split_hot_groups", "small_side", "same_key_join",
-]

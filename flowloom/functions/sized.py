@@ -29,11 +29,6 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def same_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi-join; Spark picks the strategy from measured sizes."""
-    return left.join(right, list(keys), how)
-
-
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Store a lookup once and tell whether it is small enough to broadcast."""
     kept = keep(df)
@@ -41,7 +36,7 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, b
 
 
 def lookup_join(
-    big: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "left",
+    big: DataFrame, lookup: DataFrame | tuple[DataFrame, bool], keys: Sequence[str], spread: Sequence[str], how: str = "left",
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a lookup with one row per key to a table where some keys are crowded.
@@ -49,8 +44,9 @@ def lookup_join(
     The lookup is stored and counted.  Up to ``limit`` rows it is broadcast and the big side
     is not moved.  Beyond that the big side is salted by ``spread`` and each lookup row is
     repeated once per salt, so one crowded key is shared by ``SALTS`` tasks.
+    A pair from :func:`small_side` is taken as it is.
     """
-    kept, small = small_side(lookup, limit)
+    kept, small = lookup if isinstance(lookup, tuple) else small_side(lookup, limit)
     if small:
         return big.join(F.broadcast(kept), list(keys), how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))

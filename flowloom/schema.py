@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType()}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A flat layout from ``name type`` pairs; works before a session exists."""
+    fields = [item.split() for item in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 #: Identity of one directional flow as seen by one capture host.  A host is one
@@ -40,24 +45,21 @@ PACKETS = _struct(
 
 SYSTEM_EVENTS = _struct("host string, ts_ns bigint, event_type int, pid int, oom_score int")
 
-L7_FLOW = _struct(
+_L7_FLOW = (
     "IP struct<source:string, destination:string, source_xlated:string, destination_xlated:string>, "
     "l4 struct<TCP:struct<source_port:int, destination_port:int>, "
-    "          UDP:struct<source_port:int, destination_port:int>>, "
+    "UDP:struct<source_port:int, destination_port:int>>, "
     "l7 struct<http:struct<code:int, method:string, url:string>, "
-    "          grpc:struct<status_code:int, method:string>, "
-    "          dns:struct<rcode:int, query:string, rrs:array<string>>, "
-    "          kafka:struct<api_key:int, error_code:int>>, "
+    "grpc:struct<status_code:int, method:string>, "
+    "dns:struct<rcode:int, query:string, rrs:array<string>>, "
+    "kafka:struct<api_key:int, error_code:int>>, "
     "source struct<namespace:string, pod_name:string>, "
     "destination struct<service_name:string>, "
     "verdict string, drop_reason_desc string, Summary string"
 )
-#: One JSON line: the flow either sits under ``flow`` or is the whole object.  The
+#: One JSON line, as DDL: the flow either sits under ``flow`` or is the whole object.  The
 #: observing host, the observation time and an arrival number travel beside it.
-L7_LINE = T.StructType(
-    [T.StructField("flow", L7_FLOW), *L7_FLOW.fields]
-    + _struct("host string, ts_ns bigint, rec_id bigint").fields
-)
+L7_LINE = f"flow struct<{_L7_FLOW}>, {_L7_FLOW}, host string, ts_ns bigint, rec_id bigint"
 
 HOST_SAMPLES = _struct(
     "host string, ts_ns bigint, cpu_percent double, mem_percent double, mem_available_bytes bigint, "
