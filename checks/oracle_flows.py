@@ -10,8 +10,9 @@ def _q(q: str) -> str:
     )
 
 
-ORACLE = {
-    "packet_annotate": build(
+#: Query text and the shared expressions it reads.
+BODIES = {
+    "packet_annotate": (
         """select pkt_id, payload_size, own_errors as error_flags, l7_protocol, dns_flags,
              protocol = 6 and tcp_flags & 1 <> 0 as is_fin, protocol = 6 and tcp_flags & 2 <> 0 as is_syn,
              protocol = 6 and tcp_flags & 4 <> 0 as is_rst, protocol = 6 and tcp_flags & 8 <> 0 as is_psh,
@@ -19,7 +20,7 @@ ORACLE = {
            from annotated""",
         "annotated",
     ),
-    "packet_annotate_compat": build(
+    "packet_annotate_compat": (
         """select pkt_id,
              cast((case protocol when 6 then ip_total_len - 40 when 17 then udp_len - 8 else 0 end
                    + 4294967296) % 4294967296 as bigint) as payload_size,
@@ -32,13 +33,13 @@ ORACLE = {
            from packets""",
         "packets",
     ),
-    "ip_filter": build(
+    "ip_filter": (
         """select pkt_id, src_ip, dst_ip, packet_size from packets
            where (src_ip = '10.0.0.3' or dst_ip = '10.0.0.3') and packet_size > 0 and packet_size < 65536
              and protocol in (1, 6, 17)""",
         "packets",
     ),
-    "ip_number": build(
+    "ip_number": (
         """select src_ip,
              cast(split_part(src_ip, '.', 1) as bigint) * 16777216 + cast(split_part(src_ip, '.', 2) as bigint) * 65536
              + cast(split_part(src_ip, '.', 3) as bigint) * 256 + cast(split_part(src_ip, '.', 4) as bigint) as ip_number,
@@ -46,11 +47,11 @@ ORACLE = {
            from packets group by src_ip""",
         "packets",
     ),
-    "conn_track": build(
+    "conn_track": (
         """select pkt_id, window_id, prev_seq, retransmission, out_of_order, conn_state, error_flags from tracked""",
         "tracked",
     ),
-    "flow_core": build(
+    "flow_core": (
         f"""select {GROUP}, substr(md5(concat(src_ip, ':', src_port, '->', dst_ip, ':', dst_port, ':', protocol)), 1, 8)
              as flow_id,
              count(*) as packet_count, cast(sum(packet_size) as bigint) as byte_count,
@@ -64,7 +65,7 @@ ORACLE = {
            from valid group by {GROUP}""",
         "valid",
     ),
-    "flow_observed_rate": build(
+    "flow_observed_rate": (
         f"""with spans as (select {GROUP}, (max(ts_ns) - min(ts_ns)) / 1e9 as span from tracked group by {GROUP})
            select {GROUP}, round(count(*) / (case when any_value(span) = 0 then 0.001 else any_value(span) end), 6)
              as packets_per_second,
@@ -72,13 +73,13 @@ ORACLE = {
            from valid join spans using ({GROUP}) group by {GROUP}""",
         "valid",
     ),
-    "flow_latency": build(
+    "flow_latency": (
         f"""select *, case when latency_p50 > 0 then round(latency_p99 / latency_p50, 6) else 0.0 end as tail_latency_ratio
            from (select {GROUP}, {_q("0.50")} as latency_p50, {_q("0.95")} as latency_p95, {_q("0.99")} as latency_p99
                  from valid group by {GROUP})""",
         "valid",
     ),
-    "flow_retrans": build(
+    "flow_retrans": (
         f"""with rt as (
              select {GROUP}, ts_ns, pkt_id,
                case when ts_ns - lag(ts_ns) over (partition by {GROUP} order by ts_ns, pkt_id) < 1000000000
@@ -94,7 +95,7 @@ ORACLE = {
            from valid left join runs using ({GROUP}) group by {GROUP}""",
         "valid",
     ),
-    "flow_tcp_flags": build(
+    "flow_tcp_flags": (
         f"""select {GROUP},
              count(*) filter (protocol = 6 and tcp_flags & 4 <> 0) as tcp_resets,
              count(*) filter (protocol = 6 and tcp_flags & 4 <> 0) as rst_count,
@@ -115,7 +116,7 @@ ORACLE = {
            from valid group by {GROUP}""",
         "valid",
     ),
-    "flow_tcp_window": build(
+    "flow_tcp_window": (
         f"""with marks as (
              select *, case when tcp_window > 0 then ts_ns end as pos_ts,
                protocol = 6 and tcp_window = 0 and (prev_window is null or prev_window > 0) as opens from valid),
@@ -132,7 +133,7 @@ ORACLE = {
            from spans group by {GROUP}""",
         "valid",
     ),
-    "flow_ttl_payload": build(
+    "flow_ttl_payload": (
         f"""with sizes as (select {GROUP}, count(*) filter (packet_size > 0 and packet_size < 65536) as n_valid
                           from tracked group by {GROUP})
            select {GROUP}, min(case when ip_ttl > 0 then ip_ttl end) as ttl_min,
@@ -144,7 +145,7 @@ ORACLE = {
            from tracked join sizes using ({GROUP}) where n_valid > 0 group by {GROUP}""",
         "tracked",
     ),
-    "flow_l7_mode": build(
+    "flow_l7_mode": (
         f"""with votes as (
              select {GROUP}, l7_protocol, count(*) as n from tracked where l7_protocol > 0 group by {GROUP}, l7_protocol)
            select {GROUP}, coalesce((select v.l7_protocol from votes v
@@ -154,13 +155,13 @@ ORACLE = {
            from groups g""",
         "groups",
     ),
-    "flow_dns_compat": build(
+    "flow_dns_compat": (
         f"""select {GROUP}, greatest(0, count(*) filter (protocol = 17 and dst_port = 53)
                - count(*) filter (protocol = 17 and src_port = 53)) as dns_failures
            from tracked semi join groups using ({GROUP}) group by {GROUP}""",
         "groups",
     ),
-    "flow_dns_failures": build(
+    "flow_dns_failures": (
         f"""select {GROUP},
              count(*) filter (protocol = 17 and dst_port = 53) as dns_queries,
              count(*) filter (protocol = 17 and src_port = 53) as dns_responses,
@@ -170,7 +171,7 @@ ORACLE = {
            from tracked semi join groups using ({GROUP}) group by {GROUP}""",
         "groups",
     ),
-    "syn_cumulative": build(
+    "syn_cumulative": (
         """with per as (select host, src_ip, window_id,
                count(*) filter (protocol = 6 and tcp_flags & 18 = 2) as n from annotated group by all)
            select a.host, a.src_ip, a.window_id, a.n as syn_in_window,
@@ -180,7 +181,7 @@ ORACLE = {
            group by all""",
         "annotated",
     ),
-    "flow_syn": build(
+    "flow_syn": (
         f"""with syn as (select host, src_ip, window_id from annotated
                         where protocol = 6 and tcp_flags & 18 = 2),
            own as (select {GROUP}, protocol as proto, count(*) filter (protocol = 6 and tcp_flags & 18 = 18) as sa,
@@ -195,12 +196,13 @@ ORACLE = {
     ),
 }
 
+ORACLE = {name: build(body, *ctes) for name, (body, *ctes) in BODIES.items()}
 
-def _fold(threshold: int, select: str) -> str:
+
+def fold_steps(threshold: int, source: str = "packets") -> str:
     """The rate gate packet by packet: each step is the next packet of every source."""
-    return build(
-        f"""with ordered as materialized (select host, src_ip, pkt_id, ts_ns,
-              row_number() over (partition by host, src_ip order by ts_ns, pkt_id) as rn from packets),
+    return f"""ordered as materialized (select host, src_ip, pkt_id, ts_ns,
+              row_number() over (partition by host, src_ip order by ts_ns, pkt_id) as rn from {source}),
             fold as (
               select host, src_ip, pkt_id, ts_ns, rn, ts_ns as reset, 1 as n, 0 as dropped from ordered where rn = 1
               union all
@@ -210,11 +212,11 @@ def _fold(threshold: int, select: str) -> str:
                      when f.n + 1 > {threshold} then f.n else f.n + 1 end,
                 case when f.dropped = 1 then 1 when o.ts_ns - f.reset > 1000000000 then 0
                      when f.n + 1 > {threshold} then 1 else 0 end
-              from fold f join ordered o on o.host = f.host and o.src_ip = f.src_ip and o.rn = f.rn + 1)
-            {select}""",
-        "packets",
-        recursive=True,
-    )
+              from fold f join ordered o on o.host = f.host and o.src_ip = f.src_ip and o.rn = f.rn + 1)"""
+
+
+def _fold(threshold: int, select: str) -> str:
+    return build(f"with {fold_steps(threshold)} {select}", "packets", recursive=True)
 
 
 ORACLE["flood_gate"] = _fold(12, "select pkt_id, host, src_ip, dropped from fold")

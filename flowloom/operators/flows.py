@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowloom import schema as S
 from flowloom.functions.scalar import NS, clamp, flow_id, has_flag, idiv, ratio, state_name
-from flowloom.functions.sized import lookup_join
+from flowloom.functions.sized import lookup_join, small_side
 from flowloom.operators.connections import MAX_ROWS, track_connections
 from flowloom.operators.packets import valid_size
 
@@ -151,7 +151,7 @@ def flow_features(
     packets: DataFrame,
     size_s: float = 5.0,
     rate_base: str = "window",
-    syn: DataFrame | None = None,
+    syn: DataFrame | tuple[DataFrame, bool] | None = None,
     max_rows: int | None = MAX_ROWS,
     rcode_mask: int = 3,
 ) -> DataFrame:
@@ -227,14 +227,15 @@ def flow_features(
     return _with_syn(base, syn).drop("_handshake")
 
 
-def _with_syn(base: DataFrame, syn: DataFrame | None) -> DataFrame:
+def _with_syn(base: DataFrame, syn: DataFrame | tuple[DataFrame, bool] | None) -> DataFrame:
     """Add the SYN features, from the source's total where it is known."""
     own = F.col("syn_count_flow")
     if syn is None:
         joined, count = base, own
     else:
-        totals = syn.select(*S.SOURCE, "window_id", F.col("syn_at_close").alias("_syn")).filter(F.col("_syn") > 0)
-        joined = lookup_join(base, totals, [*S.SOURCE, "window_id"], spread=["dst_ip", "dst_port", "src_port"])
+        table, small = syn if isinstance(syn, tuple) else small_side(syn)
+        totals = table.select(*S.SOURCE, "window_id", F.col("syn_at_close").alias("_syn")).filter(F.col("_syn") > 0)
+        joined = lookup_join(base, (totals, small), [*S.SOURCE, "window_id"], spread=["dst_ip", "dst_port", "src_port"])
         count = F.coalesce(F.col("_syn"), own)
     count = F.when(F.col("tcp_count") > 0, count).otherwise(F.lit(0)).cast("long")
     answered = F.col("syn_ack_count")
