@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowloom import schema as S
 from flowloom.functions.ordered import last_before, split_hot_groups
 from flowloom.functions.scalar import CONVERSATION, endpoint_order, is_ipv4, size_ns, window_id
+from flowloom.functions.sized import keep
 from flowloom.operators.connections import MAX_ROWS
 from flowloom.operators.flows import GROUP
 
@@ -34,25 +35,24 @@ def parse_l7(lines: DataFrame) -> DataFrame:
 
     Lines that are no JSON, have no TCP or UDP part or no IPv4 addresses are left out.
     """
-    raw = lines.select(F.from_json("value", S.L7_LINE).alias("r"))
+    # Generators run once per line; a plain projection would be copied into the filter below.
+    raw = lines.select(F.inline(F.array(F.from_json("value", S.L7_LINE))))
     parts = ["IP", "l4", "l7", "source", "destination", "verdict", "drop_reason_desc", "Summary"]
-    flow = raw.select(
-        *[F.when(F.col("r.flow").isNotNull(), F.col(f"r.flow.{p}")).otherwise(F.col(f"r.{p}")).alias(p) for p in parts],
-        "r.host", "r.ts_ns", "r.rec_id",
-    )
+    flow = raw.select("host", "ts_ns", "rec_id", F.inline(F.array(F.coalesce("flow", F.struct(*parts)))))
     text = lambda path: F.coalesce(F.col(path), F.lit(""))
     number = lambda path: F.coalesce(F.col(path), F.lit(0))
     tcp, udp = F.col("l4.TCP").isNotNull(), F.col("l4.UDP").isNotNull()
-    port = lambda side: F.when(tcp, number(f"l4.TCP.{side}_port")).otherwise(number(f"l4.UDP.{side}_port"))
-    http, grpc, dns, kafka = (F.col(f"l7.{kind}") for kind in ("http", "grpc", "dns", "kafka"))
-    kind = (
-        F.when(http.isNotNull(), F.lit("http"))
-        .when(grpc.isNotNull(), F.lit("grpc"))
-        .when(dns.isNotNull(), F.lit("dns"))
-        .when(kafka.isNotNull(), F.lit("kafka"))
-        .otherwise(F.lit(""))
-    )
-    of = lambda name, value, default: F.when(kind == name, value).otherwise(F.lit(default))
+    port = lambda side: F.coalesce(f"l4.TCP.{side}_port", f"l4.UDP.{side}_port", F.lit(0))
+    kinds = ["http", "grpc", "dns", "kafka"]
+    kind = F.coalesce(*[F.when(F.col(f"l7.{k}").isNotNull(), F.lit(k)) for k in kinds], F.lit(""))
+
+    def of(name: str, value: Column, default) -> Column:
+        """A field of one kind of record; kinds listed earlier take precedence."""
+        mine = F.col(f"l7.{name}").isNotNull()
+        for other in kinds[: kinds.index(name)]:
+            mine = mine & F.col(f"l7.{other}").isNull()
+        return F.when(mine, value).otherwise(F.lit(default))
+
     out = flow.filter((tcp | udp) & is_ipv4("IP.source") & is_ipv4("IP.destination"))
     return out.select(
         "host", "ts_ns", "rec_id",
@@ -89,7 +89,8 @@ def nat_carry(l7: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_RO
     """
     ttl = size_ns(ttl_s)
     rows, block = split_hot_groups(l7.withColumns(endpoint_order()), CONVERSATION, ttl_s, max_rows)
-    rows = last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")})
+    # Every pass reads its input twice; storing the first keeps the plan from doubling again.
+    rows = keep(last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")}))
     pos = F.struct(*RECORD)
     fresh = F.col("_prev_ts").isNull() | (F.col("ts_ns") - F.col("_prev_ts") > ttl)
     values = {}
@@ -143,7 +144,8 @@ def merge_l7(l7: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROW
     """
     ttl = size_ns(ttl_s)
     rows, block = split_hot_groups(l7, S.FLOW, ttl_s, max_rows)
-    rows = last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")})
+    # Every pass reads its input twice; storing the first keeps the plan from doubling again.
+    rows = keep(last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")}))
     pos = F.struct(*RECORD)
     fresh = F.col("_prev_ts").isNull() | (F.col("ts_ns") - F.col("_prev_ts") > ttl)
     values = {
@@ -162,7 +164,12 @@ def merge_l7(l7: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROW
 
 def l7_entries(lines: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """From JSON lines to merged entries, ready for :func:`enrich_l7`."""
-    return merge_l7(nat_expand(nat_carry(parse_l7(lines), ttl_s, max_rows)), ttl_s, max_rows)
+    return entries_of(parse_l7(lines), ttl_s, max_rows)
+
+
+def entries_of(records: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """From parsed records to merged entries, stored once because matching reads them repeatedly."""
+    return keep(merge_l7(nat_expand(nat_carry(keep(records), ttl_s, max_rows)), ttl_s, max_rows))
 
 
 def match_l7(

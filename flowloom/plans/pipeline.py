@@ -84,8 +84,7 @@ def build_features(
     waits = dns.dns_latency(dns.dns_match(seen, size_s=s.size_s, max_rows=s.max_rows))
     rows = rows.join(waits.drop("dns_queries", "dns_unanswered"), flows.GROUP, "left")
     if l7_records is not None:
-        entries = l7.merge_l7(l7.nat_expand(l7.nat_carry(l7_records, s.ttl_s)), s.ttl_s)
-        rows = l7.enrich_l7(rows, seen, entries, s.size_s, s.ttl_s)
+        rows = l7.enrich_l7(rows, seen, l7.entries_of(l7_records, s.ttl_s), s.size_s, s.ttl_s)
     hosts = None
     if host_features is not None:
         hosts = small_side(host_features)
