@@ -319,7 +319,7 @@ def _features() -> tuple[str, list[str]]:
       select cast((window_id + 1) * 5 as bigint) as "timestamp", flow_id, src_ip, dst_ip, src_port, dst_port, protocol,
         l7_protocol, packet_count, byte_count, packets_per_second, bytes_per_second, avg_packet_size, retransmission_count,
         retransmission_rate, consecutive_retrans, out_of_order_count, tcp_resets, zero_window_count, zero_window_duration,
-        syn_count, syn_ack_count, syn_to_synack_ratio, fin_count, rst_count, psh_count, 0 as duplicate_acks, ttl_min, ttl_avg,
+        syn_count, flow_syn_part.syn_ack_count, syn_to_synack_ratio, fin_count, rst_count, psh_count, 0 as duplicate_acks, ttl_min, ttl_avg,
         ttl_stddev, payload_entropy, dns_failures, connection_state, connection_duration,
         case when syn_count > 0 then hand else 0 end as handshake_latency, error_rate, half_open_connections,
         cast(coalesce(block_ts < (window_id + 2) * 5000000000, false) as int) as is_blocked_flow,
@@ -391,8 +391,8 @@ _FLAGS = [
 ]
 _LABEL = "case " + " ".join(f"when {f} then {i + 1}" for i, f in enumerate(_FLAGS)) + " else 0 end"
 _LISTED = (
-    "array_to_string(list_filter([" + ", ".join(f"case when {f} then {i + 1} end" for i, f in enumerate(_FLAGS))
-    + "], x -> x is not null), ',')"
+    "array_to_string([x for x in [" + ", ".join(f"case when {f} then {i + 1} end" for i, f in enumerate(_FLAGS))
+    + "] if x is not null], ',')"
 )
 _RULED = f"with ruled as (select *, {_LABEL} as rule_label, {_LISTED} as fault_labels from ({_RULES}))"
 _RULED = _RULED.replace("with ruled", ", ruled", 1)
