@@ -79,9 +79,17 @@ def _carry(tails: DataFrame, keys, block: str, names: list[str]) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], values: dict[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    block: str,
+    order: Sequence[str],
+    values: dict[str, Column],
+    whole: bool = False,
 ) -> DataFrame:
-    """Add cumulative sums over all rows of the key up to and including the current one."""
+    """Add cumulative sums over all rows of the key up to and including the current one.
+
+    With ``whole``, also add the sum over all rows of the key as ``<name>_all``.
+    """
     sums = (
         df.select(*keys, block, *[v.alias(n) for n, v in values.items()])
         .groupBy(*keys, block)
@@ -93,12 +101,19 @@ def running_total(
     above = (
         grouped.groupBy(*keys, "_group")
         .agg(*[F.sum(n).alias(n) for n in values])
-        .select(*keys, "_group", *[F.sum(n).over(outer).alias(f"_t_{n}") for n in values])
+        .select(
+            *keys,
+            "_group",
+            *[F.sum(n).over(outer).alias(f"_t_{n}") for n in values],
+            *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"{n}_all") for n in values if whole],
+        )
     )
+    totals = [f"{n}_all" for n in values if whole]
     base = local.join(above, [*keys, "_group"], "left").select(
         *keys,
         block,
         *[(F.coalesce(f"_l_{n}", F.lit(0)) + F.coalesce(f"_t_{n}", F.lit(0))).alias(f"_up_{n}") for n in values],
+        *totals,
     )
     here = _spec([*keys, block], order, 0)
     rows = df.select("*", *[F.sum(v).over(here).alias(f"_in_{n}") for n, v in values.items()])
@@ -106,12 +121,15 @@ def running_total(
     return out.select(
         *df.columns,
         *[(F.coalesce(f"_in_{n}", F.lit(0)) + F.coalesce(f"_up_{n}", F.lit(0))).alias(n) for n in values],
+        *totals,
     )
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], name: str) -> DataFrame:
-    """Add the 1-based position of each row inside its key."""
-    return running_total(df, keys, block, order, {name: F.lit(1).cast("long")})
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], name: str, whole: bool = False
+) -> DataFrame:
+    """Add the 1-based position of each row inside its key, with ``whole`` also the key's rows."""
+    return running_total(df, keys, block, order, {name: F.lit(1).cast("long")}, whole)
 
 
 def split_hot_groups(

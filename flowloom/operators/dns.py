@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from flowloom import schema as S
 from flowloom.functions.ordered import last_before, row_numbers, split_hot_groups
 from flowloom.functions.scalar import CONVERSATION, endpoint_order, has_flag, idiv
-from flowloom.functions.sized import lookup_join
 from flowloom.operators.connections import MAX_ROWS
 from flowloom.operators.flows import GROUP, rank_index
 
@@ -58,12 +57,9 @@ def dns_latency(matches: DataFrame) -> DataFrame:
         F.avg("latency_ns").alias("_mean"),
     )
     answered = matches.filter(F.col("latency_ns").isNotNull()).withColumn("_slice", idiv("latency_ns", _LATENCY_SLICE))
-    ranked = row_numbers(answered, GROUP, "_slice", ["latency_ns", "pkt_id"], "_rank")
-    wanted = totals.filter(F.col("_n") > 0).select(*GROUP, (rank_index(F.col("_n"), 0.95) + 1).alias("_at"))
-    p95 = (
-        lookup_join(ranked, wanted, GROUP, spread=["pkt_id"], how="inner")
-        .filter(F.col("_rank") == F.col("_at"))
-        .select(*GROUP, F.col("latency_ns").alias("_p95"))
+    ranked = row_numbers(answered, GROUP, "_slice", ["latency_ns", "pkt_id"], "_rank", whole=True)
+    p95 = ranked.filter(F.col("_rank") == rank_index(F.col("_rank_all"), 0.95) + 1).select(
+        *GROUP, F.col("latency_ns").alias("_p95")
     )
     return totals.join(p95, GROUP, "left").select(
         *GROUP,

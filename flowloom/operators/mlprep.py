@@ -100,10 +100,15 @@ def sequences(
 
 def feature_corr(features: DataFrame, names: Sequence[str], label: str = "anomaly_label") -> DataFrame:
     """Correlation of each feature with the label, in one pass; null where either is constant."""
-    target = F.col(label).cast("double")
-    wide = features.agg(*[F.corr(F.col(c).cast("double"), target).alias(c) for c in names])
+    y = F.col(label).cast("double")
+
+    def corr(name: str) -> Column:
+        x = F.col(name).cast("double")
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = features.agg(*[corr(c).alias(c) for c in names])
     listed = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in names])
-    return wide.select(F.inline(listed)).withColumn("correlation", F.nanvl("correlation", F.lit(None).cast("double")))
+    return wide.select(F.inline(listed))
 
 
 def fit_baseline(features: DataFrame, names: Sequence[str], label: str = "anomaly_label", trees: int = 20, seed: int = 7):
