@@ -15,9 +15,10 @@ from flowloom.operators.flows import MAX_AVG_SIZE, MAX_BPS, MAX_PPS, MIN_AVG_SIZ
 from flowloom.operators.packets import valid_size
 
 
-def event_time(packets: DataFrame) -> DataFrame:
-    """Add the event time ``ts`` in microseconds that windows and watermarks need."""
-    return packets.withColumn("ts", F.timestamp_micros(F.call_function("div", F.col("ts_ns"), F.lit(1000).cast("long"))))
+def event_time(packets: DataFrame, epoch_s: int = 0) -> DataFrame:
+    """Add the event time ``ts`` that windows and watermarks need, from ``epoch_s`` on."""
+    micros = F.call_function("div", F.col("ts_ns"), F.lit(1000).cast("long")) + F.lit(epoch_s * 1_000_000)
+    return packets.withColumn("ts", F.timestamp_micros(micros))
 
 
 def _gaps(times: Column) -> Column:

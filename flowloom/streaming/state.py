@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom import schema as S
 from flowloom.functions.scalar import size_ns
+from flowloom.streaming.flows import event_time
 
 _GATE_STATE = "reset bigint, n bigint, blocked boolean"
 _SEQ_STATE = "last_seq bigint"
@@ -60,8 +61,8 @@ def stream_flood_gate(packets: DataFrame, threshold: int = 500, window_s: float
 def stream_prev_seq(packets: DataFrame, ttl_s: float = 300.0) -> DataFrame:
     """TCP packets with ``prev_seq``, the sequence number before them in their flow.
 
-    State per flow: the last sequence number, forgotten after ``ttl_s`` seconds without a
-    packet so that ended flows do not pile up.
+    State per flow: the last sequence number, forgotten once the watermark is ``ttl_s`` seconds
+    past the flow's last packet, so that ended flows do not pile up.
     """
     columns = packets.columns
     ttl_ms = int(ttl_s * 1000)
@@ -77,10 +78,12 @@ def stream_prev_seq(packets: DataFrame, ttl_s: float = 300.0) -> DataFrame:
         if state.exists:
             before.iloc[0] = state.get[0]
         state.update((int(rows["tcp_seq"].iloc[-1]),))
-        state.setTimeoutDuration(ttl_ms)
+        newest = int(rows["ts_ns"].iloc[-1]) // 1_000_000 + 1000
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + ttl_ms)
         yield rows[columns].assign(prev_seq=before)
 
-    tcp = packets.filter(packets["protocol"] == S.TCP)
+    # Rows at or before the watermark, at first 0, count as late; time starts behind it.
+    tcp = event_time(packets.filter(packets["protocol"] == S.TCP), epoch_s=1).withWatermark("ts", f"{ttl_ms} milliseconds")
     return tcp.groupBy(*S.FLOW).applyInPandasWithState(
-        track, _with(packets, "prev_seq", T.LongType()), _SEQ_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        track, _with(packets, "prev_seq", T.LongType()), _SEQ_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
