@@ -169,7 +169,8 @@ def l7_entries(lines: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MA
 
 def entries_of(records: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """From parsed records to merged entries, stored once because matching reads them repeatedly."""
-    return keep(merge_l7(nat_expand(nat_carry(keep(records), ttl_s, max_rows)), ttl_s, max_rows))
+    known = keep(nat_expand(nat_carry(keep(records), ttl_s, max_rows)))
+    return keep(merge_l7(known, ttl_s, max_rows))
 
 
 def match_l7(
