@@ -12,7 +12,9 @@ the finer slices :func:`split_hot_groups` makes of crowded windows.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +33,16 @@ def _spec(keys: Sequence[str], order: Sequence[str], frame_end: int) -> WindowSp
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
 
 
+def _with_group(df: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
+    """Add the group of blocks a row lies in.
+
+    Per-block rows are used twice.  Grouping by ``_group`` as well and naming the null checks
+    that the joins imply makes both uses equal below the exchange, so Spark runs it once.
+    """
+    grouped = df.withColumn("_group", idiv(block, FAN))
+    return grouped.filter(functools.reduce(operator.and_, [F.col(c).isNotNull() for c in (*keys, "_group", block)]))
+
+
 def last_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,8 +57,9 @@ def last_before(
     time to look forward.
     """
     tails = (
-        df.select(*keys, block, F.struct(*order).alias("_pos"), *[v.alias(n) for n, v in values.items()])
-        .groupBy(*keys, block)
+        _with_group(df, keys, block)
+        .select(*keys, "_group", block, F.struct(*order).alias("_pos"), *[v.alias(n) for n, v in values.items()])
+        .groupBy(*keys, "_group", block)
         .agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_pos"))).alias(n) for n in values])
     )
     return _add_last(df, keys, block, order, values, inclusive, _carry(tails, keys, block, list(values)))
@@ -62,12 +75,11 @@ def _add_last(df, keys, block, order, values, inclusive, carried) -> DataFrame:
 
 def _carry(tails: DataFrame, keys, block: str, names: list[str]) -> DataFrame:
     """Per block: the last non-null value over all earlier blocks of the key."""
-    grouped = tails.withColumn("_group", idiv(block, FAN))
     inner = _spec([*keys, "_group"], [block], -1)
-    local = grouped.select(
+    local = tails.select(
         *keys, block, "_group", *[F.last(n, ignorenulls=True).over(inner).alias(f"_l_{n}") for n in names]
     )
-    tops = grouped.groupBy(*keys, "_group").agg(
+    tops = tails.groupBy(*keys, "_group").agg(
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(block))).alias(n) for n in names]
     )
     outer = _spec(keys, ["_group"], -1)
@@ -90,12 +102,12 @@ def running_total(
 
     With ``whole``, also add the sum over all rows of the key as ``<name>_all``.
     """
-    sums = (
-        df.select(*keys, block, *[v.alias(n) for n, v in values.items()])
-        .groupBy(*keys, block)
+    grouped = (
+        _with_group(df, keys, block)
+        .select(*keys, "_group", block, *[v.alias(n) for n, v in values.items()])
+        .groupBy(*keys, "_group", block)
         .agg(*[F.sum(n).alias(n) for n in values])
     )
-    grouped = sums.withColumn("_group", idiv(block, FAN))
     inner, outer = _spec([*keys, "_group"], [block], -1), _spec(keys, ["_group"], -1)
     local = grouped.select(*keys, block, "_group", *[F.sum(n).over(inner).alias(f"_l_{n}") for n in values])
     above = (
