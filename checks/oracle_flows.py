@@ -57,7 +57,7 @@ BODIES = {
              count(*) as packet_count, cast(sum(packet_size) as bigint) as byte_count,
              round(count(*) / 5.0, 6) as packets_per_second, round(sum(packet_size) / 5.0, 6) as bytes_per_second,
              round(greatest(40, least(9000, sum(packet_size) / count(*))), 6) as avg_packet_size,
-             5.0 as connection_duration,
+             cast(5.0 as double) as connection_duration,
              coalesce(round(avg(gap_ns) / 1e6, 6), 0) as inter_arrival_mean_ms,
              coalesce(round(stddev_samp(gap_ns) / 1e6, 6), 0) as inter_arrival_std_ms,
              coalesce(round((case when avg(gap_ns) > 0 then coalesce(stddev_samp(gap_ns), 0) / 1e6 / (avg(gap_ns) / 1e6)
@@ -233,9 +233,9 @@ ORACLE["blocked_rows"] = _fold(
        select cast((block_ts // 5000000000 + 1) * 5 as bigint) as "timestamp",
          substr(md5(concat('BLOCKED_', src_ip)), 1, 8) as flow_id, src_ip, '0.0.0.0' as dst_ip, 0 as src_port, 0 as dst_port,
          6 as protocol, cast(10 as bigint) as packet_count, cast(600 as bigint) as byte_count,
-         10.0 as packets_per_second, 600.0 as bytes_per_second, 60.0 as avg_packet_size, 1 as is_blocked_flow,
-         cast(coalesce(syn, 10) as bigint) as syn_count, cast(0 as bigint) as syn_ack_count, 9999.0 as syn_to_synack_ratio,
-         cast(10 as bigint) as half_open_connections, 'NEW' as connection_state, 0.0 as error_rate,
+         cast(10.0 as double) as packets_per_second, cast(600.0 as double) as bytes_per_second, cast(60.0 as double) as avg_packet_size, 1 as is_blocked_flow,
+         cast(coalesce(syn, 10) as bigint) as syn_count, cast(0 as bigint) as syn_ack_count, cast(9999.0 as double) as syn_to_synack_ratio,
+         cast(10 as bigint) as half_open_connections, 'NEW' as connection_state, cast(0.0 as double) as error_rate,
          2 as anomaly_label, 3 as anomaly_severity, 1 as remediation_action
        from b left join s using (host, src_ip)""",
 )

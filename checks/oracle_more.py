@@ -319,7 +319,7 @@ def _features() -> tuple[str, list[str]]:
       select cast((window_id + 1) * 5 as bigint) as "timestamp", flow_id, src_ip, dst_ip, src_port, dst_port, protocol,
         l7_protocol, packet_count, byte_count, packets_per_second, bytes_per_second, avg_packet_size, retransmission_count,
         retransmission_rate, consecutive_retrans, out_of_order_count, tcp_resets, zero_window_count, zero_window_duration,
-        syn_count, flow_syn_part.syn_ack_count, syn_to_synack_ratio, fin_count, rst_count, psh_count, 0 as duplicate_acks, ttl_min, ttl_avg,
+        syn_count, flow_syn_part.syn_ack_count, syn_to_synack_ratio, fin_count, rst_count, psh_count, cast(0 as bigint) as duplicate_acks, ttl_min, ttl_avg,
         ttl_stddev, payload_entropy, dns_failures, connection_state, connection_duration,
         case when syn_count > 0 then hand else 0 end as handshake_latency, error_rate, half_open_connections,
         cast(coalesce(block_ts < (window_id + 2) * 5000000000, false) as int) as is_blocked_flow,
