@@ -1,8 +1,10 @@
-"""Joins whose broadcast side is measured, and results kept once instead of recomputed."""
+"""Results stored once in shared storage, and joins that leave the choice of strategy to measured file sizes."""
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +16,40 @@ BROADCAST_ROWS = 100_000
 SALTS = 16
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="flowloom-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, else a local one for tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="flowloom-")
+    """Shared folder for stored intermediate tables.
+
+    The session names it in ``spark.checkpoint.dir`` (or by ``setCheckpointDir``).  A folder of
+    this machine is used only for a local master, where all tasks see it; on a cluster a missing
+    setting is an error, because executors would write to their own disks.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_root()
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new, unused path below the shared folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/flowloom/{uuid.uuid4().hex}"
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and store it in the checkpoint folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(spark))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, store it as Parquet in the shared folder and read it from there.
+
+    Cuts the lineage, survives lost executors, keeps columns and statistics, and gives later
+    joins a measured size.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
