@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, mixing, secrets
+from flowloom.llm import decontaminate, mixing, near_dedup, secrets
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.group_documents(read(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark, sf_dir):
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select(
@@ -27,5 +31,10 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op5_mixing": op5_mixing, "op8_decontaminate": op8_decontaminate}
+QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_mixing": op5_mixing,
+    "op8_decontaminate": op8_decontaminate,
+}
 ORACLE: dict[str, str] = {}
