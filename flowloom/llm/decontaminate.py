@@ -1,9 +1,11 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The corpus counts of all benchmark terms choose the two rarest positions of each benchmark window.
-Postings (document, position) are made for these terms only, shifted by the term's offset in the
-item, and intersected: a window can occur only where both shifted positions agree.  What is left is
-compared word by word.  DataFrame functions only.
+Postings of the rarest terms (document, position, words around it) are stored.  Shifted by the term's
+offset in the item they are intersected with the second rarest term, exactly or within a few words,
+and what is left is compared word by word.  Texts are read for the counts, the index and the word
+counts of the result, and never shuffled.  Terms are matched under Unicode's lower case, a coarser rule
+than A-Z that cannot lose a match; the final comparison is exact.  DataFrame functions only.
 
 Defined cases: null texts have no words; an item with fewer words than a window is one window;
 items without words match nothing; a null item id is shown as ``null``; repeated documents are each
@@ -21,6 +23,8 @@ from flowloom.functions.sized import keep
 
 #: Everything between words, after lower-casing A-Z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before lower-casing.
+SEPARATOR_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -32,119 +36,111 @@ def words(lowered: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), SEPARATOR, -1), "")
 
 
+def words_as_written(text: Column) -> Column:
+    """The same words in their own letter case."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATOR_ANY_CASE, -1), "")
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     """Rows equal in id and text get equal results, so id and text hash are key enough."""
     return documents.select(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("text"))
 
 
-def anchors(documents: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """Per run of windows that share their two rarest positions: ``pairs``; per such position: ``roles``.
+def runs(documents: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """Runs of consecutive windows of an item that share their two rarest positions, by corpus counts.
 
-    Lower-casing here is Unicode's, a coarser rule than A-Z that cannot lose a match; the final
-    comparison is exact.
+    ``item, len`` (window length), ``part`` (the words the run covers), ``k1, k2`` (places of the
+    rarest and second rarest word in it) and ``term``, the rarest word, lower-cased.
     """
     items = keep(
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), words(ascii_lower(F.col("text"))).alias("iw"))
         .filter(F.size("iw") > 0)
         .distinct()
     )
-    counted = (
-        documents.select(F.explode(words(F.lower("text"))).alias("term"))
-        .join(items.select(F.explode("iw").alias("term")).select(F.lower("term").alias("term")).distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    frequency = keep(counted)
+    vocabulary = keep(items.select(F.explode("iw").alias("term")).select(F.lower("term").alias("term")).distinct())
+    counted = documents.select(F.explode(words(F.lower("text"))).alias("term")).join(vocabulary, "term", "left_semi")
+    frequency = keep(counted.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     length = F.least(F.size("iw"), F.lit(window))
     starts = items.withColumn("len", length).withColumn("w", F.explode(F.sequence(F.lit(0), F.size("iw") - length)))
     spots = starts.withColumn("q", F.explode(F.sequence(F.col("w"), F.col("w") + F.col("len") - 1)))
     spots = spots.withColumn("term", F.lower(F.element_at("iw", F.col("q") + 1)))
-    ranked = spots.join(frequency, "term", "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("item", "iw", "w").orderBy(F.coalesce("n", F.lit(0)), "q"))
-    )
-    two = ranked.filter("rank <= 2").groupBy("item", "iw", "w", "len")
-    chosen = two.agg(F.min_by("q", "rank").alias("q1"), F.max_by("q", "rank").alias("q2"))
-    runs = chosen.groupBy("item", "iw", "len", "q1", "q2").agg(F.min("w").alias("lo"), (F.max("w") - F.min("w") + F.first("len")).alias("span"))
-    pairs = keep(runs.select("*", F.xxhash64("item", "iw", "q1", "q2").alias("aid"), F.expr("slice(iw, lo + 1, span)").alias("part")).drop("iw"))
-    pairs_words = runs.select(F.xxhash64("item", "iw", "q1", "q2").alias("aid"), "iw", "q1", "q2", "lo", "span")
-    roles = pairs_words.select(
-        "aid", "lo", "span",
-        F.explode(F.array(F.struct(F.lit(1).alias("role"), F.col("q1").alias("q"), F.element_at("iw", F.col("q1") + 1).alias("term")),
-                          F.struct(F.lit(2).alias("role"), F.col("q2").alias("q"), F.element_at("iw", F.col("q2") + 1).alias("term")))).alias("r"),
+    by_rarity = Window.partitionBy("item", "iw", "w").orderBy(F.coalesce("n", F.lit(0)), "q")
+    ranked = spots.join(frequency, "term", "left").withColumn("rank", F.row_number().over(by_rarity)).filter("rank <= 2")
+    chosen = ranked.groupBy("item", "iw", "w", "len").agg(F.min_by("q", "rank").alias("q1"), F.max_by("q", "rank").alias("q2"))
+    joined = chosen.groupBy("item", "iw", "len", "q1", "q2").agg(F.min("w").alias("lo"), F.max("w").alias("hi"))
+    return keep(
+        joined.select(
+            "item", "len", F.expr("slice(iw, lo + 1, hi - lo + len)").alias("part"), (F.col("q1") - F.col("lo")).alias("k1"),
+            (F.col("q2") - F.col("lo")).alias("k2"), F.lower(F.element_at("iw", F.col("q1") + 1)).alias("term"),
+        )
     )
-    return pairs, keep(roles.select("aid", "lo", "span", "r.role", "r.q", F.lower("r.term").alias("term")))
 
 
-def candidates(documents: DataFrame, roles: DataFrame, near: int) -> DataFrame:
-    """Per document and run of windows: origins where both rare terms agree, and whether they come near.
+def build_index(documents: DataFrame, terms: DataFrame, window: int, block_terms: int = 500_000) -> DataFrame:
+    """Stored postings of ``terms``: document, position and the words up to a window's length around it.
 
-    Posting positions minus term offsets are the item's origin in the document.  ``near_hit`` holds if
-    two origins fall into one of two overlapping grids of ``near`` words.
+    The neighbourhood lets lists of further terms be intersected without the texts.  Terms are sent to
+    all tasks in blocks of at most ``block_terms``, which bounds what is broadcast; one block is the rule.
+    """
+    blocks = max(1, -(-terms.count() // block_terms))
+    docs = documents.select("doc_id", "_h", words_as_written(F.col("text")).alias("w"))
+    each = docs.select("doc_id", "_h", "w", F.posexplode("w").alias("pos", "word")).withColumn("term", F.lower("word"))
+    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
+    parts = []
+    for b in range(blocks):
+        block = terms.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b)
+        found = each.join(F.broadcast(block), "term")
+        near = F.transform(F.slice("w", first + 1, F.col("pos") + window - first), ascii_lower)
+        parts.append(found.select("term", "doc_id", "_h", "pos", first.alias("from"), near.alias("near")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return keep(out)
+
+
+def intersect(index: DataFrame, wanted: DataFrame, slop: int) -> DataFrame:
+    """Postings of rarest words whose second word is where the run has it, or within ``slop`` words of that.
+
+    ``starts`` lists the document positions at which whole windows match, word by word.
     """
-    postings = documents.select("doc_id", "_h", F.posexplode(words(F.lower("text"))).alias("pos", "term"))
-    shifted = postings.join(roles, "term").select("doc_id", "_h", "aid", "lo", "span", "role", (F.col("pos") - F.col("q")).alias("origin"))
-    lists = shifted.groupBy("doc_id", "_h", "aid", "lo", "span").agg(
-        F.collect_set(F.when(F.col("role") == 1, F.col("origin"))).alias("o1"),
-        F.collect_set(F.when(F.col("role") == 2, F.col("origin"))).alias("o2"),
+    joined = index.join(wanted, "term")
+    at = F.col("pos") - F.col("k1") - F.col("from")
+    second = F.element_at("part", F.col("k2") + 1)
+    low = F.greatest(at + F.col("k2") - slop, F.lit(0))
+    close = F.array_contains(F.slice("near", low + 1, F.greatest(at + F.col("k2") + slop + 1 - low, F.lit(0))), second)
+    shifted = joined.withColumn("at", at).filter(close)
+    starts = F.expr(
+        "transform(filter(sequence(0, size(part) - len), k -> k <= k1 AND k1 < k + len AND at + k >= 0"
+        " AND slice(near, at + k + 1, len) = slice(part, k + 1, len)), k -> from + at + k)"
     )
+    agrees = (F.col("at") + F.col("k2") >= 0) & (F.get("near", F.greatest(F.col("at") + F.col("k2"), F.lit(0))) == second)
+    return shifted.select("doc_id", "_h", "item", "len", F.when(agrees, starts).otherwise(F.array().cast("array<int>")).alias("starts"))
 
-    def grid(origins: str) -> Column:
-        half = near // 2
-        return F.flatten(F.transform(origins, lambda o: F.array(F.floor(o / near) * 2, F.floor((o + half) / near) * 2 + 1)))
 
-    return lists.select(
-        "doc_id", "_h", "aid", "lo", "span", F.array_intersect("o1", "o2").alias("origins"), F.arrays_overlap(grid("o1"), grid("o2")).alias("near_hit")
-    ).filter(F.col("near_hit") | (F.size("origins") > 0))
-
-
-def find_matches(documents: DataFrame, benchmark: DataFrame, window: int = 10, near: int = 16) -> DataFrame:
+def find_matches(documents: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 4) -> DataFrame:
     """Per document with any exact or proximity match: hit words, items hit, items near.
 
     Columns ``doc_id, _h`` (hash of the text), ``n_hit, items`` (sorted strings), ``spans`` (start and
-    length of matching windows), ``near_items``.
+    length of matching windows), ``near_items`` (items of which the two rarest words of a window lie
+    within ``slop`` words of their distance there; exact matches are among them).
     """
     docs = _keyed(documents)
-    pairs, roles = anchors(docs, benchmark, window)
-    found = keep(candidates(docs, roles, near))
-    per_doc = (
-        found.filter(F.size("origins") > 0)
-        .withColumn("origin", F.explode("origins"))
-        .groupBy("doc_id", "_h")
-        .agg(F.collect_list(F.struct("aid", (F.col("origin") + F.col("lo")).alias("s"), "span")).alias("cands"))
-    )
-    per_doc = keep(per_doc.select("doc_id", "_h", "cands"))
-    same = docs["doc_id"].eqNullSafe(per_doc["doc_id"]) & (docs["_h"] == per_doc["_h"])
-    texts = docs.join(per_doc, same).select(docs["doc_id"], docs["_h"], words(ascii_lower(docs["text"])).alias("dw"), "cands")
-
-    def cut(c: Column) -> Column:
-        first = F.greatest(c["s"], F.lit(0))
-        return F.struct(c["aid"].alias("aid"), c["s"].alias("s"), first.alias("s0"), F.slice("dw", first + 1, c["s"] + c["span"] - first).alias("dw"))
-
-    cuts = texts.select("doc_id", "_h", F.explode(F.transform("cands", cut)).alias("c")).select("doc_id", "_h", "c.*")
-    checked = cuts.join(pairs.select("aid", "item", "len", "span", "part"), "aid")
-    hits = checked.withColumn(
-        "k",
-        F.explode(
-            F.expr("filter(sequence(0, span - len), k -> s + k >= 0 AND slice(dw, s + k - s0 + 1, len) = slice(part, k + 1, len))")
-        ),
-    )
-    exact = hits.groupBy("doc_id", "_h").agg(
-        F.collect_set(F.struct((F.col("s") + F.col("k")).alias("start"), F.col("len").alias("n"))).alias("spans"),
-        F.array_sort(F.collect_set("item")).alias("items"),
+    wanted = runs(docs, benchmark, window)
+    index = build_index(docs, keep(wanted.select("term").distinct()), window)
+    hits = intersect(index, wanted, slop).withColumn("start", F.explode_outer("starts"))
+    exact = F.col("start").isNotNull()
+    grouped = hits.groupBy("doc_id", "_h").agg(
+        F.array_sort(F.collect_set(F.when(exact, F.struct("start", F.col("len").alias("n"))))).alias("spans"),
+        F.array_sort(F.collect_set(F.when(exact, F.col("item")))).alias("items"),
+        F.array_sort(F.collect_set("item")).alias("near_items"),
     )
     covered = F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1))))
-    exact = exact.select("doc_id", "_h", F.size(covered).cast("long").alias("n_hit"), "items", F.array_sort("spans").alias("spans"))
-    close = found.join(pairs.select("aid", "item"), "aid").groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("item")).alias("near_items"))
-    both = close.join(exact, close["doc_id"].eqNullSafe(exact["doc_id"]) & (close["_h"] == exact["_h"]), "left")
-    return both.select(
-        close["doc_id"], close["_h"], F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans", "near_items",
-    )
+    return grouped.select("doc_id", "_h", F.size(covered).cast("long").alias("n_hit"), "items", "spans", "near_items")
 
 
-def report(documents: DataFrame, benchmark: DataFrame, window: int = 10, near: int = 16) -> DataFrame:
+def report(documents: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 4) -> DataFrame:
     """One row per document with word counts, hit words and the items found."""
-    matches = keep(find_matches(documents, benchmark, window, near))
+    matches = keep(find_matches(documents, benchmark, window, slop))
     docs = documents.select(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("_h"), F.size(words(F.lower("text"))).cast("long").alias("n_words"))
     joined = docs.join(matches, docs["doc_id"].eqNullSafe(matches["doc_id"]) & (docs["_h"] == matches["_h"]), "left")
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")

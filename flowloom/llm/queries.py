@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, mixing, near_dedup, secrets
+from flowloom.llm import decontaminate, mixing, near_dedup, secrets, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,15 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark, sf_dir):
+    return toxicity.report(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op8_decontaminate": op8_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
