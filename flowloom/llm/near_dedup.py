@@ -126,18 +126,28 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return members.filter("rep > leader").select(F.col("rep").alias("b"), F.col("leader").alias("a")).distinct()
 
 
-def verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
+def full_sets(documents: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rep, members``: the whole shingle set of each class that meets another one in a band.
+
+    These ids grow with the corpus, so they are never broadcast; texts are shuffled once, here.
+    """
+    needed = keep(members.select("rep").distinct().join(classes.select("rep", "print"), "rep"))
+    ids = needed.select(F.col("rep").alias("doc_id")).distinct()
+    texts = documents.join(ids.hint("merge"), "doc_id").select("doc_id", "text")
+    sets = texts.mapInArrow(_set_rows, "doc_id long, print binary, members binary").withColumnRenamed("doc_id", "rep")
+    return keep(sets.join(needed, ["rep", "print"], "left_semi").select("rep", "members"))
+
+
+def verify(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar enough; signatures tell which pairs are worth it."""
     side = classes.select("rep", "n_shingles", "signature")
     left, right = (side.select(*[F.col(c).alias(f"{c}_{x}") for c in side.columns]) for x in "ab")
     both = pairs.join(left, F.col("a") == F.col("rep_a")).join(right, F.col("b") == F.col("rep_b"))
     likely = both.filter(close_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"))).filter(estimate("signature_a", "signature_b") >= MIN_ESTIMATE)
-    likely = keep(likely.select("a", "b"))
-    needed = keep(likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "print"), "rep"))
-    texts = documents.join(needed.select(F.col("rep").alias("doc_id")), "doc_id").select("doc_id", "text")
-    sets = texts.mapInArrow(_set_rows, "doc_id long, print binary, members binary").dropDuplicates(["doc_id", "print"])
-    sets = keep(sets.join(needed.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"]).select("doc_id", "members"))
-    x, y = (sets.select(F.col("doc_id").alias(c), F.col("members").alias(f"set_{c}")) for c in "ab")
+    likely = keep(likely.select("a", "b").distinct())
+    leaders = sets.join(likely.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi")
+    x = leaders.select(F.col("rep").alias("a"), F.col("members").alias("set_a"))
+    y = sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b"))
     sizes = (F.octet_length("set_a") + F.octet_length("set_b")) / 8
     shared = likely.join(x, "a").join(y, "b").select("a", "b", sizes.cast("long").alias("n"), common("set_a", "set_b").alias("both"))
     return shared.filter(F.col("both") * 100 >= (F.col("n") - F.col("both")) * PERCENT).select("a", "b")
@@ -219,10 +229,11 @@ def group_documents(documents: DataFrame) -> DataFrame:
     banded = classes.select("rep", F.explode(bands("signature")).alias("band"))
     shared = banded.groupBy("band").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "leader")
     members = keep(banded.join(shared, "band"))
-    stars = keep(verify(star_pairs(members), classes, docs))
+    sets = full_sets(docs, members, classes)
+    stars = keep(verify(star_pairs(members), classes, sets))
     roots = components(stars)
     across = keep(cross_pairs(members, roots, classes))
-    more = verify(across, classes, docs)
+    more = verify(across, classes, sets)
     roots = keep(components(stars.union(more)))
     named = classes.select("print", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("root"))
     out = signed.select("doc_id", "n_shingles", "print").join(keep(named), "print", "left")
