@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, mixing, near_dedup, secrets, toxicity
+from flowloom.llm import decontaminate, mixing, near_dedup, secrets, token_store, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op2_token_store(spark, sf_dir):
+    import public_tokenizers
+
+    return token_store.store_and_read(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.group_documents(read(spark, sf_dir, "documents"))
 
@@ -37,6 +43,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_token_store": op2_token_store,
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op8_decontaminate": op8_decontaminate,
