@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, mixing, near_dedup, secrets, token_store, toxicity
+from flowloom.llm import decontaminate, mixing, near_dedup, secrets, token_store, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op5_mixing(spark, sf_dir):
     )
 
 
+def op6_warc(spark, sf_dir):
+    found = warc.archive_and_read(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_token_store": op2_token_store,
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
+    "op6_warc": op6_warc,
     "op8_decontaminate": op8_decontaminate,
     "op10_toxicity": op10_toxicity,
 }
