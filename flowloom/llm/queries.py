@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, mixing, near_dedup, secrets, token_store, toxicity, warc
+from flowloom.llm import decontaminate, knn, mixing, near_dedup, secrets, token_store, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_knn(spark, sf_dir):
+    return knn.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.report(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
     "op8_decontaminate": op8_decontaminate,
+    "op9_knn": op9_knn,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
