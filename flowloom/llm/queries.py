@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, knn, mixing, near_dedup, secrets, token_store, toxicity, warc
+from flowloom.llm import decontaminate, knn, main_text, mixing, near_dedup, secrets, token_store, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_warc(spark, sf_dir):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_main_text(spark, sf_dir):
+    return main_text.report(read(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
+    "op7_main_text": op7_main_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_knn": op9_knn,
     "op10_toxicity": op10_toxicity,
