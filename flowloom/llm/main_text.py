@@ -89,6 +89,14 @@ def block_nodes(page: Page) -> tuple[list[int], np.ndarray]:
     return kept, np.array(parents, dtype=np.int64)
 
 
+def in_form(nodes: list, parents: np.ndarray) -> np.ndarray:
+    """Whether a node is a form, button or header, or lies in one."""
+    out = np.zeros(len(nodes))
+    for k, node in enumerate(nodes):
+        out[k] = node.tag in ("form", "button", "header", "label") or (k > 0 and out[parents[k]] > 0)
+    return out
+
+
 def features(page: Page) -> tuple[np.ndarray, list[int], np.ndarray]:
     """Feature rows of the block elements, their node numbers and parents."""
     kept, parents = block_nodes(page)
@@ -143,7 +151,11 @@ def features(page: Page) -> tuple[np.ndarray, list[int], np.ndarray]:
          total[:, 5] / np.maximum(1, total[:, 4]), total[:, 5] / size, chars / np.maximum(1, total[:, 1]), np.log1p(total[:, 1]), np.log1p(size), depth, np.log1p(siblings),
          position, alike, np.log1p(side_text), np.log1p(total[:, 2])]
     )
-    return np.hstack([shape, in_tag, tags, mine, above]), kept, parents
+    against = [k for k, name in enumerate(WORDS) if name not in ("article", "head", "meta")]
+    named = np.column_stack(
+        [mine[:, against].max(1), above[:, against].max(1), np.maximum(in_tag[:, 0], above[:, 0]), in_tag[:, 1:].max(1), in_form(nodes, parents)]
+    )
+    return np.hstack([shape, named, in_tag, tags, mine, above]), kept, parents
 
 
 def decode(odds: np.ndarray, parents: np.ndarray) -> np.ndarray:
@@ -307,7 +319,7 @@ def training_rows(pages: DataFrame, max_pages: int, variants: int) -> DataFrame:
     return keep(spread.mapInArrow(run, "x array<double>, label double"))
 
 
-def train(pages: DataFrame, max_pages: int = 400, variants: int = 3, rounds: int = 20, depth: int = 4) -> Trees | None:
+def train(pages: DataFrame, max_pages: int = 400, variants: int = 3, rounds: int = 40, depth: int = 5) -> Trees | None:
     """Fit boosted trees on a bounded sample of pages; ``None`` if no page has an article."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
