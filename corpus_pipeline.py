@@ -11,7 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.functions.sized import keep
-from flowloom.llm import decontaminate, mixing
+from flowloom.llm import decontaminate, mixing, near_dedup, token_store, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    return toxicity.remove_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.keep_one_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +34,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.sample(docs, docs.columns)
 
 
+def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the documents, written in id order and read back: one row per document."""
+    import public_tokenizers
+
+    return token_store.store_and_read(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
     ("decontaminate", drop_contaminated),
     ("mix", mix_sources),
+    ("tokens", store_tokens),
 ]
 
 #: No SQL form: toxicity scores and near-duplicate groups cannot be stated in it.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, knn, main_text, mixing, near_dedup, secrets, token_store, toxicity, warc
+from flowloom.llm import decontaminate, knn, licenses, main_text, mixing, near_dedup, secrets, token_store, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,21 @@ def op2_token_store(spark, sf_dir):
     return token_store.store_and_read(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_licenses(spark, sf_dir):
+    """Documents as files: source and ranges of ids are the directories, round ids their licence files."""
+    source = F.coalesce("source", F.lit("unknown"))
+    number = F.coalesce(F.col("doc_id"), F.lit(-1))
+    wide, narrow = F.floor(number / 1024).cast("string"), F.floor(number / 32).cast("string")
+    path = (
+        F.when(number % 32768 == 0, F.concat_ws("/", source, F.lit("LICENSE")))
+        .when(number % 1024 == 0, F.concat_ws("/", source, wide, F.lit("LICENSE")))
+        .when(number % 32 == 0, F.concat_ws("/", source, wide, narrow, F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", source, wide, narrow, F.concat(number.cast("string"), F.lit(".txt"))))
+    )
+    files = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return licenses.scan(files).withColumn("cosine", F.round("cosine", 6)).withColumnRenamed("id", "doc_id")
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.group_documents(read(spark, sf_dir, "documents"))
 
@@ -54,9 +69,16 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.report(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_store": op2_token_store,
+    "op3_licenses": op3_licenses,
     "op4_near_dedup": op4_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
@@ -64,5 +86,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_knn": op9_knn,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {}
