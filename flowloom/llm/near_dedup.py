@@ -2,9 +2,10 @@
 
 Documents with equal shingle sets are one class; only classes are compared.  The minima of many
 universal hashes are cut into bands; classes that share a band meet.  In each band every class is
-compared with the smallest one (a star, not all pairs): signatures first, then the full sets.  Where
-classes of one band still lie in different components, the pairs across components are compared too,
-in blocks of bounded size, so no link is lost to the star.  Components come from alternating large-star and small-star
+compared with the smallest one (a star, not all pairs): signatures first, then the full sets.  Bands whose classes still
+lie in different components get a second star around their most central class.  What is apart even then
+is compared pair by pair across components, in blocks of bounded size, so no link is lost to the stars.
+Components come from alternating large-star and small-star
 steps on stored edge tables.
 
 Defined cases: null and blank texts have no shingles and are linked with nothing; a text of fewer words
@@ -206,13 +207,51 @@ def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.concatenate([*out_a, np.zeros(0, int)]), "b": np.concatenate([*out_b, np.zeros(0, int)])})
 
 
-def cross_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes that share a band, lie in different components and have similar signatures."""
+def open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``band, rep, root, n`` of the bands whose classes still lie in different components."""
     known = members.select("band", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     known = keep(known)
     split = known.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).filter("r1 <> r2")
-    open_rows = known.join(split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
-    blocked = open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    return keep(known.join(split.select("band", "n"), "band"))
+
+
+def _centre(rows: pd.DataFrame) -> pd.DataFrame:
+    """The class whose signature agrees most with the others of its block."""
+    rows = rows.sort_values("rep")
+    sig = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(len(rows), -1)
+    agree = np.zeros(len(rows))
+    for column in sig.T:
+        _, back, counts = np.unique(column, return_inverse=True, return_counts=True)
+        agree += counts[back]
+    best = int(agree.argmax())
+    return rows.iloc[best : best + 1][["band", "rep", "signature"]]
+
+
+def centre_pairs(opened: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of a class and the central class of a band they share, across components.
+
+    Copies of one text may each be close to it but not to each other; the text they come from is the
+    most central one.  It is found block by block, then among the centres of blocks, until one is left.
+    """
+    rows = opened.select("band", "rep", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")).join(classes.select("rep", "signature"), "rep")
+    most = opened.agg(F.max("n")).first()[0] or 0
+    while most > 1:
+        cut = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        found = cut.groupBy("band", "blocks", "block").applyInPandas(
+            lambda part: _centre(part).assign(blocks=-(-part["blocks"].iloc[0] // BLOCK)), "band long, rep long, signature binary, blocks long"
+        )
+        most = 1 if most <= BLOCK else -(-most // BLOCK)
+        rows = keep(found.select("band", "rep", "blocks", "signature"))
+    centres = rows.select("band", F.col("rep").alias("centre"))
+    own = opened.select(F.col("band"), F.col("rep").alias("centre"), F.col("root").alias("centre_root"))
+    named = keep(centres.join(own, ["band", "centre"]))
+    pairs = opened.join(named, "band").filter("root <> centre_root")
+    return pairs.select(F.greatest("rep", "centre").alias("b"), F.least("rep", "centre").alias("a")).distinct()
+
+
+def cross_pairs(opened: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes that share a band, lie in different components and have similar signatures."""
+    blocked = opened.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", "rep", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     rows = dealt.join(classes.select("rep", "n_shingles", "signature"), "rep")
@@ -231,10 +270,10 @@ def group_documents(documents: DataFrame) -> DataFrame:
     members = keep(banded.join(shared, "band"))
     sets = full_sets(docs, members, classes)
     stars = keep(verify(star_pairs(members), classes, sets))
-    roots = components(stars)
-    across = keep(cross_pairs(members, roots, classes))
-    more = verify(across, classes, sets)
-    roots = keep(components(stars.union(more)))
+    central = keep(verify(centre_pairs(open_bands(members, components(stars)), classes), classes, sets))
+    links = stars.union(central)
+    across = verify(keep(cross_pairs(open_bands(members, components(links)), classes)), classes, sets)
+    roots = keep(components(links.union(across)))
     named = classes.select("print", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("root"))
     out = signed.select("doc_id", "n_shingles", "print").join(keep(named), "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
