@@ -90,7 +90,7 @@ case when v % 53 = 0 then substring(body, 1, 40) when rec_id % 2 = 0 then concat
 _TICK = """
 event_id
 event_id // 25 AS tick
-cast(floor(value * 100 + 0.5) as bigint) AS v
+cast(cents as bigint) AS v
 event_id * 20000000 + (event_id * 7919) % 19000000 AS ts_ns
 concat('node-', cast((event_id // 25) % 2 as string)) AS host
 event_type
@@ -149,21 +149,24 @@ cast(v % 2 as int) AS oom_score
 """
 
 _FROM_EVENTS = "select {items} from events"
-_TICKS = "select {items} from events where event_id % 25 = 0"
+_TICKS = (
+    "select {items} from (select min(event_id) as event_id, sum(cast(floor(value * 100 + 0.5) as bigint)) as cents,"
+    " max(event_type) as event_type from events group by event_id // 25)"
+)
 
 #: Table -> steps; each step selects its items from the step before.
 TABLES: dict[str, list[tuple[str, str]]] = {
     "packets": [(_FROM_EVENTS, _BASE), ("select {items} from ({prev})", _PARTIES), ("select {items} from ({prev})", _PACKETS)],
     "l7_lines": [
         (_FROM_EVENTS, _BASE),
-        ("select {items} from ({prev}) where event_id % 7 = 0", _PARTIES),
+        ("select {items} from ({prev})", _PARTIES),
         ("select {items} from ({prev})", _L7_PARTS),
         ("select {items} from ({prev})", _L7_LINES),
         ("select {items} from ({prev})", _L7_WRAP),
     ],
     "host_samples": [(_TICKS, _TICK), ("select {items} from ({prev})", _HOST)],
     "process_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series5} AS n from ({prev}))", _PROC)],
-    "cgroup_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series3} AS n from ({prev}) where tick >= 8)", _CGROUP)],
+    "cgroup_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series3} AS n from ({prev}))", _CGROUP)],
     "device_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series3} AS n from ({prev}))", _DEVICE)],
     "system_events": [(_TICKS, _TICK), ("select {items} from ({prev})", _SYSTEM)],
 }

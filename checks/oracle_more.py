@@ -207,7 +207,18 @@ NEEDS.update(
     dns_waits=["annotated"], l7_hits=["annotated", "groups", "l7_merged"],
 )
 
+_COPIES = """seen as (
+  select * from packets union all
+  select * replace (ifindex + 1 as ifindex, ts_ns + 400000 as ts_ns) from packets where pkt_id % 5 = 0 union all
+  select * replace (ifindex + 1 as ifindex, ts_ns + 5400000 as ts_ns) from packets where pkt_id % 5 = 0),
+firsts as (
+  select *, min(row(ts_ns, pkt_id, ifindex)) over (partition by host, src_ip, src_port, dst_ip, dst_port, protocol, ip_id, tcp_seq, tcp_flags
+    order by ts_ns range between 1000000 preceding and current row) as f from seen)
+select pkt_id, ts_ns, ifindex from firsts where protocol = 1 or f[3] = ifindex"""
+
 BASIC = {
+    "bounded_run": ("select pkt_id, ts_ns from packets where ts_ns < (select min(ts_ns) from packets) + 60000000000", "packets"),
+    "dedup_interfaces": (f"with {_COPIES}", "packets"),
     "dns_match": (f"select {GROUP}, pkt_id, ts_ns, latency_ns from ({DNS})", "annotated"),
     "dns_latency": ("select * from dns_waits", "dns_waits"),
     "rtt": (
@@ -327,7 +338,7 @@ def _features() -> tuple[str, list[str]]:
         tail_latency_ratio, tcp_window_min, tcp_window_avg, tcp_window_drops, connection_rate, connection_churn,
         abnormal_termination_ratio, {host}, {l7},
         coalesce(dns_query_latency_ms, 0) as dns_query_latency_ms, coalesce(dns_query_latency_p95, 0) as dns_query_latency_p95,
-        0 as anomaly_label, 0 as anomaly_severity, 0 as remediation_action
+        0 as anomaly_label, 0 as anomaly_severity, 0 as remediation_action, host, window_id
       from flow_core_part {joins} join hand_part using ({GROUP}) join l7_hits using ({GROUP})
         left join dns_waits w using ({GROUP}) left join blocks using (host, src_ip)
         left join host_windows h using (host, window_id)"""
@@ -350,7 +361,8 @@ def _features() -> tuple[str, list[str]]:
         coalesce(syn, {_THRESHOLD}) as syn_count, 0 as syn_ack_count, 9999 as syn_to_synack_ratio, {zero(later)},
         'NEW' as connection_state, 0 as connection_duration, 0 as handshake_latency, 0 as error_rate,
         {_THRESHOLD} as half_open_connections, 1 as is_blocked_flow, {zero(rest)}, {host}, {no_l7},
-        0 as dns_query_latency_ms, 0 as dns_query_latency_p95, 2 as anomaly_label, 3 as anomaly_severity, 1 as remediation_action
+        0 as dns_query_latency_ms, 0 as dns_query_latency_p95, 2 as anomaly_label, 3 as anomaly_severity, 1 as remediation_action,
+        blocks.host as host, block_ts // 5000000000 as window_id
       from blocks left join source_syn using (host, src_ip)
         left join host_windows h on h.host = blocks.host and h.window_id = block_ts // 5000000000"""
     chain = [
@@ -435,13 +447,18 @@ ON_FEATURES = {
     "scale_minmax": f"""select "timestamp", flow_id, src_ip, {", ".join(map(_minmax, SCALED))} from features""",
     "class_weights": f"""{_RULED} select rule_label, count(*) as rows, round((select count(*) from ruled)
         / ((select count(distinct rule_label) from ruled) * count(*)), 6) as weight from ruled group by rule_label""",
-    "kfold": f"""{_RULED} select flow_id, "timestamp", rule_label, cast((row_number() over (partition by rule_label
-        order by md5(concat_ws('|', flow_id, "timestamp", src_ip)), flow_id, "timestamp", src_ip) - 1) % 5 as int) as fold
+    "kfold": f"""{_RULED} select host, window_id, flow_id, "timestamp", rule_label, cast((row_number() over (partition by rule_label
+        order by md5(concat_ws('|', host, src_ip, src_port, dst_ip, dst_port, protocol, window_id)),
+        host, src_ip, src_port, dst_ip, dst_port, protocol, window_id) - 1) % 5 as int) as fold
         from ruled""",
-    "sequences": """select flow_id, "timestamp",
+    "sequences": """select host, flow_id, window_id,
         array_to_string(list(packet_count) over w, ',') as packet_count_seq,
         array_to_string(list(retransmission_count) over w, ',') as retransmission_count_seq
-        from features window w as (partition by flow_id order by "timestamp" rows between 4 preceding and current row)""",
+        from features window w as (partition by host, src_ip, src_port, dst_ip, dst_port, protocol
+          order by window_id, packet_count, retransmission_count rows between 4 preceding and current row)""",
+    "sink_csv": "select * exclude (host, window_id) from features",
+    "sink_parquet": "select * exclude (host, window_id) from features",
+    "newest_run": "select count(*) as rows, cast(sum(packet_count) as bigint) as packets from features",
     "feature_corr": " union all ".join(
         f"select '{c}' as feature, round(case when stddev_pop({c}) > 0 then corr({c}, {_LABEL}) end, 6) as correlation from ({_RULES})"
         for c in CORR

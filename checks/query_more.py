@@ -9,11 +9,13 @@ from checks.fixtures import table
 from checks.oracle_more import CORR, SCALED
 from checks.query_flows import annotated, packets, rounded
 from flowloom import schema as S
-from flowloom.functions.sized import keep, small_side
+from flowloom.functions.scalar import flow_id
+from flowloom.functions.sized import keep, scratch_path, small_side
 from flowloom.operators import detect, dns, extra, flood, host, l7, mlprep, report
 from flowloom.operators import packets as pk
 from flowloom.operators.flows import GROUP, flow_features
 from flowloom.plans import pipeline
+from flowloom.sources import readers, sinks
 
 THRESHOLD = 12
 _DIGITS = {"zero_window_duration": 9, "handshake_latency": 9}
@@ -102,14 +104,48 @@ def _scaled(method: str):
 
 
 def kfold(spark, sf):
-    folds = mlprep.stratified_folds(ruled(spark, sf), 5, "rule_label", ("flow_id", "timestamp", "src_ip"))
-    return folds.select("flow_id", "timestamp", "rule_label", "fold")
+    folds = mlprep.stratified_folds(ruled(spark, sf), 5, "rule_label")
+    return folds.select("host", "window_id", "flow_id", "timestamp", "rule_label", "fold")
 
 
 def sequences(spark, sf):
-    seqs = mlprep.sequences(features(spark, sf), ["packet_count", "retransmission_count"], 5, order="timestamp")
+    seqs = mlprep.sequences(features(spark, sf), ["packet_count", "retransmission_count"], 5)
+    seqs = seqs.withColumn("flow_id", flow_id())
     text = lambda c: F.concat_ws(",", F.col(c).cast("array<string>")).alias(c)
-    return seqs.select("flow_id", "timestamp", text("packet_count_seq"), text("retransmission_count_seq"))
+    return seqs.select("host", "flow_id", "window_id", text("packet_count_seq"), text("retransmission_count_seq"))
+
+
+def _sink(fmt: str):
+    """Feature rows written to files and read back."""
+
+    def run(spark, sf):
+        path = scratch_path(spark)
+        sinks.write_features(features(spark, sf), path, fmt)
+        return readers.read_features(spark, path, fmt=fmt)
+
+    return run
+
+
+def newest_run(spark, sf):
+    """Two runs in one folder, the second written in parts: the newest one is read whole."""
+    path = scratch_path(spark)
+    rows = features(spark, sf)
+    sinks.write_features(rows.limit(1), f"{path}/a", "parquet")
+    sinks.write_features(rows.repartition(3), f"{path}/b", "parquet", ["anomaly_label"])
+    found = readers.read_features(spark, readers.latest_run(spark, path, "parquet"), fmt="parquet")
+    return found.agg(F.count("*").alias("rows"), F.sum("packet_count").alias("packets"))
+
+
+def dedup_interfaces(spark, sf):
+    """Every fifth packet is seen again by the next interface 0.4 ms later, and again after 5 ms."""
+    source = packets(spark, sf)
+    again = source.filter("pkt_id % 5 = 0").withColumns({"ifindex": F.col("ifindex") + 1, "ts_ns": F.col("ts_ns") + 400_000})
+    later = again.withColumn("ts_ns", F.col("ts_ns") + 5_000_000)
+    return pk.dedup_interfaces(source.unionByName(again).unionByName(later)).select("pkt_id", "ts_ns", "ifindex")
+
+
+def bounded_run(spark, sf):
+    return pk.time_range(packets(spark, sf), duration_s=60).select("pkt_id", "ts_ns")
 
 
 def merge_runs(spark, sf):
@@ -157,4 +193,9 @@ QUERIES = {
     "sequences": sequences,
     "feature_corr": lambda spark, sf: rounded(mlprep.feature_corr(ruled(spark, sf), CORR, "rule_label")),
     "merge_runs": merge_runs,
+    "sink_csv": _sink("csv"),
+    "sink_parquet": _sink("parquet"),
+    "newest_run": newest_run,
+    "dedup_interfaces": dedup_interfaces,
+    "bounded_run": bounded_run,
 }

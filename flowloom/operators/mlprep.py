@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowloom import schema as S
 from flowloom.functions.ordered import row_numbers
 from flowloom.functions.scalar import idiv
 from flowloom.functions.sized import lookup_join
@@ -65,7 +66,7 @@ def with_class_weights(features: DataFrame, label: str = "anomaly_label") -> Dat
 
 
 def stratified_folds(
-    features: DataFrame, k: int = 5, label: str = "anomaly_label", by: Sequence[str] = ("flow_id", "window_id")
+    features: DataFrame, k: int = 5, label: str = "anomaly_label", by: Sequence[str] = (*S.FLOW, "window_id")
 ) -> DataFrame:
     """Add ``fold`` 0..k-1 so that every fold has an even share of every label.
 
@@ -80,18 +81,22 @@ def stratified_folds(
 
 
 def sequences(
-    features: DataFrame, names: Sequence[str], length: int = 5, keys: Sequence[str] = ("flow_id",), order: str = "window_id"
+    features: DataFrame, names: Sequence[str], length: int = 5, keys: Sequence[str] = tuple(S.FLOW), order: str = "window_id",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Per row: the values of the last ``length`` windows of its flow, oldest first.
 
-    Rows are numbered per flow and cut into blocks of ``SEQUENCE_BLOCK``; the last rows of a
-    block are repeated at the head of the next one, so long-lived flows are spread.
+    A flow is a host and its addresses; the short hash ``flow_id`` can be shared by several.  Rows of
+    equal ``order`` are put in the order of ``ties``, then of their values.  Rows are numbered per flow
+    and cut into blocks of ``SEQUENCE_BLOCK`` or, if longer, ``length`` rows; the last rows of a block are
+    repeated at the head of the next one, so long-lived flows are spread.
     """
-    slim = features.select(*keys, order, *names).withColumn("_slice", idiv(order, SEQUENCE_BLOCK))
-    numbered = row_numbers(slim, keys, "_slice", [order], "_row")
-    block = idiv(F.col("_row") - 1, SEQUENCE_BLOCK)
-    at = F.pmod(F.col("_row") - 1, F.lit(SEQUENCE_BLOCK))
-    lead_in = F.when(at > SEQUENCE_BLOCK - length, block + 1)
+    size = max(SEQUENCE_BLOCK, length)
+    slim = features.select(*keys, order, *[c for c in ties if c not in names], *names).withColumn("_slice", idiv(order, SEQUENCE_BLOCK))
+    numbered = row_numbers(slim, keys, "_slice", [order, *ties, *names], "_row")
+    block = idiv(F.col("_row") - 1, size)
+    at = F.pmod(F.col("_row") - 1, F.lit(size))
+    lead_in = F.when(at > size - length, block + 1)
     spread = numbered.withColumn("_home", block).withColumn("_block", F.explode(F.array_compact(F.array(block, lead_in))))
     frame = Window.partitionBy(*keys, "_block").orderBy("_row").rowsBetween(-length + 1, 0)
     cols = [F.collect_list(F.col(c)).over(frame).alias(f"{c}_seq") for c in names]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom import schema as S
-from flowloom.functions.scalar import has_flag, l7_protocol
+from flowloom.functions.scalar import has_flag, idiv, l7_protocol, size_ns
 
 UINT32 = 4_294_967_296
 
@@ -34,25 +36,42 @@ def gate_protocols(df: DataFrame) -> DataFrame:
     return df.filter(F.col("protocol").isin(S.TCP, S.UDP, S.ICMP))
 
 
-def time_range(df: DataFrame, start_ns: int | None = None, duration_s: float = 60) -> DataFrame:
-    """Bounded run: packets of the first ``duration_s`` seconds; 0 means no end."""
+def time_range(df: DataFrame, start_ns: int | None = None, duration_s: float = 0) -> DataFrame:
+    """Bounded run: packets from ``start_ns`` on, for ``duration_s`` seconds; 0 means no end.
+
+    Without ``start_ns`` a duration counts from the first packet of the table, which is one value
+    joined to all rows; a stream has no first packet and needs ``start_ns``.
+    """
     if start_ns is not None:
         df = df.filter(F.col("ts_ns") >= F.lit(start_ns))
-    if duration_s > 0:
-        df = df.filter(F.col("ts_ns") < F.lit((start_ns or 0) + int(duration_s * 1e9)))
-    return df
+    if duration_s <= 0:
+        return df
+    length = int(duration_s * 1e9)
+    if start_ns is not None:
+        return df.filter(F.col("ts_ns") < F.lit(start_ns + length))
+    if df.isStreaming:
+        raise ValueError("a stream needs start_ns to end after duration_s")
+    first = df.agg(F.min("ts_ns").alias("_first_ns"))
+    return df.join(F.broadcast(first), F.col("ts_ns") < F.col("_first_ns") + F.lit(length)).select(*df.columns)
 
 
-def dedup_interfaces(df: DataFrame) -> DataFrame:
-    """Keep the earliest copy of a packet that several interfaces of a host reported.
+def dedup_interfaces(df: DataFrame, within_s: float = 0.001) -> DataFrame:
+    """Drop copies of a TCP or UDP packet that another interface of the host reported just before.
 
-    Copies share addressing, IP identification, sequence and flags.  The earliest is found by
-    a pre-aggregated minimum, so heavily duplicated keys do not gather in one task.
+    Copies share addressing, IP identification, sequence and flags, lie within ``within_s`` seconds of
+    the earliest one and come from another ``ifindex``.  ICMP and packets without identification have
+    nothing to tell copies by and pass.  Rows are compared inside time cells of that length, with the
+    rows of the cell before, so an identification that comes round again or stays the same is no matter.
     """
+    length = size_ns(within_s)
+    marked = F.col("ip_id").isNotNull() & F.col("protocol").isin(S.TCP, S.UDP)
+    cell = idiv("ts_ns", length)
     same = [*S.FLOW, "ip_id", "tcp_seq", "tcp_flags"]
-    rest = [c for c in df.columns if c not in [*same, *S.ORDER]]
-    first = F.min(F.struct(*S.ORDER, *rest)).alias("_first")
-    return df.groupBy(*same).agg(first).select(*same, "_first.*").select(*df.columns)
+    spread = df.filter(marked).withColumn("_home", cell).withColumn("_cell", F.explode(F.array(cell, cell + 1)))
+    before = Window.partitionBy(*same, "_cell").orderBy("ts_ns").rangeBetween(-length, 0)
+    first = F.min(F.struct("ts_ns", "pkt_id", "ifindex")).over(before)
+    kept = spread.withColumn("_first", first).filter("_home = _cell AND _first.ifindex <=> ifindex")
+    return kept.select(*df.columns).unionByName(df.filter(~F.coalesce(marked, F.lit(False))))
 
 
 def payload_size(wrap: bool = False):
@@ -97,11 +116,11 @@ def annotate_packets(df: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
-def conform(df: DataFrame, layout: T.StructType = S.FEATURES) -> DataFrame:
+def conform(df: DataFrame, layout: T.StructType = S.FEATURES, keep: Sequence[str] = ()) -> DataFrame:
     """Select exactly the columns of a feature layout, filling what is missing.
 
     Text columns become empty and numbers zero, both where the column is absent and where it
-    is null.
+    is null.  Columns named in ``keep`` follow as they are, where they exist.
     """
     have = set(df.columns)
     cols = []
@@ -109,7 +128,7 @@ def conform(df: DataFrame, layout: T.StructType = S.FEATURES) -> DataFrame:
         empty = F.lit("" if isinstance(field.dataType, T.StringType) else 0).cast(field.dataType)
         value = F.coalesce(F.col(field.name).cast(field.dataType), empty) if field.name in have else empty
         cols.append(value.alias(field.name))
-    return df.select(*cols)
+    return df.select(*cols, *[c for c in keep if c in have])
 
 
 def preview(features: DataFrame, rows: int = 2) -> DataFrame:

@@ -14,6 +14,11 @@ from flowloom.operators import dns, flood, flows, host, l7, packets
 from flowloom.operators.connections import MAX_ROWS
 
 
+#: Columns behind the 94 that make a row's key complete: two hosts may see the same flow, and windows
+#: may be shorter than the whole seconds of ``timestamp``.
+KEYS = ("host", "window_id")
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of a run."""
@@ -42,13 +47,13 @@ class Settings:
 
 
 def union_features(flow_rows: DataFrame, blocked: DataFrame) -> DataFrame:
-    """Flow rows and blocked-source rows in the 94-column layout."""
-    return packets.conform(flow_rows.unionByName(blocked, allowMissingColumns=True))
+    """Flow rows and blocked-source rows in the 94-column layout, with their key columns behind it."""
+    return packets.conform(flow_rows.unionByName(blocked, allowMissingColumns=True), keep=KEYS)
 
 
 def merge_runs(runs: dict[str, DataFrame]) -> DataFrame:
     """Feature tables of several labelled runs as one, with ``run_id``."""
-    named = [packets.conform(df).withColumn("run_id", F.lit(name)) for name, df in runs.items()]
+    named = [packets.conform(df, keep=KEYS).withColumn("run_id", F.lit(name)) for name, df in runs.items()]
     return reduce(DataFrame.unionByName, named)
 
 
@@ -67,7 +72,7 @@ def build_features(
     host_features: DataFrame | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Feature rows of a packet table.
+    """Feature rows of a packet table: the 94 columns, then ``host`` and ``window_id``.
 
     ``l7_records`` are parsed records, ``host_features`` the table of
     :func:`flowloom.operators.host.host_features`.  Only the list of blocked sources, the host

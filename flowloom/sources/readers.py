@@ -49,21 +49,31 @@ def read_l7_flows(spark: SparkSession, path: str, stream: bool = False, **option
 def read_features(spark: SparkSession, path: str, layout: int = 94, fmt: str = "csv") -> DataFrame:
     """Feature rows of a 94-, 70- or 55-column file as the current 94 columns.
 
-    Some writers print whole numbers as ``0.0``; those columns are read as double and cast.
+    Some writers print whole numbers as ``0.0``; those columns are read as decimals, which hold every
+    64-bit value, and cast.
     """
     fields = S.LAYOUTS[layout]
     if fmt == "parquet":
         return conform(spark.read.parquet(path))
     whole = (T.LongType, T.IntegerType)
     lenient = T.StructType(
-        [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, whole) else f.dataType) for f in fields]
+        [T.StructField(f.name, T.DecimalType(38, 6) if isinstance(f.dataType, whole) else f.dataType) for f in fields]
     )
     return conform(spark.read.schema(lenient).csv(path, header=True, enforceSchema=False))
 
 
 def latest_run(spark: SparkSession, path: str, fmt: str = "csv") -> str | None:
-    """Path of the newest feature file under ``path``, or None where there is none."""
+    """Path of the newest run under ``path``, or None where there is none.
+
+    A run is one file, or the folder of a run that was written in parts, with all its partitions.
+    """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
     files = reader.format("binaryFile").load(path).select("path", "modificationTime")
     newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()
-    return newest["path"]
+    found = newest["path"]
+    if found is None or not found.rpartition("/")[2].startswith("part-"):
+        return found
+    folder = found.rpartition("/")[0]
+    while "=" in folder.rpartition("/")[2]:
+        folder = folder.rpartition("/")[0]
+    return folder

@@ -150,17 +150,20 @@ def newest_l7(joined: DataFrame) -> DataFrame:
 
 
 def status_sink(features_path: str, status_path: str):
-    """A ``foreachBatch`` function that appends feature rows and one status row per batch."""
+    """A ``foreachBatch`` function that writes feature rows and one status row per batch.
+
+    Each batch has folders of its own, ``batch_id=<n>``, which a replayed batch overwrites, so nothing is
+    doubled after a restart.  Reading either path gives ``batch_id`` as a column.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
-        kept.write.mode("append").parquet(features_path)
+        kept.write.mode("overwrite").parquet(f"{features_path}/batch_id={batch_id}")
         kept.agg(
-            F.lit(batch_id).cast("long").alias("batch_id"),
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum("packet_count"), F.lit(0)).alias("packets"),
             F.max("window_id").alias("last_window"),
-        ).write.mode("append").parquet(status_path)
+        ).write.mode("overwrite").parquet(f"{status_path}/batch_id={batch_id}")
         kept.unpersist()
 
     return write

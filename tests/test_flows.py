@@ -148,6 +148,12 @@ def test_interface_copies_are_dropped(spark):
     kept = packets.dedup_interfaces(make(spark, rows))
     assert sorted(r.ts_ns for r in kept.collect()) == [3, 4]
     assert kept.columns == make(spark, rows).columns
+    ms = 1_000_000
+    # the identification comes round, a copy lies across a cell border, one interface repeats itself
+    wrap = [{"ts_ns": t, "ifindex": i, "ip_id": 7} for t, i in ((ms - 1, 0), (ms + 5, 1), (2 * ms + 9, 0), (9 * ms, 1), (9 * ms + 3, 1))]
+    assert sorted(r.ts_ns for r in packets.dedup_interfaces(make(spark, wrap)).collect()) == [ms - 1, 2 * ms + 9, 9 * ms, 9 * ms + 3]
+    icmp = [{"ts_ns": 5 + i, "ifindex": i % 2, "protocol": 1, "ip_id": None} for i in range(50)]
+    assert packets.dedup_interfaces(make(spark, icmp)).count() == 50
 
 
 def test_preview_and_conform(spark):

@@ -13,7 +13,31 @@ from flowloom.operators import detect, mlprep, packets, report
 from flowloom.plans import pipeline
 from flowloom.sources import readers, sinks
 
-SAMPLE = Path(__file__).parent / "data" / "sample_features_70.csv"
+
+
+def write_sample(path: Path, rows: int = 12) -> Path:
+    """A 70-column file as older writers leave it: whole numbers as ``1.0``, a quoted list of processes."""
+    lines = [",".join(S.LAYOUTS[70].names)]
+    for i in range(rows):
+        ends = ("10.0.0.1", 40000 + i, "10.0.1.2", 80, 6)
+        n, size, syn, ack = 3 + i, 100 * (3 + i), 2 * i, i % 3
+        own = {
+            "timestamp": f"{1_700_000_000 + i}.0", "flow_id": hashlib.md5("{}:{}->{}:{}:{}".format(*ends).encode()).hexdigest()[:8],
+            "src_ip": ends[0], "dst_ip": ends[2], "src_port": ends[1], "dst_port": ends[3], "protocol": ends[4], "packet_count": f"{n}.0",
+            "byte_count": 2**53 + 1 + size, "packets_per_second": n / 0.1, "bytes_per_second": size / 0.1, "avg_packet_size": size / n,
+            "syn_count": syn, "syn_ack_count": ack, "syn_to_synack_ratio": syn / ack if ack else syn, "connection_duration": 0.1,
+            "verdict": "FORWARDED", "process_cpu_top3": '"a:1.0%, b:0.5%, c:0.1%"', "connection_state": "NEW",
+        }
+        text = {f.name for f in S.LAYOUTS[70].fields if f.dataType.simpleString() == "string"}
+        lines.append(",".join(str(own.get(c, "" if c in text else 0)) for c in S.LAYOUTS[70].names))
+    path.write_text("\n".join(lines) + "\n")
+    return path
+
+
+@pytest.fixture(scope="session")
+def sample(tmp_path_factory):
+    return write_sample(tmp_path_factory.mktemp("sample") / "features_70.csv")
+
 
 
 def feature_rows(spark, rows):
@@ -31,30 +55,29 @@ def test_layouts_have_94_70_and_55_columns():
     assert len(set(S.FEATURES.names)) == 94
     assert S.HOST_FEATURES[0] == "cpu_usage_percent" and S.HOST_FEATURES[-1] == "disk_saturated"
     assert len(S.HOST_FEATURES) == 23
-    assert SAMPLE.read_text().splitlines()[0].split(",") == S.LAYOUTS[70].names
 
 
-def test_sample_file_identities(spark):
-    df = readers.read_features(spark, str(SAMPLE), layout=70)
-    assert df.count() == 66 and df.columns == S.FEATURES.names
+def test_sample_file_identities(spark, sample):
+    df = readers.read_features(spark, str(sample), layout=70)
+    assert df.count() == 12 and df.columns == S.FEATURES.names
     close = lambda a, b: F.abs(a - b) < 1e-6
-    n, size = F.col("packet_count"), F.col("byte_count")
+    n, size = F.col("packet_count"), F.col("byte_count") - F.lit(2**53 + 1)
     ratio = F.when(F.col("syn_ack_count") > 0, F.col("syn_count") / F.col("syn_ack_count")).otherwise(F.col("syn_count"))
     checks = [
         flow_id() == F.col("flow_id"), close(F.col("packets_per_second"), n / 0.1),
         close(F.col("bytes_per_second"), size / 0.1), close(F.col("avg_packet_size"), size / n),
         close(F.col("syn_to_synack_ratio"), ratio), F.col("connection_duration") == 0.1,
-        F.col("verdict") == "FORWARDED", F.col("latency_p50") == 0,
+        F.col("verdict") == "FORWARDED", F.col("latency_p50") == 0, size == n * 100,
     ]
     for check in checks:
-        assert df.filter(check).count() == 66
+        assert df.filter(check).count() == 12
     top = df.filter(F.col("process_cpu_top3").contains(",")).select("process_cpu_top3").first()
     assert top[0].count("%") == 3
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
-def test_write_and_read_back(spark, tmp_path, fmt):
-    df = readers.read_features(spark, str(SAMPLE), layout=70)
+def test_write_and_read_back(spark, tmp_path, fmt, sample):
+    df = readers.read_features(spark, str(sample), layout=70)
     path = str(tmp_path / "out")
     assert sinks.write_features(df, path, fmt)
     back = readers.read_features(spark, path, fmt=fmt)
@@ -63,16 +86,18 @@ def test_write_and_read_back(spark, tmp_path, fmt):
     assert not (tmp_path / "none").exists()
 
 
-def test_partitioned_write_and_latest_run(spark, tmp_path):
-    df = readers.read_features(spark, str(SAMPLE), layout=70)
+def test_partitioned_write_and_latest_run(spark, tmp_path, sample):
+    df = readers.read_features(spark, str(sample), layout=70)
     sinks.write_features(df, str(tmp_path / "p"), partition_by=["anomaly_label"])
     assert (tmp_path / "p" / "anomaly_label=0").exists()
     import os
 
     for i, name in enumerate(["a.csv", "c.csv", "b.csv"]):
-        shutil.copyfile(SAMPLE, tmp_path / name)
+        shutil.copyfile(sample, tmp_path / name)
         os.utime(tmp_path / name, (1_000_000 + i, 1_000_000 + i))
     assert readers.latest_run(spark, str(tmp_path)).endswith("/b.csv")
+    newest = readers.latest_run(spark, str(tmp_path), "parquet")
+    assert newest.endswith("/p") and readers.read_features(spark, newest, fmt="parquet").count() == 12
 
 
 def test_packet_reader_batch_and_stream(spark, tmp_path, sf):
@@ -122,9 +147,14 @@ def test_two_rules_and_reports(spark):
 
 def test_sequences_and_folds_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(mlprep, "SEQUENCE_BLOCK", 8)
-    rows = spark.range(50).selectExpr("'f' AS flow_id", "id AS window_id", "id AS packet_count", "id % 3 AS anomaly_label")
-    got = {r.window_id: r.packet_count_seq for r in mlprep.sequences(rows, ["packet_count"], 4).collect()}
-    assert got == {i: list(range(max(0, i - 3), i + 1)) for i in range(50)}
+    ends = ["'a' AS src_ip", "1 AS src_port", "'b' AS dst_ip", "2 AS dst_port", "6 AS protocol", "'f' AS flow_id"]
+    rows = spark.range(50).selectExpr("'h' AS host", *ends, "id AS window_id", "id AS packet_count", "id % 3 AS anomaly_label")
+    for length in (4, 8, 9, 30):
+        got = {r.window_id: r.packet_count_seq for r in mlprep.sequences(rows, ["packet_count"], length).collect()}
+        assert got == {i: list(range(max(0, i - length + 1), i + 1)) for i in range(50)}
+    two = rows.unionByName(rows.withColumns({"host": F.lit("g"), "packet_count": F.col("packet_count") + 1000}))
+    for r in mlprep.sequences(two, ["packet_count"], 3).collect():
+        assert {x >= 1000 for x in r.packet_count_seq} == {r.host == "g"}
     sizes = mlprep.stratified_folds(rows, 5).groupBy("anomaly_label", "fold").count().collect()
     assert {r["count"] for r in sizes} <= {3, 4} and len(sizes) == 15
     model = mlprep.fit_baseline(rows, ["packet_count"], trees=2)
@@ -148,12 +178,12 @@ def test_pipeline_without_l7_and_host(spark, sf):
 
     source = table(spark, sf, "packets")
     rows = pipeline.build_features(source, settings=pipeline.Settings(threshold=10, label=3, filter_ip="10.0.0.2"))
-    assert rows.columns == S.FEATURES.names
+    assert rows.columns == [*S.FEATURES.names, *pipeline.KEYS]
     got = rows.collect()
     assert {r.anomaly_label for r in got} == {3, 2}
     assert all("10.0.0.2" in (r.src_ip, r.dst_ip) for r in got if not r.dst_ip == "0.0.0.0")
     empty = pipeline.build_features(source.limit(0))
-    assert empty.columns == S.FEATURES.names and empty.isEmpty()
+    assert empty.columns == [*S.FEATURES.names, *pipeline.KEYS] and empty.isEmpty()
     with pytest.raises(ValueError):
         pipeline.labelled(rows, 12)
     assert pipeline.Settings().max_rows is None and pipeline.Settings(threshold=10**6).max_rows
@@ -162,3 +192,6 @@ def test_pipeline_without_l7_and_host(spark, sf):
 def test_time_range(spark):
     rows = spark.range(5).selectExpr("id * 1000000000 AS ts_ns")
     assert packets.time_range(rows, 10**9, 2).count() == 2 and packets.time_range(rows, None, 0).count() == 5
+    late = rows.selectExpr("ts_ns + 1000000000000 AS ts_ns")
+    assert packets.time_range(late).count() == 5 and packets.time_range(late, None, 2).count() == 2
+    assert packets.time_range(rows.limit(0), None, 2).count() == 0
