@@ -40,9 +40,11 @@ CONTEXTS = SYMBOLS**3
 SIGN, STRETCH, GAP = math.log(0.3), math.log(0.5), math.log(0.5)
 
 _SIGNS = re.escape("".join(LOOK_ALIKE))
-SUSPECT = re.compile(
-    rf"(?<![a-z])[a-z](?:[ ._\-*]{{1,2}}[a-z]){{2,}}(?![a-z])|[a-z{_SIGNS}]*(?:[a-z][{_SIGNS}]+[a-z]|[{_SIGNS}][a-z]{{2}}|([a-z])\1\1)[a-z{_SIGNS}]*"
-)
+#: Letters spelled one by one.
+SPELLED = re.compile(r"(?<![a-z])[a-z](?:[ ._\-*]{1,2}[a-z]){2,}(?![a-z])")
+#: What makes a run of letters and signs suspect: signs before a letter, a letter three times.
+ODD = re.compile(rf"[{_SIGNS}]+[a-z]|([a-z])\1\1")
+LETTERS, RUN_SIGNS = frozenset("abcdefghijklmnopqrstuvwxyz"), frozenset(LOOK_ALIKE)
 WORD = re.compile(r"[^\W\d_]+")
 
 _CODE = np.zeros(256, dtype=np.int64)
@@ -82,6 +84,30 @@ def language_model(documents: DataFrame, weight: float = 5.0) -> np.ndarray:
     return np.log(chance).astype(np.float32).ravel()
 
 
+def stretches(lowered: str) -> list[tuple[int, int]]:
+    """Places of the suspect stretches of a text, in order and apart.
+
+    A spelled stretch, or a whole run of letters and signs in which a sign stands before a letter or a
+    letter stands three times.
+    """
+    out = [m.span() for m in SPELLED.finditer(lowered)] if SPELLED.search(lowered) else []
+    spelled, done, n = len(out), 0, len(lowered)
+    for m in ODD.finditer(lowered):
+        a, b = m.span()
+        if a < done:
+            continue
+        while a and (lowered[a - 1] in LETTERS or lowered[a - 1] in RUN_SIGNS):
+            a -= 1
+        while b < n and (lowered[b] in LETTERS or lowered[b] in RUN_SIGNS):
+            b += 1
+        done = b
+        out.append((a, b))
+    if spelled:
+        out.sort()
+        out = [x for k, x in enumerate(out) if not k or x[0] >= max(y[1] for y in out[max(0, k - 3) : k])]
+    return out
+
+
 def _symbol(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else 0
 
@@ -92,6 +118,7 @@ class Restorer:
     def __init__(self, model: np.ndarray, cached: int = 200_000) -> None:
         self.model = model
         self.read = functools.lru_cache(cached)(self._read)
+        self.dull: set[str] = set()
 
     def lattice(self, stretch: str) -> list[list[tuple[str, float]]]:
         """Per position the readings and their log probability."""
@@ -128,23 +155,45 @@ class Restorer:
 
     def restored(self, lowered: str) -> list[str]:
         """Readings of the suspect stretches of a text."""
-        return [self.read(m[0]) for m in SUSPECT.finditer(lowered)]
+        return [self.read(lowered[a:b]) for a, b in stretches(lowered)]
 
     def restore(self, text: str) -> str:
         """The whole text, lower-cased, with suspect stretches read."""
-        return SUSPECT.sub(lambda m: self.read(m[0]), text.lower())
-
-    def terms(self, text: str) -> set[str]:
-        """Short whole words (ending in ``$``) and word beginnings of text and readings."""
+        lowered, out, at = text.lower(), [], 0
+        for a, b in stretches(lowered):
+            out += [lowered[at:a], self.read(lowered[a:b])]
+            at = b
+        return "".join([*out, lowered[at:]])
+
+    def words(self, text: str) -> set[str]:
+        """Words of the lower-cased text and of the readings of its suspect stretches."""
         lowered = text.lower()
         words = set(WORD.findall(lowered))
         for reading in self.restored(lowered):
             words.update(WORD.findall(reading))
+        return words
+
+    def terms(self, text: str) -> set[str]:
+        """Short whole words (ending in ``$``) and word beginnings of text and readings."""
+        words = self.words(text)
         out = {w[:4] for w in words}
         out.update([w[:5] for w in words])
         out.update([w + "$" for w in words if len(w) <= 12])
         return out
 
+    def known_terms(self, text: str, known: dict, cached: int = 1_000_000) -> set[str]:
+        """The terms of a text that are among ``known``; words without any are remembered."""
+        if len(self.dull) > cached:
+            self.dull.clear()
+        out = set()
+        for w in self.words(text) - self.dull:
+            found = [t for t in (w[:4], w[:5], w + "$" if len(w) <= 12 else "") if t in known]
+            if found:
+                out.update(found)
+            else:
+                self.dull.add(w)
+        return out
+
 
 def deobfuscate(documents: DataFrame, model: np.ndarray) -> DataFrame:
     """``doc_id, restored``: lower-cased whole texts with suspect stretches read; null stays null."""
@@ -244,7 +293,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_t
         restorer = Restorer(shared.value.language)
         for batch in batches:
             labels_here = batch.column("toxic").to_pylist()
-            rows_here = [shared.value.features(restorer.terms(t or ""), y) for t, y in zip(batch.column("text").to_pylist(), labels_here, strict=True)]
+            rows_here = [shared.value.features(restorer.known_terms(t or "", shared.value.counts), y) for t, y in zip(batch.column("text").to_pylist(), labels_here, strict=True)]
             yield pa.RecordBatch.from_pydict({"x": pa.array(rows_here, pa.list_(pa.float64())), "label": pa.array([float(y) for y in labels_here], pa.float64())})
 
     features = keep(rows.mapInArrow(featurize, "x array<double>, label double")).select(array_to_vector("x").alias("features"), "label")
@@ -260,7 +309,7 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         restorer = Restorer(shared.value.language)
         for batch in batches:
-            scores = [shared.value.score(restorer.terms(t or "")) for t in batch.column("text").to_pylist()]
+            scores = [shared.value.score(restorer.known_terms(t or "", shared.value.counts)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(scores, pa.float64())], names=["doc_id", "text_hash", "score"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("text"))
