@@ -49,7 +49,8 @@ def records(pages: DataFrame, min_bytes: int, date: str) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
     )
     rows = rows.withColumn("digest", payload_digest("html")).withColumn("size", F.octet_length("html"))
-    owners = keep(rows.filter(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("owner")))
+    grouped = rows.filter(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("n"))
+    owners = keep(grouped.filter("n > 1").select("digest", "owner"))  # payloads that occur once need no lookup
     joined = rows.join(owners, "digest", "left")
     revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
 
@@ -119,7 +120,7 @@ def parse(block: bytes) -> dict | None:
 _FIELDS = (
     "reach long, whole boolean, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, stated_digest string"
 )
-_PIECES = "path string, split_at long, local long, size long, " + _FIELDS
+_PIECES = "path long, split_at long, local long, size long, " + _FIELDS
 
 
 def _parse_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,16 +138,16 @@ def _parse_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 _ARROW = pa.schema(
-    [("path", pa.string()), ("split_at", pa.int64()), ("local", pa.int64()), ("size", pa.int64()), ("reach", pa.int64()), ("whole", pa.bool_()),
+    [("path", pa.int64()), ("split_at", pa.int64()), ("local", pa.int64()), ("size", pa.int64()), ("reach", pa.int64()), ("whole", pa.bool_()),
      ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
      ("payload_digest", pa.string()), ("stated_digest", pa.string())]
 )
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The bytes between magics, by file and split, in file order within a task."""
+    """The bytes between magics, by file (a hash of its path) and split, in file order within a task."""
     text = spark.read.option("lineSep", MAGIC).text(path)
-    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split_at"), F.col("value").cast("binary").alias("value"))
+    return text.select(F.xxhash64("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split_at"), F.col("value").cast("binary").alias("value"))
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -212,7 +213,7 @@ def _reassembled(spark: SparkSession, path: str, found: DataFrame, broken: DataF
                 local += len(v) + len(MAGIC)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=["path", "split_at", "value", "local"])
 
-    placed = pieces(spark, path).mapInArrow(with_places, "path string, split_at long, value binary, local long")
+    placed = pieces(spark, path).mapInArrow(with_places, "path long, split_at long, value binary, local long")
     parts = placed.join(owned, ["path", "split_at", "local"]).groupBy("path", "owner").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"))
 
     def rebuild(batches):
