@@ -87,6 +87,15 @@ _L7_WRAP = """
 case when v % 53 = 0 then substring(body, 1, 40) when rec_id % 2 = 0 then concat('{"flow":', body, ',"host":"', host, '","ts_ns":', cast(ts_ns as string), ',"rec_id":', cast(rec_id as string), '}') else concat(substring(body, 1, length(body) - 1), ',"host":"', host, '","ts_ns":', cast(ts_ns as string), ',"rec_id":', cast(rec_id as string), '}') end AS value
 """
 
+_L7_NATIVE = """
+case when v % 53 = 0 then substring(body, 1, 40) when v % 31 = 0 then body when rec_id % 2 = 0 then concat('{"flow":', substring(body, 1, length(body) - 1), stamp, '}') else concat(substring(body, 1, length(body) - 1), stamp) end AS value
+"""
+
+_L7_STAMP = """
+*
+concat(',"time":"1970-01-', lpad(cast(1 + (ts_ns + 1000000000) // 86400000000000 as string), 2, '0'), 'T', lpad(cast((ts_ns + 1000000000) // 3600000000000 % 24 as string), 2, '0'), ':', lpad(cast((ts_ns + 1000000000) // 60000000000 % 60 as string), 2, '0'), ':', lpad(cast((ts_ns + 1000000000) // 1000000000 % 60 as string), 2, '0'), '.', lpad(cast((ts_ns + 1000000000) % 1000000000 as string), 9, '0'), 'Z","node_name":"', host, '"}') AS stamp
+"""
+
 _TICK = """
 event_id
 event_id // 25 AS tick
@@ -164,6 +173,14 @@ TABLES: dict[str, list[tuple[str, str]]] = {
         ("select {items} from ({prev})", _L7_LINES),
         ("select {items} from ({prev})", _L7_WRAP),
     ],
+    "l7_native_lines": [
+        (_FROM_EVENTS, _BASE),
+        ("select {items} from ({prev})", _PARTIES),
+        ("select {items} from ({prev})", _L7_PARTS),
+        ("select {items} from ({prev})", _L7_LINES),
+        ("select {items} from ({prev})", _L7_STAMP),
+        ("select {items} from ({prev})", _L7_NATIVE),
+    ],
     "host_samples": [(_TICKS, _TICK), ("select {items} from ({prev})", _HOST)],
     "process_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series5} AS n from ({prev}))", _PROC)],
     "cgroup_samples": [(_TICKS, _TICK), ("select {items} from (select *, {series3} AS n from ({prev}))", _CGROUP)],

@@ -68,6 +68,7 @@ CTES = {
     "valid": VALID,
     "groups": f"select distinct {GROUP} from valid",
     "l7_lines": fixtures.sql("l7_lines"),
+    "l7_native_lines": fixtures.sql("l7_native_lines"),
     "host_samples": fixtures.sql("host_samples"),
     "process_samples": fixtures.sql("process_samples"),
     "cgroup_samples": fixtures.sql("cgroup_samples"),

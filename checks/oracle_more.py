@@ -70,6 +70,14 @@ from k where ((f->'$.l4.TCP') is not null or (f->'$.l4.UDP') is not null)
   and {_address("IP.source")} and {_address("IP.destination")}
 """
 
+_TIME = "coalesce(f->>'$.time', w->>'$.time')"
+L7_NATIVE = (
+    L7_RECORDS.replace("from l7_lines", "from l7_native_lines").replace("select try_cast(value", "select value, try_cast(value").replace("select w, case", "select value, w, case")
+    .replace("w->>'$.host' as host", "coalesce(f->>'$.node_name', w->>'$.node_name') as host")
+    .replace("cast((w->>'$.ts_ns') as bigint) as ts_ns", f"epoch_us(cast({_TIME} as timestamptz)) // 1000000 * 1000000000 + cast(substr({_TIME}, 21, 9) as bigint) as ts_ns")
+    .replace("cast((w->>'$.rec_id') as bigint) as rec_id", "cast('0x' || substr(md5(value), 1, 15) as bigint) as rec_id")
+)
+
 _SAME = "c.host = r.host and c.protocol = r.protocol and c.src_ip = r.src_ip and c.src_port = r.src_port and c.dst_ip = r.dst_ip and c.dst_port = r.dst_port"
 _BACK = "c.host = r.host and c.protocol = r.protocol and c.src_ip = r.dst_ip and c.src_port = r.dst_port and c.dst_ip = r.src_ip and c.dst_port = r.src_port"
 
@@ -291,6 +299,8 @@ BASIC = {
         "host_windows",
     ),
     "l7_parse": ("select * from l7_records", "l7_records"),
+    "l7_parse_native": (L7_NATIVE, "l7_native_lines"),
+    "l7_untimed": (f"select count(*) as rows, count(*) filter (ts_ns is null or host is null) as without_time from ({L7_NATIVE})", "l7_native_lines"),
     "nat_carry": ("select rec_id, src_ip, dst_ip, src_xlated, dst_xlated from l7_carried", "l7_carried"),
     "nat_alias": (f"select {KEY}, ts_ns, rec_id, has_l7 from l7_expanded", "l7_expanded"),
     "l7_merge": ("select * from l7_merged", "l7_merged"),

@@ -174,6 +174,8 @@ QUERIES = {
     "host_top3": lambda spark, sf: host.top_processes(table(spark, sf, "process_samples")),
     "backlog_growth": lambda spark, sf: detect.backlog_growth(host_windows(spark, sf)),
     "l7_parse": records,
+    "l7_parse_native": lambda spark, sf: l7.parse_l7(table(spark, sf, "l7_native_lines")),
+    "l7_untimed": lambda spark, sf: l7.untimed(l7.parse_l7(table(spark, sf, "l7_native_lines"))),
     "nat_carry": nat_carry,
     "nat_alias": nat_alias,
     "l7_merge": lambda spark, sf: l7.l7_entries(table(spark, sf, "l7_lines")),

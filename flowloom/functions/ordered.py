@@ -13,7 +13,6 @@ the finer slices :func:`split_hot_groups` makes of crowded windows.
 from __future__ import annotations
 
 import functools
-import math
 import operator
 from collections.abc import Sequence
 
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from flowloom.functions.scalar import idiv, size_ns, window_id
+from flowloom.functions.sized import keep
 
 #: Blocks per group of blocks.
 FAN = 4096
@@ -39,7 +39,8 @@ def _with_group(df: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
     Per-block rows are used twice.  Grouping by ``_group`` as well and naming the null checks
     that the joins imply makes both uses equal below the exchange, so Spark runs it once.
     """
-    grouped = df.withColumn("_group", idiv(block, FAN))
+    # A slice id packs its window, so groups are counted in windows for both.
+    grouped = df.withColumn("_group", idiv(block, FAN * MAX_SLICES if block == "slice_id" else FAN))
     return grouped.filter(functools.reduce(operator.and_, [F.col(c).isNotNull() for c in (*keys, "_group", block)]))
 
 
@@ -150,14 +151,13 @@ def split_hot_groups(
     size_s: float,
     max_rows: int | None,
     ts: str = "ts_ns",
-    max_hot: int = 10_000,
 ) -> tuple[DataFrame, str]:
     """Add ``window_id`` and name the block column that keeps ordered work small.
 
     Groups of ``keys + window_id`` with more than ``max_rows`` rows are cut into equal time
-    slices.  Counting them is one pre-aggregated pass.  At most ``max_hot`` of them are
-    joined back by broadcast; if there are more, every window is cut alike.  With no
-    crowded group, or with ``max_rows=None`` for input of proven rate, windows are blocks.
+    slices, each by its own count.  Counting is one pre-aggregated pass; the crowded groups are stored
+    and joined back, by broadcast only where the stored table is small enough for Spark's own limit.
+    With no crowded group, or with ``max_rows=None`` for input of proven rate, windows are blocks.
     A ``crowded`` column marks the rows of cut groups where there are any.
     """
     ns = size_ns(size_s)
@@ -165,20 +165,12 @@ def split_hot_groups(
     if max_rows is None:
         return out, "window_id"
     counts = out.groupBy(*keys, "window_id").agg(F.count(F.lit(1)).alias("_n"))
-    crowded = counts.filter(F.col("_n") > max_rows)
-    listed = crowded.limit(max_hot + 1).collect()
-    if not listed:
-        return out, "window_id"
     # Four times as many slices as an even spread would need leaves room for bursts.
     slices = F.least(F.ceil(F.col("_n") * 4 / F.lit(max_rows)), F.lit(MAX_SLICES)).cast("long")
-    if len(listed) <= max_hot:
-        marked = df.sparkSession.createDataFrame(listed, crowded.schema).select(
-            *keys, "window_id", slices.alias("_slices")
-        )
-        out = out.join(F.broadcast(marked), [*keys, "window_id"], "left")
-    else:
-        most = crowded.agg(F.max("_n")).first()[0]
-        out = out.withColumn("_slices", F.lit(min(MAX_SLICES, math.ceil(most * 4 / max_rows))).cast("long"))
+    crowded = keep(counts.filter(F.col("_n") > max_rows).select(*keys, "window_id", slices.alias("_slices")))
+    if crowded.isEmpty():
+        return out, "window_id"
+    out = out.join(crowded, [*keys, "window_id"], "left")
     offset = F.col(ts) - F.col("window_id") * F.lit(ns).cast("long")
     part = idiv(offset * F.coalesce(F.col("_slices"), F.lit(0)), ns)
     out = out.withColumn("slice_id", F.col("window_id") * F.lit(MAX_SLICES).cast("long") + part)

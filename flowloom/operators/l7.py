@@ -30,15 +30,39 @@ def summary_latency(summary: Column) -> Column:
     return F.coalesce(F.try_element_at(words, F.lit(-1)).try_cast("int"), F.lit(0))
 
 
+def nanoseconds(time: Column) -> Column:
+    """Nanoseconds since 1970 of a text like ``2024-01-31T12:00:00.123456789Z``; null if it is none."""
+    whole = F.regexp_replace(time, r"\.[0-9]+", "").try_cast("timestamp")
+    part = F.rpad(F.regexp_extract(time, r"\.([0-9]{1,9})", 1), 9, "0").cast("long")
+    return F.unix_seconds(whole) * 1_000_000_000 + part
+
+
+def untimed(records: DataFrame) -> DataFrame:
+    """``rows, without_time``: parsed records, and those that say neither when nor where, which match nothing."""
+    lost = F.col("ts_ns").isNull() | F.col("host").isNull()
+    return records.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lost).alias("without_time"))
+
+
 def parse_l7(lines: DataFrame) -> DataFrame:
     """Flat records from JSON lines in column ``value``.
 
-    Lines that are no JSON, have no TCP or UDP part or no IPv4 addresses are left out.
+    Lines that are no JSON, have no TCP or UDP part or no IPv4 addresses are left out.  Host and time
+    are the record's node name and time where the line has no ``host`` and ``ts_ns``; a line without
+    ``rec_id`` is numbered by a hash of its text, so equal times have a lasting order.
     """
     # Generators run once per line; a plain projection would be copied into the filter below.
-    raw = lines.select(F.inline(F.array(F.from_json("value", S.L7_LINE))))
-    parts = ["IP", "l4", "l7", "source", "destination", "verdict", "drop_reason_desc", "Summary"]
-    flow = raw.select("host", "ts_ns", "rec_id", F.inline(F.array(F.coalesce("flow", F.struct(*parts)))))
+    raw = lines.select("value", F.inline(F.array(F.from_json("value", S.L7_LINE))))
+    parts = ["IP", "l4", "l7", "source", "destination", "verdict", "drop_reason_desc", "Summary", "time", "node_name"]
+    own = [F.col(c).alias(f"_{c}") for c in ("time", "node_name")]
+    flow = raw.select("value", "host", "ts_ns", "rec_id", *own, F.inline(F.array(F.coalesce("flow", F.struct(*parts)))))
+    number_of = F.conv(F.substring(F.md5("value"), 1, 15), 16, 10).cast("long")
+    flow = flow.withColumns(
+        {
+            "host": F.coalesce("host", "node_name", "_node_name"),
+            "ts_ns": F.coalesce("ts_ns", nanoseconds(F.coalesce("time", "_time"))),
+            "rec_id": F.coalesce("rec_id", number_of),
+        }
+    )
     text = lambda path: F.coalesce(F.col(path), F.lit(""))
     number = lambda path: F.coalesce(F.col(path), F.lit(0))
     tcp, udp = F.col("l4.TCP").isNotNull(), F.col("l4.UDP").isNotNull()

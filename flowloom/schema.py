@@ -55,10 +55,11 @@ _L7_FLOW = (
     "kafka:struct<api_key:int, error_code:int>>, "
     "source struct<namespace:string, pod_name:string>, "
     "destination struct<service_name:string>, "
-    "verdict string, drop_reason_desc string, Summary string"
+    "verdict string, drop_reason_desc string, Summary string, time string, node_name string"
 )
-#: One JSON line, as DDL: the flow either sits under ``flow`` or is the whole object.  The
-#: observing host, the observation time and an arrival number travel beside it.
+#: One JSON line, as DDL: the flow either sits under ``flow`` or is the whole object.  Its own time and
+#: node name tell when and where it was observed; ``host``, ``ts_ns`` and an arrival number beside it,
+#: where a collector added them, come first.
 L7_LINE = f"flow struct<{_L7_FLOW}>, {_L7_FLOW}, host string, ts_ns bigint, rec_id bigint"
 
 HOST_SAMPLES = _struct(
