@@ -22,3 +22,4 @@ ORACLE = {
         "select pkt_id, prev_seq, retransmission, out_of_order, conn_state from tracked where protocol = 6", "tracked"
     ),
 }
+ORACLE["stream_late_repaired"] = ORACLE["stream_flow_core"]

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from checks.query_flows import packets, rounded
 from flowloom.functions.scalar import has_flag
+from flowloom.functions.sized import scratch_path
 from flowloom.operators.connections import connection_state, out_of_order, retransmission
+from flowloom.sources.readers import read_packets
 from flowloom.streaming import flows, state
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -25,6 +27,20 @@ def stream_flow_core(spark, sf):
     return rounded(flows.flush_open_windows(closed, packets(spark, sf)), {"inter_arrival_std_ms": 4})
 
 
+def stream_late_repaired(spark, sf):
+    """Five files, one per micro-batch; every ninth packet of the first half comes last, after its window closed."""
+    source, path = packets(spark, sf), scratch_path(spark)
+    step = source.agg(F.max("pkt_id")).first()[0] // 4 + 1
+    late = (F.col("pkt_id") % 9 == 0) & (F.col("pkt_id") < 2 * step)
+    steps = [~late & (F.col("pkt_id") >= i * step) & (F.col("pkt_id") < (i + 1) * step) for i in range(4)]
+    for part in (*steps, late):
+        source.filter(part).coalesce(1).write.mode("append").parquet(path)
+    stream = read_packets(spark, path, stream=True, maxFilesPerTrigger=1)
+    closed = flows.run_available(flows.stream_flow_core(stream))
+    repaired = flows.repair_late(closed, source)
+    return rounded(flows.flush_open_windows(repaired, source), {"inter_arrival_std_ms": 4})
+
+
 def stream_flood_gate(spark, sf):
     gated = flows.run_available(state.stream_flood_gate(packet_stream(spark, sf), 12))
     return gated.select("pkt_id", "host", "src_ip", "dropped")
@@ -44,6 +60,7 @@ def stream_conn_track(spark, sf):
 
 QUERIES = {
     "stream_flow_core": stream_flow_core,
+    "stream_late_repaired": stream_late_repaired,
     "stream_flood_gate": stream_flood_gate,
     "stream_conn_track": stream_conn_track,
 }

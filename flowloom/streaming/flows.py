@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowloom import schema as S
 from flowloom.functions.scalar import clamp, flow_id, has_flag, size_ns
-from flowloom.functions.sized import checkpoint_root
+from flowloom.functions.sized import checkpoint_root, keep
 from flowloom.operators.flows import MAX_AVG_SIZE, MAX_BPS, MAX_PPS, MIN_AVG_SIZE, QUANTILES, count_where, rank_index
 from flowloom.operators.packets import valid_size
 
@@ -21,6 +21,14 @@ def event_time(packets: DataFrame, epoch_s: int = 0) -> DataFrame:
     return packets.withColumn("ts", F.timestamp_micros(micros))
 
 
+def whole_micros(seconds: float) -> str:
+    """An interval for windows and watermarks; streams hold whole microseconds."""
+    ns = size_ns(seconds)
+    if ns % 1000 or ns <= 0:
+        raise ValueError("streams need a length of whole microseconds")
+    return f"{ns // 1000} microseconds"
+
+
 def _gaps(times: Column) -> Column:
     """Differences of neighbours in a sorted array of nanosecond times."""
     later = F.slice(times, F.lit(2), F.greatest(F.size(times) - 1, F.lit(0)))
@@ -44,15 +52,14 @@ def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
     Streams cannot use row-ordered windows, so a window's packet times are gathered and
     sorted; feed streams that passed the flood gate, which bounds them.  With a watermark of
     one window, a window closes once a packet two windows later has been seen.  Packets of
-    closed windows are dropped and counted by Spark; a batch run over the same path includes
-    them.
+    closed windows are dropped; :func:`late_packets` counts them and :func:`repair_late` puts them in.
     """
     timed = event_time(packets)
     if packets.isStreaming:
-        timed = timed.withWatermark("ts", f"{size_ns(size_s) // 1_000_000} milliseconds")
+        timed = timed.withWatermark("ts", whole_micros(size_s))
     valid = valid_size()
     tcp = valid & (F.col("protocol") == S.TCP)
-    span = F.window("ts", f"{size_ns(size_s) // 1_000_000} milliseconds")
+    span = F.window("ts", whole_micros(size_s))
     grouped = timed.groupBy(*S.FLOW, span.alias("_window")).agg(
         count_where(valid).alias("packet_count"),
         F.sum(F.when(valid, F.col("packet_size"))).alias("byte_count"),
@@ -120,13 +127,36 @@ def flush_open_windows(emitted: DataFrame, packets: DataFrame, size_s: float = 5
     return emitted.filter(F.col("window_id") < first_open).unionByName(tail)
 
 
+def late_packets(emitted: DataFrame, packets: DataFrame, size_s: float = 5.0) -> DataFrame:
+    """Per flow and window of a stream's rows: ``late``, the valid packets that came after it had closed.
+
+    ``packets`` is the whole input as a batch; windows the stream never closed are not late.
+    """
+    window = F.call_function("div", F.col("ts_ns"), F.lit(size_ns(size_s)).cast("long")).alias("window_id")
+    seen = packets.filter(valid_size()).groupBy(*S.FLOW, window).agg(F.count(F.lit(1)).alias("_all"))
+    newest = emitted.agg(F.max("window_id").alias("_newest"))
+    closed = seen.join(F.broadcast(newest), F.col("window_id") <= F.col("_newest"))
+    counted = closed.join(emitted.select(*S.FLOW, "window_id", F.col("packet_count").alias("_n")), [*S.FLOW, "window_id"], "left")
+    late = F.col("_all") - F.coalesce("_n", F.lit(0))
+    return counted.select(*S.FLOW, "window_id", late.alias("late")).filter("late > 0")
+
+
+def repair_late(emitted: DataFrame, packets: DataFrame, size_s: float = 5.0) -> DataFrame:
+    """A stream's rows with the windows that missed late packets computed anew from the whole input."""
+    keys = [*S.FLOW, "window_id"]
+    late = keep(late_packets(emitted, packets, size_s)).select(*keys)
+    window = F.call_function("div", F.col("ts_ns"), F.lit(size_ns(size_s)).cast("long"))
+    again = packets.withColumn("window_id", window).join(late, keys, "left_semi").drop("window_id")
+    return emitted.join(late, keys, "left_anti").select(*emitted.columns).unionByName(stream_flow_core(again, size_s))
+
+
 def l7_join(packets: DataFrame, entries: DataFrame, ttl_s: float = 30.0) -> DataFrame:
     """Left join of a packet stream with the entries of its flow from the ``ttl_s`` before.
 
     Both sides carry a watermark, so entries are forgotten after ``ttl_s`` like in a cache.
     :func:`newest_l7` keeps the newest entry per packet.
     """
-    late = f"{int(ttl_s * 1000)} milliseconds"
+    late = whole_micros(ttl_s)
     left = event_time(packets).withWatermark("ts", late)
     names = [c for c in entries.columns if c not in (*S.FLOW, "ts_ns")]
     right = event_time(entries).withWatermark("ts", late)
@@ -135,7 +165,7 @@ def l7_join(packets: DataFrame, entries: DataFrame, ttl_s: float = 30.0) -> Data
         F.struct(*names).alias("l7"),
     )
     same = [F.col(k) == F.col(f"_{k}") for k in S.FLOW]
-    near = (F.col("l7_ts") <= F.col("ts")) & (F.col("l7_ts") > F.col("ts") - F.expr(f"interval {int(ttl_s)} seconds"))
+    near = (F.col("l7_ts") <= F.col("ts")) & (F.col("l7_ts") > F.col("ts") - F.expr(f"interval {late}"))
     condition = near
     for s in same:
         condition = condition & s

@@ -58,14 +58,15 @@ def stream_flood_gate(packets: DataFrame, threshold: int = 500, window_s: float
     )
 
 
-def stream_prev_seq(packets: DataFrame, ttl_s: float = 300.0) -> DataFrame:
+def stream_prev_seq(packets: DataFrame, ttl_s: float | None = None) -> DataFrame:
     """TCP packets with ``prev_seq``, the sequence number before them in their flow.
 
-    State per flow: the last sequence number, forgotten once the watermark is ``ttl_s`` seconds
-    past the flow's last packet, so that ended flows do not pile up.
+    State per flow: the last sequence number.  By default it is kept and every packet comes out, like in
+    a batch.  With ``ttl_s`` a flow is forgotten once the watermark is that long past its last packet, so
+    that ended flows do not pile up; packets later than that are dropped then.
     """
     columns = packets.columns
-    ttl_ms = int(ttl_s * 1000)
+    ttl_ms = int(ttl_s * 1000) if ttl_s else 0
 
     def track(key, batches, state: GroupState):
         import pandas as pd
@@ -78,12 +79,17 @@ def stream_prev_seq(packets: DataFrame, ttl_s: float = 300.0) -> DataFrame:
         if state.exists:
             before.iloc[0] = state.get[0]
         state.update((int(rows["tcp_seq"].iloc[-1]),))
-        newest = int(rows["ts_ns"].iloc[-1]) // 1_000_000 + 1000
-        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + ttl_ms)
+        if ttl_ms:
+            newest = int(rows["ts_ns"].iloc[-1]) // 1_000_000 + 1000
+            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + ttl_ms)
         yield rows[columns].assign(prev_seq=before)
 
-    # Rows at or before the watermark, at first 0, count as late; time starts behind it.
-    tcp = event_time(packets.filter(packets["protocol"] == S.TCP), epoch_s=1).withWatermark("ts", f"{ttl_ms} milliseconds")
+    tcp = packets.filter(packets["protocol"] == S.TCP)
+    timeout = GroupStateTimeout.NoTimeout
+    if ttl_ms:
+        # Rows at or before the watermark, at first 0, count as late; time starts behind it.
+        tcp = event_time(tcp, epoch_s=1).withWatermark("ts", f"{ttl_ms} milliseconds")
+        timeout = GroupStateTimeout.EventTimeTimeout
     return tcp.groupBy(*S.FLOW).applyInPandasWithState(
-        track, _with(packets, "prev_seq", T.LongType()), _SEQ_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        track, _with(packets, "prev_seq", T.LongType()), _SEQ_STATE, "append", timeout
     )

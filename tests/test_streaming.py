@@ -68,3 +68,45 @@ def test_l7_join_keeps_newest_within_ttl(spark, tmp_path):
     out = flows.run_available(flows.newest_l7(flows.l7_join(left, right)), str(tmp_path / "o"), str(tmp_path / "cp"))
     got = {r.pkt_id: r.l7.namespace if r.l7 and r.l7.namespace else None for r in out.collect() if r.pkt_id < 100}
     assert got == {0: "b", 1: "b", 2: None, 3: None}
+
+
+def late_parts(spark, sf, path):
+    """Packets in time order, but every ninth one of the first half in the last file."""
+    source = table(spark, sf, "packets")
+    late = (F.col("pkt_id") % 9 == 0) & (F.col("pkt_id") < 500)
+    steps = [~late & (F.col("pkt_id") >= i * 250) & (F.col("pkt_id") < (i + 1) * 250) for i in range(4)]
+    for part in (*steps, late):
+        source.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return readers.read_packets(spark, path, stream=True, maxFilesPerTrigger=1), source
+
+
+def test_late_packets_are_counted_and_repaired(spark, sf, tmp_path):
+    stream, source = late_parts(spark, sf, str(tmp_path / "in"))
+    closed = flows.run_available(flows.stream_flow_core(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    late = flows.late_packets(closed, source).agg(F.sum("late")).first()[0]
+    assert late > 20
+    assert same(flows.flush_open_windows(flows.repair_late(closed, source), source), flows.stream_flow_core(source))
+
+
+def test_late_packets_keep_their_row_without_ttl(spark, sf, tmp_path):
+    stream, source = late_parts(spark, sf, str(tmp_path / "in"))
+    tracked = flows.run_available(state.stream_prev_seq(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert tracked.count() == source.filter("protocol = 6").count()
+
+
+def test_windows_below_a_millisecond(spark, sf):
+    import pytest
+
+    source = table(spark, sf, "packets").limit(50)
+    assert flows.stream_flow_core(source, 0.0005).agg(F.sum("packet_count")).first()[0] > 0
+    with pytest.raises(ValueError):
+        flows.stream_flow_core(source, 0.0000005)
+
+
+def test_replayed_status_batch_is_not_doubled(spark, sf, tmp_path):
+    rows = flows.stream_flow_core(table(spark, sf, "packets"))
+    sink = flows.status_sink(str(tmp_path / "rows"), str(tmp_path / "status"))
+    for _ in range(2):
+        sink(rows, 7)
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == rows.count()
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "status")).select("batch_id", "rows").collect()] == [(7, rows.count())]
