@@ -37,6 +37,8 @@ PERCENT = 85
 MIN_ESTIMATE = 0.70
 #: Classes of one band that are compared with each other in one task.
 BLOCK = 256
+#: Bands above this size get a central star first, which saves pairs; below it all pairs are few.
+CENTRED = 32
 
 _RNG = np.random.default_rng(97)
 _A = _RNG.integers(1, 2**62, BANDS * ROWS, dtype=np.int64).astype(U64) * U64(2) + U64(1)
@@ -208,10 +210,13 @@ def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``band, rep, root, n`` of the bands whose classes still lie in different components."""
+    """``band, rep, root, n`` of the bands whose classes still lie in different components.
+
+    A band of two has had its only pair compared.
+    """
     known = members.select("band", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     known = keep(known)
-    split = known.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).filter("r1 <> r2")
+    split = known.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).filter("r1 <> r2 AND n > 2")
     return keep(known.join(split.select("band", "n"), "band"))
 
 
@@ -233,6 +238,7 @@ def centre_pairs(opened: DataFrame, classes: DataFrame) -> DataFrame:
     Copies of one text may each be close to it but not to each other; the text they come from is the
     most central one.  It is found block by block, then among the centres of blocks, until one is left.
     """
+    opened = opened.filter(F.col("n") > CENTRED)
     rows = opened.select("band", "rep", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")).join(classes.select("rep", "signature"), "rep")
     most = opened.agg(F.max("n")).first()[0] or 0
     while most > 1:

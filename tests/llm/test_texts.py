@@ -63,6 +63,7 @@ def test_near_groups(spark):
 
 def test_near_crossing_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "CENTRED", 2)
     rows = near_rows()
     got = near_dedup.group_documents(documents(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_groups(rows)
