@@ -76,12 +76,18 @@ class Encoder:
     """Ids of whole texts; each distinct word is handed to the tokenizer once.
 
     The vocabulary's pre-tokenizer never joins across white space, so a text's ids are those of its
-    stretches between spaces, tabs and line ends.  ASCII stretches go to the tokenizer's model piece by
-    piece, others through its whole chain.  ``tests/llm`` compares this with encoding whole texts.
+    stretches between spaces, tabs and line ends.  Stretches of ASCII and Latin letters, which no
+    normalisation changes but lower case, go to the tokenizer's model piece by piece, others through its
+    whole chain.  ``tests/llm`` compares this with encoding whole texts.
     """
 
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    LATIN = "ß-öø-įı-ſ"
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]*")
+    PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^\sa-z0-9{LATIN}]+")
     GAP = re.compile(r"[ \t\r\n]+")
+    #: The byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256 and on.
+    VISIBLE = (*range(33, 127), *range(161, 173), *range(174, 256))
+    BYTES = {**{b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - {*range(33, 127), *range(161, 173), *range(174, 256)}))}, **{b: chr(b) for b in VISIBLE}}
 
     def __init__(self, tokenizer_file: str, cached: int = 1_500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -94,11 +100,12 @@ class Encoder:
     def _piece(self, piece: str) -> tuple[int, ...]:
         found = self.pieces.get(piece)
         if found is None:
-            found = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(piece))
+            text = piece if piece.isascii() else "".join(map(self.BYTES.__getitem__, piece.encode()))
+            found = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(text)])
         return found
 
     def _word(self, word: str) -> tuple[int, ...]:
-        if word.isascii() and not any(s in word for s in self.special) and word.isprintable():
+        if self.PLAIN.fullmatch(word) and not ("<" in word and any(s in word for s in self.special)):
             pieces = self.PIECE.findall(word.lower())
             return self._piece(pieces[0]) if len(pieces) == 1 else tuple(chain.from_iterable(map(self._piece, pieces)))
         return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
@@ -109,8 +116,9 @@ class Encoder:
         if len(known) > self.cached:
             known.clear()
             self.pieces.clear()
-        for word in set(words) - known.keys():
-            known[word] = self._word(word)
+        for word in set(words):
+            if word not in known:
+                known[word] = self._word(word)
         return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), dtype=np.uint32)
 
 
