@@ -17,7 +17,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,21 +96,26 @@ class Encoder:
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model, self.pieces, self.words, self.cached = self.tokenizer.model, {}, {}, cached
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
             text = piece if piece.isascii() else "".join(map(self.BYTES.__getitem__, piece.encode()))
-            found = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(text)])
+            found = self.pieces[piece] = self._bytes([t.id for t in self.model.tokenize(text)])
         return found
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         if self.PLAIN.fullmatch(word) and not ("<" in word and any(s in word for s in self.special)):
             pieces = self.PIECE.findall(word.lower())
-            return self._piece(pieces[0]) if len(pieces) == 1 else tuple(chain.from_iterable(map(self._piece, pieces)))
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> np.ndarray:
-        words = self.GAP.split(text)
+        # Python also splits at four control characters that are no white space to the vocabulary.
+        words = self.GAP.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
         known = self.words
         if len(known) > self.cached:
             known.clear()
@@ -119,7 +123,7 @@ class Encoder:
         for word in set(words):
             if word not in known:
                 known[word] = self._word(word)
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), dtype=np.uint32)
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
 
 
 def _chunks(encoder: Encoder, batches: Iterator[pa.RecordBatch], part: int, end_id: int) -> Iterator[dict]:
