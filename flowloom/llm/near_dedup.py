@@ -4,7 +4,8 @@ Documents with equal shingle sets are one class; only classes are compared.  The
 universal hashes are cut into bands; classes that share a band meet.  In each band every class is
 compared with the smallest one (a star, not all pairs): signatures first, then the full sets.  Bands whose classes still
 lie in different components get a second star around their most central class.  What is apart even then
-is compared pair by pair across components, in blocks of bounded size, so no link is lost to the stars.
+is compared pair by pair across components, inside blocks of bounded size that pass on links only, so no
+link is lost to the stars and no pairs are made.
 Components come from alternating large-star and small-star
 steps on stored edge tables.
 
@@ -182,15 +183,19 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-_BLOCK_PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_BLOCK_LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components in one block pair of one band, each told by the first band they share."""
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links across components in one block pair of one band; each pair is looked at in the first band it shares.
+
+    A link joins two components, so later pairs between them need no look.
+    """
     rows = rows.sort_values("rep").reset_index(drop=True)
     sig = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(len(rows), -1)
     keys, here = band_keys(sig), int(rows["band"].iloc[0])
-    rep, root, size = rows["rep"].to_numpy(), rows["root"].to_numpy(), rows["n_shingles"].to_numpy()
+    rep, root, size = rows["rep"].to_numpy(), rows["root"].to_numpy().copy(), rows["n_shingles"].to_numpy()
+    sets = [np.frombuffer(m, dtype=U64) for m in rows["members"]]
     block, own = rows["block"].to_numpy(), int(rows["i"].iloc[0]) == int(rows["j"].iloc[0])
     out_a, out_b = [], []
     for k in range(len(rows) - 1):
@@ -203,10 +208,15 @@ def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
             continue
         at = at[(sig[at] == sig[k]).mean(axis=1) >= MIN_ESTIMATE]
         first = (keys[at] == keys[k]).argmax(axis=1)
-        at = at[keys[k][first] == here]
-        out_a.append(np.full(len(at), rep[k]))
-        out_b.append(rep[at])
-    return pd.DataFrame({"a": np.concatenate([*out_a, np.zeros(0, int)]), "b": np.concatenate([*out_b, np.zeros(0, int)])})
+        for j in at[keys[k][first] == here].tolist():
+            if root[j] == root[k]:
+                continue
+            both = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+            if both * 100 >= (len(sets[k]) + len(sets[j]) - both) * PERCENT:
+                out_a.append(rep[k])
+                out_b.append(rep[j])
+                root[root == root[j]] = root[k]
+    return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
 
 
 def open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -255,13 +265,16 @@ def centre_pairs(opened: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("rep", "centre").alias("b"), F.least("rep", "centre").alias("a")).distinct()
 
 
-def cross_pairs(opened: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes that share a band, lie in different components and have similar signatures."""
+def cross_links(opened: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between classes that share a band and lie in different components.
+
+    Signatures and full sets are compared where the blocks lie; only links come out, not pairs.
+    """
     blocked = opened.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", "rep", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = dealt.join(classes.select("rep", "n_shingles", "signature"), "rep")
-    return rows.groupBy("band", "i", "j").applyInPandas(_block_pairs, _BLOCK_PAIRS).distinct()
+    rows = dealt.join(classes.select("rep", "n_shingles", "signature").join(sets, "rep"), "rep")
+    return rows.groupBy("band", "i", "j").applyInPandas(_block_links, _BLOCK_LINKS).distinct()
 
 
 def group_documents(documents: DataFrame) -> DataFrame:
@@ -278,7 +291,7 @@ def group_documents(documents: DataFrame) -> DataFrame:
     stars = keep(verify(star_pairs(members), classes, sets))
     central = keep(verify(centre_pairs(open_bands(members, components(stars)), classes), classes, sets))
     links = stars.union(central)
-    across = verify(keep(cross_pairs(open_bands(members, components(links)), classes)), classes, sets)
+    across = cross_links(open_bands(members, components(links)), classes, sets)
     roots = keep(components(links.union(across)))
     named = classes.select("print", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("root"))
     out = signed.select("doc_id", "n_shingles", "print").join(keep(named), "print", "left")
