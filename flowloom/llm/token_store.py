@@ -13,6 +13,7 @@ gives an empty store.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -88,7 +89,7 @@ class Encoder:
     VISIBLE = (*range(33, 127), *range(161, 173), *range(174, 256))
     BYTES = {**{b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - {*range(33, 127), *range(161, 173), *range(174, 256)}))}, **{b: chr(b) for b in VISIBLE}}
 
-    def __init__(self, tokenizer_file: str, cached: int = 1_500_000) -> None:
+    def __init__(self, tokenizer_file: str, cached: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -119,6 +120,7 @@ class Encoder:
         known = self.words
         if len(known) > self.cached:
             known.clear()
+        if len(self.pieces) > self.cached:
             self.pieces.clear()
         for word in set(words):
             if word not in known:
@@ -126,6 +128,12 @@ class Encoder:
         return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
 
 
+@functools.cache
+def encoder_of(tokenizer_file: str) -> Encoder:
+    """One encoder per Python worker, whose cache serves all tasks that run there."""
+    return Encoder(tokenizer_file)
+
+
 def _chunks(encoder: Encoder, batches: Iterator[pa.RecordBatch], part: int, end_id: int) -> Iterator[dict]:
     ids, doc_ids, lengths, chunk, offset, held = [], [], [], 0, 0, 0
 
@@ -162,7 +170,7 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str, end_id: in
     def run(batches):
         from pyspark import TaskContext
 
-        for row in _chunks(Encoder(tokenizer_file), batches, TaskContext.get().partitionId(), end_id):
+        for row in _chunks(encoder_of(tokenizer_file), batches, TaskContext.get().partitionId(), end_id):
             yield pa.RecordBatch.from_pylist([row], schema=types)
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
