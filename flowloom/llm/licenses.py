@@ -1,8 +1,9 @@
 """Licence scans: TF-IDF cosine to licence templates, then inheritance from the nearest directory.
 
 Units are the lines of a file and the file as a whole.  Weights of terms come from the number of
-documents of the whole corpus that hold them; a term outside the templates weighs as one that a single
-document holds.  A unit close enough to a template gives the file that licence.  Licence files (by name,
+documents of the whole corpus that hold them.  Units that cannot reach the threshold even if all terms
+outside the templates had the least weight are dropped; the others are compared, each distinct unit once,
+with the counted weights of all their terms.  A unit close enough to a template gives the file that licence.  Licence files (by name,
 or by the whole text) declare the licence of their directory, and files without a licence of their own
 take the one of the nearest directory above that declares one, found by joins on paths.
 
@@ -13,6 +14,7 @@ cosine, then name; rows that repeat are each reported; an empty table gives an e
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -20,10 +22,11 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.sized import keep
+from flowloom.functions.sized import keep, lookup_join
 
 # Header lines of public licences.  Fixed values.
 TEMPLATES = {
@@ -37,6 +40,8 @@ TEMPLATES = {
     "proprietary": ("All rights reserved.",),
 }
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
+#: Terms a task counts before it passes them on.
+HELD = 1 << 18
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
@@ -46,7 +51,7 @@ def terms(text: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Template vectors of unit length, the weight of each template term, and the weight of other terms."""
+    """Template vectors of unit length, the weight of each template term, and the weight of a term that one document holds."""
 
     weight: dict[str, float]
     unseen: float
@@ -54,12 +59,15 @@ class Index:
     postings: dict[str, list[tuple[int, float]]]
     required: frozenset[str]
 
-    def best(self, words: list[str], threshold: float) -> tuple[float, str] | None:
-        """Highest cosine of at least the threshold and the licence's name."""
+    def best(self, words: list[str], threshold: float, others: Mapping[str, float] | None = None, other: float | None = None) -> tuple[float, str] | None:
+        """Highest cosine of at least the threshold and the licence's name.
+
+        ``others`` are weights of terms outside the templates; ``other`` is the weight of any that have none.
+        """
         if self.required.isdisjoint(words):
             return None
-        counts = Counter(words)
-        square = math.fsum((self.weight.get(w, self.unseen) * n) ** 2 for w, n in counts.items())
+        counts, others, other = Counter(words), others or {}, self.unseen if other is None else other
+        square = math.fsum((self.weight.get(w) or others.get(w, other)) ** 2 * n * n for w, n in counts.items())
         dots: Counter[int] = Counter()
         for w, n in counts.items():
             for t, value in self.postings.get(w, ()):
@@ -68,6 +76,10 @@ class Index:
         good = [x for x in scored if x[0] >= threshold]
         return min(good, key=lambda x: (-round(x[0], 12), x[1])) if good else None
 
+    def may_match(self, words: list[str], threshold: float) -> bool:
+        """Whether the cosine can reach the threshold: no term of the corpus weighs less than 1."""
+        return self.best(words, threshold - 1e-9, other=1.0) is not None
+
 
 def build_index(templates: Mapping[str, tuple[str, ...]], counts: Mapping[str, int], n_docs: int, threshold: float) -> Index:
     """Vectors of the templates.
@@ -91,53 +103,92 @@ def build_index(templates: Mapping[str, tuple[str, ...]], counts: Mapping[str, i
     return Index(weight, math.log((n_docs + 1) / 2) + 1, names, postings, frozenset(required))
 
 
-def document_counts(files: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str, int], int]:
-    """Documents of the corpus that hold each template term, and all documents; the vocabulary bounds what is collected."""
+def document_counts(files: DataFrame) -> DataFrame:
+    """``term, n``: documents of the corpus that hold each term; the empty term stands for all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 seen[""] += 1
-                seen.update(vocabulary.intersection(terms(text or "")))
+                seen.update(set(terms(text or "")))
+                if len(seen) > HELD:
+                    yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+                    seen.clear()
         yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
-    rows = files.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    counts = {r["term"]: r["n"] for r in rows}
-    return counts, counts.pop("", 0)
+    return files.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def directory(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
 
 
-def own_licences(files: DataFrame, threshold: float, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    """``id, path, own, cosine, line`` (number of the best line, 0 for the whole text), ``whole`` (the whole text is a licence)."""
-    vocabulary = frozenset(w for lines in templates.values() for x in lines for w in terms(x))
-    counts, n_docs = document_counts(files, vocabulary)
-    shared = files.sparkSession.sparkContext.broadcast(build_index(templates, counts, n_docs, threshold))
+def units(text: str) -> Iterator[tuple[int, list[str]]]:
+    """Terms of the whole text (number 0) and of its lines."""
+    yield 0, terms(text)
+    for k, line in enumerate(text.splitlines(), 1):
+        yield k, terms(line)
+
+
+def candidates(files: DataFrame, index: Broadcast, threshold: float) -> DataFrame:
+    """``id, path, units``: per file the units whose cosine can reach the threshold, as number, key and terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index_here = index.value
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
-                text = text or ""
-                words = terms(text)
-                if index.required.isdisjoint(words):
-                    out.append((None, None, None, False))
-                    continue
-                whole = index.best(words, threshold)
-                units = [(x, 0) for x in [whole] if x]
-                for k, line in enumerate(text.splitlines(), 1):
-                    if found := index.best(terms(line), threshold):
-                        units.append((found, k))
-                (cosine, name), line = min(units, key=lambda u: (-round(u[0][0], 12), u[0][1], u[1]), default=((None, None), None))
-                out.append((name, cosine, line, whole is not None))
-            columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.int32(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("path"), *columns], names=["id", "path", "own", "cosine", "line", "whole"])
-
-    return files.mapInArrow(run, "id long, path string, own string, cosine double, line int, whole boolean")
+                found = []
+                if not index_here.required.isdisjoint(terms(text or "")):
+                    for k, words in units(text):
+                        if index_here.may_match(words, threshold):
+                            joined = " ".join(words)
+                            found.append({"line": k, "key": hashlib.sha256(joined.encode()).hexdigest(), "words": joined})
+                out.append(found)
+            kind = pa.list_(pa.struct([("line", pa.int32()), ("key", pa.string()), ("words", pa.string())]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("path"), pa.array(out, kind)], names=["id", "path", "units"])
+
+    return files.mapInArrow(run, "id long, path string, units array<struct<line:int,key:string,words:string>>")
+
+
+def judged_units(distinct: DataFrame, counted: DataFrame, index: Broadcast, n_docs: int, threshold: float) -> DataFrame:
+    """``key, own, cosine`` of the distinct units (``key, words``) that reach the threshold under the weights of the corpus."""
+    known = sorted(index.value.weight)
+    outside = distinct.select("key", F.explode(F.array_except(F.split("words", " "), F.lit(known))).alias("term"))
+    weight = (F.log((n_docs + 1) / (F.col("n") + 1)) + 1).alias("weight")
+    weights = counted.join(outside.select("term").distinct(), "term", "left_semi").select("term", weight)
+    per_unit = lookup_join(outside, weights, ["term"], ["key"], "inner").groupBy("key").agg(F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                others = dict(zip(row["terms"] or (), row["weights"] or (), strict=True))
+                found = index.value.best(row["words"].split(" "), threshold, others)
+                if found:
+                    out.append({"key": row["key"], "cosine": found[0], "own": found[1]})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.string()), ("cosine", pa.float64()), ("own", pa.string())]))
+
+    return distinct.join(per_unit, "key", "left").select("key", "words", "terms", "weights").mapInArrow(run, "key string, cosine double, own string")
+
+
+def own_licences(files: DataFrame, threshold: float, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
+    """``id, path, own, cosine, line`` (number of the best line, 0 for the whole text), ``whole`` (the whole text is a licence)."""
+    vocabulary = sorted({w for lines in templates.values() for x in lines for w in terms(x)})
+    counted = keep(document_counts(files))
+    counts = {r["term"]: r["n"] for r in counted.filter(F.col("term").isin(["", *vocabulary])).collect()}  # bounded by the templates
+    n_docs = counts.pop("", 0)
+    index = files.sparkSession.sparkContext.broadcast(build_index(templates, counts, n_docs, threshold))
+    rows = keep(candidates(files, index, threshold).select(F.monotonically_increasing_id().alias("row"), "*"))
+    each = rows.select("row", F.explode("units").alias("u")).select("row", "u.*")
+    distinct = keep(each.select("key", "words").distinct())
+    judged = judged_units(distinct, counted, index, n_docs, threshold)
+    found = lookup_join(each.drop("words"), judged, ["key"], ["row", "line"], "inner")
+    best = F.min(F.struct((-F.round("cosine", 12)).alias("c"), "own", "line", "cosine")).alias("b")
+    per_row = found.groupBy("row").agg(best, F.max(F.col("line") == 0).alias("whole"))
+    out = rows.drop("units").join(per_row, "row", "left")
+    return out.select("id", "path", F.col("b.own").alias("own"), F.col("b.cosine").alias("cosine"), F.col("b.line").alias("line"), F.coalesce("whole", F.lit(False)).alias("whole"))
 
 
 def scan(files: DataFrame, threshold: float = 0.8, templates: Mapping[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:

@@ -228,3 +228,27 @@ def test_licence_cosine_against_brute_force():
         best, found = max(scores), index.best(words, 0.5)
         assert (found is None) == (best[0] < 0.5)
         assert found is None or abs(found[0] - best[0]) < 1e-9
+
+
+def test_licence_cosine_uses_the_weights_of_the_corpus(spark):
+    import math
+    from collections import Counter
+
+    texts = {1: "All rights reserved worldwide.", 2: "Licensed under the Apache License, Version 2.0. zyxw", 3: "All rights reserved unheardof nowhereelse never", 4: None}
+    texts |= {i: "worldwide the of " + " ".join(prose(i, 12)) for i in range(10, 210)}
+    files = spark.createDataFrame([(i, None, t) for i, t in texts.items()], "id long, path string, text string")
+    got = {r["id"]: (r["own"], r["cosine"]) for r in licenses.scan(files).collect()}
+    held = Counter(w for t in texts.values() for w in set(licenses.terms(t or "")))
+
+    def vector(text):
+        return {w: n * (math.log((len(texts) + 1) / (held[w] + 1)) + 1) for w, n in Counter(licenses.terms(text)).items()}
+
+    for i, text in texts.items():
+        v, best = vector(text or ""), (0.0, "")
+        for name, lines in licenses.TEMPLATES.items():
+            for other in map(vector, lines):
+                dot = sum(x * other.get(w, 0) for w, x in v.items())
+                best = max(best, (dot / math.hypot(*v.values(), 1e-9) / math.hypot(*other.values()), name))
+        assert got[i][0] == (best[1] if best[0] >= 0.8 else None), i
+        assert got[i][0] is None or abs(got[i][1] - best[0]) < 1e-9
+    assert got[1][0] == "proprietary" and got[3][0] is None
