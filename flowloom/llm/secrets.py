@@ -2,7 +2,8 @@
 
 Base patterns find assignments, access keys and hexadecimal strings.  Further candidates are long
 mixed tokens.  The hash of each candidate's value is counted by distinct owners and repositories over
-the whole corpus: a value seen at many owners is a copied example, one that belongs to few looks live.
+the whole corpus: a value seen at many owners, or in many repositories for its owners, is a copied example,
+one that belongs to few looks live.
 Live mixed tokens are reported beside the base spans, which all stay.  DataFrame functions only; texts
 are read once, later steps use positions and hashes.
 
@@ -97,28 +98,33 @@ def scan(documents: DataFrame, owner: str, repository: str) -> DataFrame:
     return both.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", hashed.alias("spans"))
 
 
-def ownership(candidates: DataFrame, max_owners: int) -> DataFrame:
-    """Per value hash: distinct owners and repositories, and whether it looks live."""
+def ownership(candidates: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """Per value hash: distinct owners and their distinct repositories, and whether it looks live.
+
+    Live are values of at most ``max_owners`` owners in at most ``max_repositories`` repositories per owner on average.
+    """
     per_owner = candidates.groupBy("hash", "owner").agg(F.count_distinct("repository").alias("n"))
     per_hash = per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"))
-    return per_hash.withColumn("live", F.col("n_owners") <= max_owners)
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories * F.col("n_owners"))
+    return per_hash.withColumn("live", few)
 
 
-def find_secrets(documents: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2) -> DataFrame:
+def find_secrets(documents: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, max_repositories: int = 16) -> DataFrame:
     """One row per document: base spans, all spans, and how many candidates look live or copied.
 
-    Columns ``doc_id, base, spans`` (arrays of start, kind, end, hash), ``n_live, n_copied``.
+    Columns ``doc_id``, ``base`` (array of start, kind, end, hash), ``spans`` (the same with the n_owners and
+    n_repositories of the value), ``n_live, n_copied``.
     """
     rows = keep(scan(documents, owner, repository))
     each = rows.select("row", "owner", "repository", F.explode("spans").alias("s")).select("row", "owner", "repository", "s.*")
-    owned = keep(ownership(each, max_owners).select("hash", "live"))
+    owned = keep(ownership(each, max_owners, max_repositories))
     judged = each.select("row", "start", "kind", "end", "hash").join(owned, "hash")
-    span = F.struct("start", "kind", "end", "hash")
+    span = F.struct("start", "kind", "end", "hash", "n_owners", "n_repositories")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("kind") < 4) | F.col("live"), span)).alias("reported"),
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"),
     )
-    empty = F.array().cast("array<struct<start:long,kind:int,end:long,hash:string>>")
+    empty = F.array().cast("array<struct<start:long,kind:int,end:long,hash:string,n_owners:long,n_repositories:long>>")
     out = rows.join(per_row, "row", "left")
     return out.select(
         "doc_id", F.array_sort(F.filter("spans", lambda s: s["kind"] < 4)).alias("base"), F.array_sort(F.coalesce("reported", empty)).alias("spans"),

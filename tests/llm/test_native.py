@@ -55,6 +55,16 @@ def test_secret_spans(spark):
     assert by_id[7]["n_copied"] == 1 and by_id[7]["n_live"] == 0 and by_id[6]["n_live"] == 1
 
 
+def test_secrets_in_many_repositories_of_one_owner(spark):
+    rows = [(3 * i, f"x {LIVE} y") for i in range(10, 40)] + [(3 * i, f"x {LIVE[::-1]} y") for i in range(50, 54)]
+    found = secrets.find_secrets(documents(spark, rows)).collect()
+    by_id = {r["doc_id"]: (r["n_live"], r["n_copied"], [(s["n_owners"], s["n_repositories"]) for s in r["spans"]]) for r in found}
+    assert all(by_id[3 * i] == (0, 1, []) for i in range(10, 40))
+    assert all(by_id[3 * i] == (1, 0, [(1, 4)]) for i in range(50, 54))
+    wide = secrets.find_secrets(documents(spark, rows), max_repositories=30).filter("doc_id = 30").first()
+    assert [(s["n_owners"], s["n_repositories"]) for s in wide["spans"]] == [(1, 30)]
+
+
 def test_secrets_empty(spark):
     assert secrets.report(documents(spark, {})).count() == 0
 
