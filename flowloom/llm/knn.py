@@ -7,8 +7,8 @@ query block is sent only to groups that a query of it may still need, solved the
 products, and each task passes on k results per query at most.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows with null id, take
-no part; shorter vectors count as padded with zeros; a query never meets rows of its own id; ties go to
-the smaller id; fewer candidates than k give fewer rows; scores beyond a long stay at its limits; an
+no part; shorter vectors count as padded with zeros; a query never meets rows of its own id; rows that
+repeat an id are candidates each, and queries each, so ranks of a query id may repeat a row; ties go to the smaller id; fewer candidates than k give fewer rows; scores beyond a long stay at its limits; an
 empty table gives an empty result.
 """
 
@@ -86,9 +86,9 @@ def best(query: np.ndarray, score: np.ndarray, vec: np.ndarray, k: int) -> tuple
 def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, pivots: int = PIVOTS, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` highest inner products; queries are the ids divisible by ``every``."""
     spark = embeddings.sparkSession
-    rows = keep(usable(embeddings, scale))
+    rows = keep(usable(embeddings, scale).select(F.monotonically_increasing_id().alias("row"), "*"))
     width = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
+    drawn = rows.orderBy(F.xxhash64("row"), "row").limit(sample).toPandas()
     s_ids = drawn["vec_id"].to_numpy(dtype=np.int64)
     s_rows = matrix(pa.array(drawn["v"].tolist(), pa.list_(pa.float64())), width)
     sample_of = spark.sparkContext.broadcast((s_ids, s_rows, s_rows[:pivots]))
@@ -100,13 +100,13 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: float = 64
             distance = (v**2).sum(1)[:, None] - 2 * v @ centres.T + (centres**2).sum(1)[None, :]
             group = distance.argmin(1) if len(v) else np.zeros(0, dtype=np.int64)
             radius = np.sqrt(((v - centres[group]) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(group, pa.int32()), pa.array(radius), pa.array([r.tobytes() for r in v], pa.binary())], names=["vec_id", "g", "radius", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("vec_id"), pa.array(group, pa.int32()), pa.array(radius), pa.array([r.tobytes() for r in v], pa.binary())], names=["row", "vec_id", "g", "radius", "v"])
 
-    assigned = keep(rows.mapInArrow(assign, "vec_id long, g int, radius double, v binary"))
+    assigned = keep(rows.mapInArrow(assign, "row long, vec_id long, g int, radius double, v binary"))
     asked = (F.col("vec_id") % every == 0).alias("asked")
     summary = keep(assigned.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("radius"), F.count_if(F.col("vec_id") % every == 0).alias("n_asked")))
     radii = {r["g"]: r["radius"] for r in summary.collect()}  # one row per pivot
-    salt = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / BLOCK))
+    salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / BLOCK))
     keyed = assigned.join(F.broadcast(summary.select("g", "n", "n_asked")), "g").withColumn("asked", asked)
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
@@ -116,7 +116,7 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: float = 64
 
     layout = "g int, ids binary, kind string, data binary"
     blocks = keep(keyed.withColumn("b", salt).select("g", "b", "vec_id", "v").groupBy("g", "b").applyInPandas(pack, layout))
-    q_salt = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n_asked") / BLOCK))
+    q_salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("n_asked") / BLOCK))
     q_blocks = keyed.filter("asked").withColumn("b", q_salt).select("g", "b", "vec_id", "v").groupBy("g", "b").applyInPandas(pack, layout)
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,6 +166,6 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: float = 64
         found = best(*(np.concatenate(x) for x in zip(*parts, strict=True)), k)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "score", "vec_id"])
 
-    found = pairs.mapInArrow(solve, "query_id long, score long, vec_id long").distinct()
+    found = pairs.mapInArrow(solve, "query_id long, score long, vec_id long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -132,3 +132,18 @@ def test_knn(spark, n):
     got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in knn.top_k(table, k=5, every=20, pivots=4, sample=64).collect()}
     assert got == brute(rows, 5, 20)
     assert knn.top_k(table.limit(0)).count() == 0
+
+
+def test_knn_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(100)]
+    rows += [(7, [4.0] * 8)] * 30 + [(9, [-4.0] * 8)] * 3 + [(20, rows[20][1]), (40, [1.0] * 8)]
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q in range(0, 100, 20):
+        pairs = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for i, v in whole if i == q for j, w in whole if j != q)
+        want += [(q, n, j, -s) for n, (s, j) in enumerate(pairs[:20], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for sample in (16, 64):
+        got = sorted(tuple(r) for r in knn.top_k(table, k=20, every=20, pivots=4, sample=sample).collect())
+        assert got == sorted(want)
