@@ -252,3 +252,31 @@ def test_licence_cosine_uses_the_weights_of_the_corpus(spark):
         assert got[i][0] == (best[1] if best[0] >= 0.8 else None), i
         assert got[i][0] is None or abs(got[i][1] - best[0]) < 1e-9
     assert got[1][0] == "proprietary" and got[3][0] is None
+
+
+def test_wrapped_headers_and_whole_licence_files(spark):
+    import textwrap
+
+    def wrapped(text, mark="", width=70):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    code = "\n".join(f"value_{i} = compute_{i}(alpha, beta)" for i in range(60))
+    gpl = licenses.TEMPLATES["gpl-3.0"][0] + ", or (at your option) any later version."
+    bsd = licenses.TEMPLATES["bsd-3-clause"][0] + ":"
+    apache = licenses.TEMPLATES["apache-2.0"][1] + " You may obtain a copy of the License at"
+    notice = "Copyright (c) 2019, Some Body\nAll rights reserved.\n\n"
+    texts = {
+        "gpl-3.0": [wrapped(gpl, "# ") + "\n" + code, wrapped(gpl, " ", 40) + "\n\n" + code, licenses.TEXTS["gpl-3.0"]],
+        "bsd-3-clause": ["/*\n" + wrapped(bsd) + "\n*/\n" + code, notice + licenses.TEXTS["bsd-3-clause"]],
+        "apache-2.0": [wrapped(apache, " * ") + "\n" + code, licenses.TEXTS["apache-2.0"]],
+        "mit": ["MIT License\n\n" + notice + licenses.TEXTS["mit"], "\n".join("// " + x for x in licenses.TEXTS["mit"].splitlines()) + "\n" + code],
+        "mpl-2.0": [licenses.TEXTS["mpl-2.0"]],
+    }
+    named = [(name, text) for name, group in texts.items() for text in group]
+    rows = [(i, f"d{i}/file.txt", text) for i, (_, text) in enumerate(named)] + [(100 + i, f"d{i}/below/x.py", "plain") for i in range(len(named))]
+    rows += [(1000 + i, None, "the of and to " + " ".join(prose(i, 40))) for i in range(300)]
+    got = {r["id"]: r for r in licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    for i, (name, text) in enumerate(named):
+        assert got[i]["own"] == name, (i, text[:60])
+        if text.startswith(notice) or text.startswith("MIT License") or text == licenses.TEXTS.get(name):
+            assert got[100 + i]["licence"] == name, (i, text[:60])
