@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, knn, licenses, main_text, mixing, near_dedup, secrets, token_store, toxicity, warc
+from flowloom.llm import decontaminate, knn, licenses, main_text, mixing, near_dedup, periodic_runs, secrets, token_store, toxicity, warc
 from flowloom.llm.oracles import ORACLE
 
 
@@ -70,6 +70,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.report(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.report(read(spark, sf_dir, "documents"), periodic=True)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -87,6 +91,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_knn": op9_knn,
     "op10_toxicity": op10_toxicity,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
 __all__ = ["ORACLE", "QUERIES", "read"]
