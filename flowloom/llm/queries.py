@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, knn, licenses, main_text, mixing, near_dedup, periodic_runs, secrets, token_store, toxicity, warc
+from flowloom.llm import cross_tokens, decontaminate, knn, licenses, main_text, mixing, near_dedup, periodic_runs, secrets, token_store, toxicity, warc
 from flowloom.llm.oracles import ORACLE
 
 
@@ -70,6 +70,13 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.report(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_cross_tokens(spark, sf_dir):
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return cross_tokens.report(read(spark, sf_dir, "documents"), *paths)
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.report(read(spark, sf_dir, "documents"), periodic=True)
 
@@ -91,6 +98,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_knn": op9_knn,
     "op10_toxicity": op10_toxicity,
+    "op11_cross_tokens": op11_cross_tokens,
     "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
