@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import cross_tokens, decontaminate, knn, licenses, main_text, mixing, near_dedup, periodic_runs, secrets, token_store, toxicity, warc
+from flowloom.llm import cross_tokens, decontaminate, disclosure, knn, licenses, main_text, mixing, near_dedup, periodic_runs, secrets, token_store, toxicity, warc
 from flowloom.llm.oracles import ORACLE
 
 
@@ -81,6 +81,10 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.report(read(spark, sf_dir, "documents"), periodic=True)
 
 
+def op13_disclosure(spark, sf_dir):
+    return disclosure.report(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -100,6 +104,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_cross_tokens": op11_cross_tokens,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_disclosure": op13_disclosure,
     "pipeline": pipeline,
 }
 __all__ = ["ORACLE", "QUERIES", "read"]
