@@ -39,6 +39,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 NEAR, MIN_TERM, BEGINNING = 10, 3, 4
 #: Bits of the table that preselects candidate terms; a power of two, 1 MB.
 FILTER_BITS = 1 << 23
+#: Words whose test a task remembers.
+KNOWN_WORDS = 100_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -216,11 +218,11 @@ def _holders(table: np.ndarray):
 
         known: dict[str, str | None] = {}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=1 << 20):
                 texts = whole_texts(part.column("text"))
                 words, offsets = split_words(texts)
                 coded = words.dictionary_encode()
-                if len(known) > 1_000_000:
+                if len(known) > KNOWN_WORDS:
                     known.clear()
                 wanted = np.zeros(len(coded.dictionary), dtype=np.int64)
                 names: dict[str, int] = {}
@@ -297,9 +299,10 @@ def _apply(with_texts: bool):
         return spans, sum(bool(s[3]) for s in terms), sum(not s[3] for s in terms), "".join(pieces) + text[at:] if with_texts else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Python objects of a few rows at a time: texts and lists of terms may be long.
+        for part in (batch.slice(at, 32) for batch in batches for at in range(0, batch.num_rows, 32)):
             rows = []
-            for r in batch.to_pylist():
+            for r in part.to_pylist():
                 base = [(s["start"], s["kind"], s["end"], s["entity"]) for s in r["base"]]
                 general: dict[str, str | None] = {}
                 for t in r["terms"] or []:
