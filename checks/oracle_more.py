@@ -396,6 +396,21 @@ def _features() -> tuple[str, list[str]]:
 
 _CHAIN, _HOST_COLS = _features()
 
+#: Per packet the newest entry of its flow, else of the reverse flow, younger than the time to live.
+_PACKET_SIDE = """
+{name} as (select p.pkt_id, arg_max({entry}, c.ts_ns) as e from annotated p join l7_merged c on {where}
+  and c.ts_ns <= p.ts_ns and p.ts_ns - c.ts_ns < {ttl} group by p.pkt_id)"""
+PACKET_HITS = build(
+    "with "
+    + _PACKET_SIDE.format(name="own", entry=_ENTRY, where=_SAME.replace("r.", "p."), ttl=TTL)
+    + ","
+    + _PACKET_SIDE.format(name="back", entry=_ENTRY, where=_BACK.replace("r.", "p."), ttl=TTL)
+    + f""" select pkt_id, coalesce(own.e, back.e) is not null as matched,
+      {", ".join(f"coalesce(own.e, back.e)[{i + 1}] as {n}" for i, n in enumerate([*_PAYLOAD, *_META]))}
+      from annotated left join own using (pkt_id) left join back using (pkt_id)""",
+    "annotated", "l7_merged",
+)
+
 
 def _on_features(body: str) -> str:
     return same_rounding(_CHAIN + "\n" + body)

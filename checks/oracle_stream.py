@@ -2,6 +2,7 @@
 
 from checks.oracle_base import GROUP, build
 from checks.oracle_flows import BODIES, ORACLE as FLOWS
+from checks.oracle_more import ORACLE as MORE, PACKET_HITS
 
 _TTL = f"select {GROUP}, min(case when ip_ttl > 0 then ip_ttl end) as ttl_min from tracked group by {GROUP}"
 _STD = f"select {GROUP}, coalesce(round(stddev_samp(gap_ns) / 1e6, 4), 0) as std from valid group by {GROUP}"
@@ -23,3 +24,6 @@ ORACLE = {
     ),
 }
 ORACLE["stream_late_repaired"] = ORACLE["stream_flow_core"]
+ORACLE["stream_l7_windows"] = MORE["l7_asof"]
+ORACLE["stream_l7_asof"] = PACKET_HITS
+ORACLE["stream_flow_features"] = MORE["flow_features"]

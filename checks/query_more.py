@@ -9,7 +9,6 @@ from checks.fixtures import table
 from checks.oracle_more import CORR, SCALED
 from checks.query_flows import annotated, packets, rounded
 from flowloom import schema as S
-from flowloom.functions.scalar import flow_id
 from flowloom.functions.sized import keep, scratch_path, small_side
 from flowloom.operators import detect, dns, extra, flood, host, l7, mlprep, report
 from flowloom.operators import packets as pk
@@ -109,8 +108,7 @@ def kfold(spark, sf):
 
 
 def sequences(spark, sf):
-    seqs = mlprep.sequences(features(spark, sf), ["packet_count", "retransmission_count"], 5)
-    seqs = seqs.withColumn("flow_id", flow_id())
+    seqs = mlprep.sequences(features(spark, sf), ["packet_count", "retransmission_count"], 5, carry=["flow_id"])
     text = lambda c: F.concat_ws(",", F.col(c).cast("array<string>")).alias(c)
     return seqs.select("host", "flow_id", "window_id", text("packet_count_seq"), text("retransmission_count_seq"))
 

@@ -6,16 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures
-from checks.query_flows import packets, rounded
+from checks.query_flows import GROUP, annotated, packets, rounded
+from checks.query_more import THRESHOLD, host_windows
 from flowloom.functions.scalar import has_flag
-from flowloom.functions.sized import scratch_path
+from flowloom.functions.sized import keep, scratch_path
 from flowloom.operators.connections import connection_state, out_of_order, retransmission
+from flowloom.operators.flows import flow_features
+from flowloom.operators.l7 import META, PAYLOAD, add_entries, l7_entries
+from flowloom.plans.pipeline import Settings
 from flowloom.sources.readers import read_packets
-from flowloom.streaming import flows, state
+from flowloom.streaming import flows, l7, state, wide
+from flowloom.streaming.keyed import end_marker
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
+def entries_of(spark: SparkSession, sf: str) -> DataFrame:
+    return l7_entries(fixtures.table(spark, sf, "l7_lines"))
+
+
 def packet_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The derived packets as a stream over the event files."""
     spark.readStream.schema(EVENTS).parquet(f"{sf}/events*.parquet").createOrReplaceTempView("events")
@@ -41,13 +50,50 @@ def stream_late_repaired(spark, sf):
     return rounded(flows.flush_open_windows(repaired, source), {"inter_arrival_std_ms": 4})
 
 
+def fed(spark: SparkSession, rows: DataFrame, number: str, n: int = 5) -> DataFrame:
+    """A stream of ``n`` files of rows in the order of ``number``, one per micro-batch, and of a last row that ends it."""
+    path, rows = scratch_path(spark), keep(rows)
+    step = (rows.agg(F.max(number)).first()[0] or 0) // n + 1
+    for i in range(n):
+        rows.filter((F.col(number) >= i * step) & (F.col(number) < (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+    end_marker(rows, 120).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def stream_flood_gate(spark, sf):
-    gated = flows.run_available(state.stream_flood_gate(packet_stream(spark, sf), 12))
+    gated = wide.run_closed(wide.stream_gate(fed(spark, packets(spark, sf), "pkt_id"), 12))
     return gated.select("pkt_id", "host", "src_ip", "dropped")
 
 
+def l7_told(spark: SparkSession, source: DataFrame, entries: DataFrame) -> DataFrame:
+    return wide.run_closed(l7.stream_matches(source, fed(spark, entries, "rec_id")))
+
+
+def stream_l7_asof(spark, sf):
+    """One row per packet, with the entry it sees."""
+    source, entries = packets(spark, sf), entries_of(spark, sf)
+    told = l7.packet_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries))
+    return told.select("pkt_id", "matched", *PAYLOAD, *META)
+
+
+def stream_l7_windows(spark, sf):
+    """One row per flow window, with the entry it is given."""
+    source, entries = packets(spark, sf), entries_of(spark, sf)
+    matched = l7.window_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries))
+    return add_entries(flow_features(annotated(spark, sf)).select(*GROUP), matched)
+
+
+def stream_flow_features(spark, sf):
+    """The 94 columns from streams of packets and of application entries, five files each."""
+    settings, hosts = Settings(threshold=THRESHOLD), host_windows(spark, sf)
+    closed = wide.run_closed(wide.closed_windows(fed(spark, packets(spark, sf), "pkt_id"), settings))
+    passed = wide.let_through(fed(spark, packets(spark, sf), "pkt_id"), settings).filter("dropped = 0")
+    matched = l7.window_matches(l7_told(spark, passed, entries_of(spark, sf)))
+    return rounded(wide.feature_rows(closed, settings, hosts, matched), {"zero_window_duration": 9, "handshake_latency": 9})
+
+
 def stream_conn_track(spark, sf):
-    tracked = flows.run_available(state.stream_prev_seq(packet_stream(spark, sf)))
+    tracked = wide.run_closed(state.stream_prev_seq(packet_stream(spark, sf)))
     seq, prev, syn = F.col("tcp_seq"), F.col("prev_seq"), has_flag(2)
     return tracked.select(
         "pkt_id",
@@ -63,4 +109,7 @@ QUERIES = {
     "stream_late_repaired": stream_late_repaired,
     "stream_flood_gate": stream_flood_gate,
     "stream_conn_track": stream_conn_track,
+    "stream_l7_asof": stream_l7_asof,
+    "stream_l7_windows": stream_l7_windows,
+    "stream_flow_features": stream_flow_features,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,11 +133,13 @@ def window_stats(tracked: DataFrame, rcode_mask: int = 3) -> DataFrame:
     return stats.filter(F.col("packet_count") > 0)
 
 
-def _quantile(stats_columns: list[str], name: str) -> Column:
-    value = F.get("gaps", rank_index(F.size("gaps"), QUANTILES[name]))
-    if f"_c_{name}" in stats_columns:
-        value = F.coalesce(F.col(f"_c_{name}"), value)
-    return F.when(F.col("n_gaps") >= 2, value / 1e6).otherwise(F.lit(0.0))
+def _with_order_stats(stats: DataFrame) -> DataFrame:
+    """Add ``gap_p50, gap_p95, gap_p99`` and ``run`` from the gathered lists and the counts of crowded windows."""
+    run, gaps = longest_run(F.col("runs")), {q: F.get("gaps", rank_index(F.size("gaps"), QUANTILES[q])) for q in QUANTILES}
+    if "_c_run" in stats.columns:
+        run = F.greatest(run, F.coalesce("_c_run", F.lit(0).cast("long")))
+        gaps = {q: F.coalesce(F.col(f"_c_{q}"), value) for q, value in gaps.items()}
+    return stats.withColumns({**{f"gap_{q}": value for q, value in gaps.items()}, "run": run})
 
 
 def _most_frequent_l7() -> Column:
@@ -163,8 +167,16 @@ def flow_features(
     running total, else the flow's own count, which ``syn_count_flow`` always holds.
     """
     tracked = packets if "retransmission" in packets.columns else track_connections(packets, size_s, max_rows)
-    stats = window_stats(tracked, rcode_mask)
-    names = stats.columns
+    base = features_of(_with_order_stats(window_stats(tracked, rcode_mask)), size_s, rate_base)
+    return with_syn(base, syn).drop("_handshake")
+
+
+def features_of(stats: DataFrame, size_s: float = 5.0, rate_base: str = "window", keep: Sequence[str] = ()) -> DataFrame:
+    """The features that follow from the raw numbers of a flow window alone; those of SYN packets are still missing.
+
+    ``stats`` are the columns of :func:`window_stats` with ``gap_p50, gap_p95, gap_p99`` and ``run`` for the lists, on a
+    stream or a table.  ``_handshake`` is left for :func:`with_syn`.  Columns named in ``keep`` stay as they are.
+    """
     span = (F.col("end_ns") - F.col("start_ns")) / NS
     seconds = F.lit(float(size_s))
     if rate_base == "observed":
@@ -173,16 +185,13 @@ def flow_features(
         raise ValueError("rate_base is 'window' or 'observed'")
     n, size = F.col("packet_count"), F.col("byte_count")
     mean_ms, std_ms = F.coalesce("gap_mean", F.lit(0.0)) / 1e6, F.coalesce("gap_std", F.lit(0.0)) / 1e6
-    p50, p95, p99 = (_quantile(names, q) for q in QUANTILES)
-    run = longest_run(F.col("runs"))
-    if "_c_run" in names:
-        run = F.greatest(run, F.coalesce("_c_run", F.lit(0).cast("long")))
+    p50, p95, p99 = (F.when(F.col("n_gaps") >= 2, F.col(f"gap_{q}") / 1e6).otherwise(F.lit(0.0)) for q in QUANTILES)
     zero_ns = F.coalesce("zero_ns", F.lit(0)) - F.when(
         F.col("last_window") == 0, F.col("last_tcp_ns") - F.col("zero_open_ns")
     ).otherwise(F.lit(0))
     closed = F.col("fin_count") + F.col("rst_count")
     is_tcp = F.col("tcp_count") > 0
-    base = stats.select(
+    return stats.select(
         *GROUP,
         flow_id().alias("flow_id"),
         _most_frequent_l7().alias("l7_protocol"),
@@ -197,7 +206,7 @@ def flow_features(
         F.when(p50 > 0, p99 / p50).otherwise(F.lit(0.0)).alias("tail_latency_ratio"),
         "retransmission_count",
         ratio(F.col("retransmission_count"), F.col("tcp_count")).alias("retransmission_rate"),
-        run.alias("consecutive_retrans"),
+        F.col("run").alias("consecutive_retrans"),
         "out_of_order_count",
         F.col("rst_count").alias("tcp_resets"),
         "zero_window_count",
@@ -223,14 +232,16 @@ def flow_features(
         "tcp_window_drops",
         (closed / seconds).alias("connection_churn"),
         ratio(F.col("rst_count"), closed).alias("abnormal_termination_ratio"),
+        *keep,
     )
-    return _with_syn(base, syn).drop("_handshake")
 
 
-def _with_syn(base: DataFrame, syn: DataFrame | tuple[DataFrame, bool] | None) -> DataFrame:
-    """Add the SYN features, from the source's total where it is known."""
+def with_syn(base: DataFrame, syn: DataFrame | tuple[DataFrame, bool] | None) -> DataFrame:
+    """Add the SYN features, from the source's total where it is known: from ``syn``, or from a column ``_syn``."""
     own = F.col("syn_count_flow")
-    if syn is None:
+    if "_syn" in base.columns:
+        joined, count = base, F.coalesce(F.col("_syn"), own)
+    elif syn is None:
         joined, count = base, own
     else:
         table, small = syn if isinstance(syn, tuple) else small_side(syn)

@@ -256,8 +256,12 @@ def enrich_l7(
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Add the application fields to flow windows; empty text and zeros where none matched."""
+    return add_entries(flows, match_l7(packets, entries, size_s, ttl_s, max_rows))
+
+
+def add_entries(flows: DataFrame, matched: DataFrame) -> DataFrame:
+    """Flow windows with the fields of the entry ``l7`` that each was given; empty text and zeros where it has none."""
     names = [*S.L7_FEATURES, "http_url", "dns_query_name"]
-    matched = match_l7(packets, entries, size_s, ttl_s, max_rows)
     types = {f.name: f.dataType for f in matched.schema["l7"].dataType.fields}
     out = flows.join(matched, GROUP, "left")
     blank = {n: F.lit("" if types[n].simpleString() == "string" else 0) for n in names}

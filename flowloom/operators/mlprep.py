@@ -82,9 +82,9 @@ def stratified_folds(
 
 def sequences(
     features: DataFrame, names: Sequence[str], length: int = 5, keys: Sequence[str] = tuple(S.FLOW), order: str = "window_id",
-    ties: Sequence[str] = (),
+    ties: Sequence[str] = (), carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row: the values of the last ``length`` windows of its flow, oldest first.
+    """Per row: the values of the last ``length`` windows of its flow, oldest first, and the columns ``carry`` as they are.
 
     A flow is a host and its addresses; the short hash ``flow_id`` can be shared by several.  Rows of
     equal ``order`` are put in the order of ``ties``, then of their values.  Rows are numbered per flow
@@ -92,7 +92,7 @@ def sequences(
     repeated at the head of the next one, so long-lived flows are spread.
     """
     size = max(SEQUENCE_BLOCK, length)
-    slim = features.select(*keys, order, *[c for c in ties if c not in names], *names).withColumn("_slice", idiv(order, SEQUENCE_BLOCK))
+    slim = features.select(*keys, order, *[c for c in ties if c not in names], *names, *carry).withColumn("_slice", idiv(order, SEQUENCE_BLOCK))
     numbered = row_numbers(slim, keys, "_slice", [order, *ties, *names], "_row")
     block = idiv(F.col("_row") - 1, size)
     at = F.pmod(F.col("_row") - 1, F.lit(size))
@@ -100,7 +100,7 @@ def sequences(
     spread = numbered.withColumn("_home", block).withColumn("_block", F.explode(F.array_compact(F.array(block, lead_in))))
     frame = Window.partitionBy(*keys, "_block").orderBy("_row").rowsBetween(-length + 1, 0)
     cols = [F.collect_list(F.col(c)).over(frame).alias(f"{c}_seq") for c in names]
-    return spread.select(*keys, order, "_home", "_block", *cols).filter("_home = _block").drop("_home", "_block")
+    return spread.select(*keys, order, *carry, "_home", "_block", *cols).filter("_home = _block").drop("_home", "_block")
 
 
 def feature_corr(features: DataFrame, names: Sequence[str], label: str = "anomaly_label") -> DataFrame:

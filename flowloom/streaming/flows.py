@@ -150,35 +150,6 @@ def repair_late(emitted: DataFrame, packets: DataFrame, size_s: float = 5.0) ->
     return emitted.join(late, keys, "left_anti").select(*emitted.columns).unionByName(stream_flow_core(again, size_s))
 
 
-def l7_join(packets: DataFrame, entries: DataFrame, ttl_s: float = 30.0) -> DataFrame:
-    """Left join of a packet stream with the entries of its flow from the ``ttl_s`` before.
-
-    Both sides carry a watermark, so entries are forgotten after ``ttl_s`` like in a cache.
-    :func:`newest_l7` keeps the newest entry per packet.
-    """
-    late = whole_micros(ttl_s)
-    left = event_time(packets).withWatermark("ts", late)
-    names = [c for c in entries.columns if c not in (*S.FLOW, "ts_ns")]
-    right = event_time(entries).withWatermark("ts", late)
-    right = right.select(
-        *[F.col(k).alias(f"_{k}") for k in S.FLOW], F.col("ts").alias("l7_ts"), F.col("ts_ns").alias("l7_ts_ns"),
-        F.struct(*names).alias("l7"),
-    )
-    same = [F.col(k) == F.col(f"_{k}") for k in S.FLOW]
-    near = (F.col("l7_ts") <= F.col("ts")) & (F.col("l7_ts") > F.col("ts") - F.expr(f"interval {late}"))
-    condition = near
-    for s in same:
-        condition = condition & s
-    return left.join(right, condition, "left").drop(*[f"_{k}" for k in S.FLOW])
-
-
-def newest_l7(joined: DataFrame) -> DataFrame:
-    """Per packet the newest of the entries :func:`l7_join` found, null where it found none."""
-    return joined.groupBy(*S.FLOW, "pkt_id", F.window("ts", "1 millisecond").alias("_at")).agg(
-        F.max("ts_ns").alias("ts_ns"), F.max_by("l7", "l7_ts_ns").alias("l7")
-    ).drop("_at")
-
-
 def status_sink(features_path: str, status_path: str):
     """A ``foreachBatch`` function that writes feature rows and one status row per batch.
 

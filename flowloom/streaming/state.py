@@ -1,95 +1,56 @@
-"""Operators that keep state per key between micro-batches.
+"""Sequence tracking with state per flow between micro-batches.
 
-Packets of one key are put in order inside each micro-batch, so results equal the batch
-operators when batches arrive in time order; a packet that arrives in a later batch than a
-newer one is judged when it arrives.  A key's share of one batch is held in memory: limit
-batches with ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
+Packets of one flow are put in order inside each micro-batch, so results equal the batch operator when batches arrive in
+time order; a packet that arrives in a later batch than a newer one is judged when it arrives.  A flow's share of one batch is
+held in memory: limit batches with ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.  :mod:`flowloom.streaming.wide` puts packets
+in order across batches instead, and drops those behind the watermark.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowloom import schema as S
-from flowloom.functions.scalar import size_ns
-from flowloom.streaming.flows import event_time
-
-_GATE_STATE = "reset bigint, n bigint, blocked boolean"
-_SEQ_STATE = "last_seq bigint"
 
 
-def _with(packets: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*packets.schema.fields, T.StructField(name, kind)])
+class LastSequence(StatefulProcessor):
+    """Packets with the sequence number before them; the last one of a flow is kept, for ``ttl_ms`` after its last use."""
 
+    def __init__(self, columns: list[str], ttl_ms: int | None) -> None:
+        self.columns, self.ttl_ms = columns, ttl_ms
 
-def stream_flood_gate(packets: DataFrame, threshold: int = 500, window_s: float = 1.0) -> DataFrame:
-    """Packets with ``dropped``, like :func:`flowloom.operators.flood.flood_gate`.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "seq bigint", self.ttl_ms)
 
-    State per source: opening of the current rate window, packets counted in it, blocked or not.
-    """
-    win_ns = size_ns(window_s)
-    columns = packets.columns
-
-    def gate(key, batches, state: GroupState):
-        import numpy as np
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import pandas as pd
 
-        rows = pd.concat(list(batches)).sort_values(["ts_ns", "pkt_id"], kind="stable")
-        ts = rows["ts_ns"].to_numpy(np.int64)
-        reset, n, blocked = state.get if state.exists else (None, 0, False)
-        at = 0 if not blocked else len(ts)
-        drop_from = 0 if blocked else len(ts)
-        while at < len(ts):
-            # One step per rate window: all packets up to its end at once.
-            if reset is None or ts[at] - reset > win_ns:
-                reset, n = int(ts[at]), 0
-            end = int(np.searchsorted(ts, reset + win_ns, side="right"))
-            if n + end - at > threshold:
-                drop_from, n, blocked = at + threshold - n, threshold, True
-                break
-            n, at = n + end - at, end
-        state.update((reset, n, blocked))
-        yield rows[columns].assign(dropped=(np.arange(len(ts)) >= drop_from).astype("int32"))
+        pdf = pd.concat(list(rows)).sort_values(S.ORDER, kind="stable")
+        before = pdf["tcp_seq"].shift(1).astype("Int64")
+        if self.last.exists():
+            before.iloc[0] = self.last.get()[0]
+        self.last.update((int(pdf["tcp_seq"].iloc[-1]),))
+        yield pdf[self.columns].assign(prev_seq=before)
 
-    return packets.groupBy(*S.SOURCE).applyInPandasWithState(
-        gate, _with(packets, "dropped", T.IntegerType()), _GATE_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    def close(self) -> None:
+        pass
 
 
 def stream_prev_seq(packets: DataFrame, ttl_s: float | None = None) -> DataFrame:
-    """TCP packets with ``prev_seq``, the sequence number before them in their flow.
+    """TCP packets with ``prev_seq``, the sequence number before them in their flow; every packet comes out.
 
-    State per flow: the last sequence number.  By default it is kept and every packet comes out, like in
-    a batch.  With ``ttl_s`` a flow is forgotten once the watermark is that long past its last packet, so
-    that ended flows do not pile up; packets later than that are dropped then.
+    State per flow: the last sequence number.  With ``ttl_s`` a flow that had no packet for so long, by the clock, leaves the
+    state, so that ended flows do not pile up; no watermark is involved, and a late packet is judged like any other.
+    Start the stream with :func:`flowloom.streaming.wide.run_closed` or under :func:`flowloom.streaming.keyed.state_store`; with
+    ``ttl_s`` a stream that is to end needs the latter without idle batches.
     """
-    columns = packets.columns
-    ttl_ms = int(ttl_s * 1000) if ttl_s else 0
-
-    def track(key, batches, state: GroupState):
-        import pandas as pd
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values(["ts_ns", "pkt_id"], kind="stable")
-        before = rows["tcp_seq"].shift(1).astype("Int64")
-        if state.exists:
-            before.iloc[0] = state.get[0]
-        state.update((int(rows["tcp_seq"].iloc[-1]),))
-        if ttl_ms:
-            newest = int(rows["ts_ns"].iloc[-1]) // 1_000_000 + 1000
-            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + ttl_ms)
-        yield rows[columns].assign(prev_seq=before)
-
     tcp = packets.filter(packets["protocol"] == S.TCP)
-    timeout = GroupStateTimeout.NoTimeout
-    if ttl_ms:
-        # Rows at or before the watermark, at first 0, count as late; time starts behind it.
-        tcp = event_time(tcp, epoch_s=1).withWatermark("ts", f"{ttl_ms} milliseconds")
-        timeout = GroupStateTimeout.EventTimeTimeout
-    return tcp.groupBy(*S.FLOW).applyInPandasWithState(
-        track, _with(packets, "prev_seq", T.LongType()), _SEQ_STATE, "append", timeout
+    out = T.StructType([*packets.schema.fields, T.StructField("prev_seq", T.LongType())])
+    tracker = LastSequence(packets.columns, int(ttl_s * 1000) if ttl_s else None)
+    return tcp.groupBy(*S.FLOW).transformWithStateInPandas(
+        statefulProcessor=tracker, outputStructType=out, outputMode="append", timeMode="ProcessingTime" if ttl_s else "None"
     )

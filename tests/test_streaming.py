@@ -6,7 +6,8 @@ from checks.fixtures import table
 from flowloom import schema as S
 from flowloom.operators import flood
 from flowloom.sources import readers
-from flowloom.streaming import flows, state
+from flowloom.streaming import flows, state, wide
+from flowloom.streaming.keyed import end_marker, state_store
 
 
 def parts(spark, sf, path, n=4):
@@ -33,9 +34,12 @@ def test_windows_over_batches(spark, sf, tmp_path):
 
 def test_gate_state_over_batches(spark, sf, tmp_path):
     stream, source = parts(spark, sf, str(tmp_path / "in"))
-    gated = flows.run_available(state.stream_flood_gate(stream, 10), str(tmp_path / "out"), str(tmp_path / "cp"))
+    end_marker(source, 60).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    gated = wide.run_closed(wide.stream_gate(stream, 10), str(tmp_path / "out"), str(tmp_path / "cp"))
     want = flood.flood_gate(source, 10).select("pkt_id", "dropped")
     assert same(gated.select("pkt_id", "dropped"), want) and want.filter("dropped = 1").count() > 0
+    first = gated.filter("first = 1").select("host", "src_ip", F.col("ts_ns").alias("block_ts"), F.col("pkt_id").alias("block_id"))
+    assert same(first, flood.flood_blocklist(source, 10).drop("packet_count"))
 
 
 def test_status_rows(spark, sf, tmp_path):
@@ -53,23 +57,6 @@ def test_status_rows(spark, sf, tmp_path):
     assert status.agg(F.sum("rows")).first()[0] == spark.read.parquet(str(tmp_path / "rows")).count() > 0
 
 
-def test_l7_join_keeps_newest_within_ttl(spark, tmp_path):
-    key = "'h' AS host, '1.1.1.1' AS src_ip, 1 AS src_port, '2.2.2.2' AS dst_ip, 2 AS dst_port, 6 AS protocol".split(", ")
-    pk = spark.range(4).selectExpr(*key, "id AS pkt_id", "(id * 20 + 5) * 1000000000 AS ts_ns")
-    l7 = spark.createDataFrame([(1, "a"), (4, "b"), (200, "z")], "s bigint, namespace string").selectExpr(
-        *key, "s * 1000000000 AS ts_ns", "namespace"
-    )
-    pk.unionByName(pk.selectExpr(*[c for c in S.FLOW], "pkt_id + 100 AS pkt_id", "ts_ns + 400000000000 AS ts_ns")).coalesce(
-        1
-    ).write.parquet(str(tmp_path / "p"))
-    l7.coalesce(1).write.parquet(str(tmp_path / "l"))
-    left = spark.readStream.schema(pk.schema).parquet(str(tmp_path / "p"))
-    right = spark.readStream.schema(l7.schema).parquet(str(tmp_path / "l"))
-    out = flows.run_available(flows.newest_l7(flows.l7_join(left, right)), str(tmp_path / "o"), str(tmp_path / "cp"))
-    got = {r.pkt_id: r.l7.namespace if r.l7 and r.l7.namespace else None for r in out.collect() if r.pkt_id < 100}
-    assert got == {0: "b", 1: "b", 2: None, 3: None}
-
-
 def late_parts(spark, sf, path):
     """Packets in time order, but every ninth one of the first half in the last file."""
     source = table(spark, sf, "packets")
@@ -90,10 +77,27 @@ def test_late_packets_are_counted_and_repaired(spark, sf, tmp_path):
 
 def test_late_packets_keep_their_row_without_ttl(spark, sf, tmp_path):
     stream, source = late_parts(spark, sf, str(tmp_path / "in"))
-    tracked = flows.run_available(state.stream_prev_seq(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    tracked = wide.run_closed(state.stream_prev_seq(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert tracked.count() == source.filter("protocol = 6").count()
 
 
+def test_ended_flows_leave_the_state_and_no_packet_is_lost(spark, tmp_path):
+    """Twenty batches of ten new flows each: with a short time to live few flows are held, without one all are."""
+    held = {}
+    for name, ttl in (("kept", None), ("short", 0.001)):
+        path = str(tmp_path / f"in-{name}")
+        for i in range(6):
+            rows = spark.range(10).selectExpr("'h' AS host", f"concat('10.0.{i}.', id) AS src_ip", "1 AS src_port", "'b' AS dst_ip", "2 AS dst_port", "6 AS protocol", f"{i} * 100 + id AS pkt_id", f"({i} * 100 + id) * 1000 AS ts_ns", "id AS tcp_seq")
+            rows.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        with state_store(spark, idle_batches=not ttl):
+            query = state.stream_prev_seq(stream, ttl).writeStream.format("parquet").option("path", str(tmp_path / f"out-{name}")).option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start()
+            query.awaitTermination()
+        held[name] = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+        assert spark.read.parquet(str(tmp_path / f"out-{name}")).count() == 60
+    assert held["kept"] == 60 and held["short"] < 60
+
+
 def test_windows_below_a_millisecond(spark, sf):
     import pytest
 
