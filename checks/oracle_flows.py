@@ -254,3 +254,16 @@ ORACLE["blocked_flag"] = _fold(
        from (select *, ts_ns // 5000000000 as window_id from packets where packet_size > 0 and packet_size < 65536)
        left join b using (host, src_ip) group by {GROUP}""",
 )
+#: Rate windows one after the other: each step is the next window of every source.
+ORACLE["flood_steady"] = build(
+    """with steady as (select 'node-0' as host, concat('10.9.0.', cast(pkt_id % 2 as varchar)) as src_ip, (pkt_id // 2) * 100000000 as ts_ns, pkt_id from packets),
+       sent as materialized (select * from steady union all select host, src_ip, ts_ns, pkt_id + 1000000000 from steady where pkt_id % 6000 = 5990),
+       ordered as materialized (select *, row_number() over (partition by host, src_ip order by ts_ns, pkt_id) as rn,
+         count(*) over (partition by host, src_ip order by ts_ns range between current row and 250000000 following) as n from sent),
+       opened as (select host, src_ip, rn, n from ordered where rn = 1
+         union all select o.host, o.src_ip, o.rn, o.n from opened w join ordered o on o.host = w.host and o.src_ip = w.src_ip and o.rn = w.rn + w.n where w.n <= 3)
+       select b.host, b.src_ip, b.ts_ns as block_ts, b.pkt_id as block_id, cast(3 as bigint) as packet_count
+       from opened w join ordered b on b.host = w.host and b.src_ip = w.src_ip and b.rn = w.rn + 3 where w.n > 3""",
+    "packets",
+    recursive=True,
+)

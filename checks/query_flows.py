@@ -96,6 +96,15 @@ def flood_blocklist(spark, sf):
     return flood.flood_blocklist(packets(spark, sf), 10)
 
 
+def flood_steady(spark, sf):
+    """Two sources that send just what a rate window takes, in thousands of pieces of one window; one sends a packet too many."""
+    steady = packets(spark, sf).selectExpr(
+        "'node-0' AS host", "concat('10.9.0.', CAST(pkt_id % 2 AS STRING)) AS src_ip", "(pkt_id div 2) * 100000000 AS ts_ns", "pkt_id"
+    )
+    extra = steady.filter("pkt_id % 6000 = 5990").withColumn("pkt_id", F.col("pkt_id") + 1_000_000_000)
+    return flood.flood_blocklist(steady.unionByName(extra), 3, 0.25, piece=1, fan=64)
+
+
 def blocked_rows(spark, sf):
     source = packets(spark, sf)
     blocklist = small_side(flood.flood_blocklist(source, 10))
@@ -144,6 +153,7 @@ QUERIES = {
     "flood_gate": flood_gate,
     "flood_gate_aligned": flood_gate_aligned,
     "flood_blocklist": flood_blocklist,
+    "flood_steady": flood_steady,
     "blocked_rows": blocked_rows,
     "blocked_flag": blocked_flag,
 }

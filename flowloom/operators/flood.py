@@ -15,15 +15,16 @@ from flowloom.functions.sized import lookup_join
 THRESHOLD = 500
 #: Rate windows per piece of a source's history that one task walks at a time.
 PIECE = 64
+#: Neighbouring pieces that one task joins into one.
+PIECES_JOINED = 256
 
 _PIECE_SCHEMA = (
     "host string, src_ip string, piece bigint, head_ts array<bigint>, head_id array<bigint>, "
     "block_ts array<bigint>, block_id array<bigint>, exit_ts array<bigint>, exit_n array<bigint>"
 )
-_BLOCK_SCHEMA = "host string, src_ip string, block_ts bigint, block_id bigint"
 
 
-def _piece_outcomes(threshold: int, win_ns: int):
+def _piece_outcomes(threshold: int, win_ns: int, piece: int = PIECE):
     """Outcome of one piece of a source for every packet that may open its first window.
 
     A rate window opens at a packet and lasts ``win_ns``; the next one opens at the first
@@ -41,7 +42,7 @@ def _piece_outcomes(threshold: int, win_ns: int):
         ts, ids = pdf["ts_ns"].to_numpy(np.int64), pdf["pkt_id"].to_numpy(np.int64)
         n = len(ts)
         after = np.searchsorted(ts, ts + win_ns, side="right")
-        start = int(key[2]) * PIECE * win_ns
+        start = int(key[2]) * piece * win_ns
         head = int(np.searchsorted(ts, start + win_ns, side="left"))
         at = np.arange(head + 1)
         blocked = np.full(head + 1, -1)
@@ -65,40 +66,60 @@ def _piece_outcomes(threshold: int, win_ns: int):
     return outcomes
 
 
-def _join_pieces(threshold: int, win_ns: int):
-    """Walk the pieces of each source in order, from outcome to outcome, until it is blocked."""
+def _after(one: dict, other: dict, threshold: int, win_ns: int) -> dict:
+    """Outcomes of two neighbouring pieces taken as one, for every packet of the first one's head.
 
-    def walk(batches: Iterator):
+    A window left open by ``one`` takes in the packets of the head of ``other`` that it still covers; the next window opens
+    behind them, or ``other`` is passed through with the window still open.
+    """
+    import numpy as np
+
+    out = {"head_ts": one["head_ts"], "head_id": one["head_id"]}
+    done = one["block_ts"] >= 0
+    seen = np.where(done, 0, one["exit_n"])
+    inside = np.where(seen > 0, np.searchsorted(other["head_ts"], one["exit_ts"] + win_ns, side="right"), 0)
+    over = (seen > 0) & (seen + inside > threshold)
+    at = np.where(over, threshold - seen, 0)
+    left = np.minimum(inside, len(other["exit_n"]) - 1)
+    open_still = (seen > 0) & (other["exit_n"][left] == 0) & (other["block_ts"][left] < 0)
+    has_head = len(other["head_ts"]) > 0
+    for name in ("ts", "id"):
+        head = other[f"head_{name}"][np.minimum(at, len(other["head_ts"]) - 1)] if has_head else np.full(len(at), -1)
+        out[f"block_{name}"] = np.where(done, one[f"block_{name}"], np.where(over, head, other[f"block_{name}"][left]))
+    out["exit_ts"] = np.where(open_still, one["exit_ts"], other["exit_ts"][left])
+    out["exit_n"] = np.where(open_still, seen + inside, other["exit_n"][left])
+    return out
+
+
+def _compose(threshold: int, win_ns: int, fan: int):
+    """Reduce each run of pieces with one number divided by ``fan`` to one piece; pieces come in order."""
+    names = ["head_ts", "head_id", "block_ts", "block_id", "exit_ts", "exit_n"]
+
+    def reduce(batches: Iterator):
         import numpy as np
         import pandas as pd
 
-        source, reset, seen, done = None, -1, 0, False
+        key, held = None, None
         for pdf in batches:
-            found = []
+            out = []
             for row in pdf.itertuples(index=False):
-                if (row.host, row.src_ip) != source:
-                    source, reset, seen, done = (row.host, row.src_ip), -1, 0, False
-                if done:
+                here, own = (row.host, row.src_ip, row.piece // fan), {n: np.asarray(getattr(row, n), dtype=np.int64) for n in names}
+                if here == key:
+                    held = _after(held, own, threshold, win_ns)
                     continue
-                # Packets that still fall into the window left open by the piece before.
-                inside = int(np.searchsorted(row.head_ts, reset + win_ns, side="right")) if seen else 0
-                if seen and seen + inside > threshold:
-                    at = threshold - seen
-                    found.append((*source, row.head_ts[at], row.head_id[at]))
-                    done = True
-                elif row.block_ts[inside] >= 0:
-                    found.append((*source, row.block_ts[inside], row.block_id[inside]))
-                    done = True
-                elif row.exit_n[inside] > 0:
-                    reset, seen = row.exit_ts[inside], row.exit_n[inside]
-                else:
-                    seen += inside
-            yield pd.DataFrame(found, columns=["host", "src_ip", "block_ts", "block_id"])
-
-    return walk
-
-
-def flood_blocklist(packets: DataFrame, threshold: int = THRESHOLD, window_s: float = 1.0) -> DataFrame:
+                if key is not None:
+                    out.append((*key, *[held[n] for n in names]))
+                key, held = here, own
+            yield pd.DataFrame(out, columns=["host", "src_ip", "piece", *names])
+        if key is not None:
+            yield pd.DataFrame([(*key, *[held[n] for n in names])], columns=["host", "src_ip", "piece", *names])
+
+    return reduce
+
+
+def flood_blocklist(
+    packets: DataFrame, threshold: int = THRESHOLD, window_s: float = 1.0, piece: int = PIECE, fan: int = PIECES_JOINED
+) -> DataFrame:
     """Sources that send more than ``threshold`` packets within one rate window.
 
     A source's first window opens at its first packet and each next one at the first packet
@@ -112,7 +133,9 @@ def flood_blocklist(packets: DataFrame, threshold: int = THRESHOLD, window_s: fl
     two windows, so it blocks for certain, and by its packet of that number at the latest:
     later buckets and later packets of a bucket are left out.  That bounds the packets of a
     source by ``2 * threshold`` per bucket however many it sent.  What is left is cut into
-    pieces of ``PIECE`` buckets that are solved independently and joined by one short row each.
+    pieces of ``piece`` buckets that are solved independently.  A piece is a function from the window
+    left open before it to the blocking packet or the window it leaves open; such functions compose,
+    so neighbours are joined ``fan`` at a time, level by level, and no task walks a source's history.
     """
     win_ns = size_ns(window_s)
     most = 2 * threshold
@@ -133,15 +156,18 @@ def flood_blocklist(packets: DataFrame, threshold: int = THRESHOLD, window_s: fl
     in_bucket = Window.partitionBy(*S.SOURCE, "bucket").orderBy(*S.ORDER)
     kept = rows.withColumn("_rank", F.row_number().over(in_bucket)).filter(F.col("_rank") <= most)
     pieces = (
-        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", PIECE).alias("piece"))
+        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", piece).alias("piece"))
         .groupBy(*S.SOURCE, "piece")
-        .applyInPandas(_piece_outcomes(threshold, win_ns), _PIECE_SCHEMA)
-    )
-    blocked = (
-        pieces.repartition(*S.SOURCE)
-        .sortWithinPartitions(*S.SOURCE, "piece")
-        .mapInPandas(_join_pieces(threshold, win_ns), _BLOCK_SCHEMA)
+        .applyInPandas(_piece_outcomes(threshold, win_ns, piece), _PIECE_SCHEMA)
     )
+    # Pieces of 64-bit times: so many levels leave one per source.
+    left = 2**63 // (win_ns * piece) + 1
+    while left > 1:
+        group = (*S.SOURCE, idiv("piece", fan))
+        pieces = pieces.repartition(*group).sortWithinPartitions(*S.SOURCE, "piece").mapInPandas(_compose(threshold, win_ns, fan), _PIECE_SCHEMA)
+        left = -(-left // fan)
+    # A source starts without an open window, so its first packet opens one.
+    blocked = pieces.select(*S.SOURCE, F.col("block_ts")[0].alias("block_ts"), F.col("block_id")[0].alias("block_id")).filter("block_ts >= 0")
     return blocked.withColumn("packet_count", F.lit(threshold).cast("long"))
 
 

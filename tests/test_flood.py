@@ -87,3 +87,18 @@ def test_salted_lookup_equals_broadcast(spark):
     small = spark.range(5).selectExpr("id AS k", "id * 10 AS v")
     rows = [sorted(map(tuple, lookup_join(big, small, ["k"], ["id"], limit=n).select("id", "k", "v").fillna(-1).collect())) for n in (100, 2)]
     assert rows[0] == rows[1] and len(rows[0]) == 1000
+
+
+@pytest.mark.parametrize("piece,fan", [(1, 24), (3, 256)])
+def test_pieces_compose_to_the_fold(spark, piece, fan):
+    """Histories of hundreds of pieces, dense and sparse, with windows left open at every border."""
+    rows = []
+    for seed in range(6):
+        rows += [(f"{seed}{s}", t, p) for s, t, p in burst(seed, 700, 2, S1 // (1 + 3 * seed))]
+    rows += [("steady", i * S1 // 4, 50_000 + i) for i in range(1200)] + [("late", i * S1 // 4, 60_000 + i) for i in range(1200)]
+    rows += [("late", 299 * S1 + 1, 70_000), ("alone", 5, 80_000)]
+    for threshold in (4, 8):
+        want = fold(rows, threshold)
+        found = flood.flood_blocklist(table(spark, rows), threshold, piece=piece, fan=fan).collect()
+        assert {r.src_ip: (r.block_ts, r.block_id) for r in found} == want and len(found) == len(want)
+    assert "late" in fold(rows, 5) and "steady" not in fold(rows, 5)

@@ -36,7 +36,7 @@ def rounded(df):
 
 def test_wide_rows_of_disordered_packets(spark, sf, tmp_path):
     source = table(spark, sf, "packets")
-    settings = Settings(threshold=12, label=3)
+    settings = Settings(threshold=10, label=3)
     stream = shuffled(spark, source, str(tmp_path / "in"), 4.0)
     closed = wide.run_closed(wide.closed_windows(stream, settings, idle_s=3600), str(tmp_path / "out"), str(tmp_path / "cp"))
     got, want = wide.feature_rows(closed, settings), build_features(source, None, None, settings)
