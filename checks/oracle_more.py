@@ -488,9 +488,27 @@ ON_FEATURES = {
         f"select '{c}' as feature, round(case when stddev_pop({c}) > 0 then corr({c}, {_LABEL}) end, 6) as correlation from ({_RULES})"
         for c in CORR
     ),
+    "feature_information": f"{_RULED}, " + ", ".join(
+        f"edges_{c} as (select quantile_disc({c}::double, [{', '.join(str(i / 10) for i in range(1, 10))}]) as e from ruled)" for c in CORR
+    ) + ", cells as (" + " union all ".join(
+        f"select '{c}' as feature, len(list_filter(e, lambda x: x < {c}::double)) as bin, rule_label as label, count(*) as n from ruled, edges_{c} group by all" for c in CORR
+    ) + """), parts as (select feature, n, sum(n) over (partition by feature) as t, sum(n) over (partition by feature, bin) as b,
+          sum(n) over (partition by feature, label) as l from cells),
+        sums as (select feature, sum(n / t * log2(n * t / (b * l))) as bits, sum(n / t * log2(t / l)) as h from parts group by feature)
+        select feature, round(bits, 6) as bits, round(case when h > 0 then bits / h end, 6) as share from sums""",
+    "periodic_status": """, counted as (select host, ((window_id + 1) * 5000000000 - 1) // 30000000000 + 1 as interval, count(*) as n,
+          max(cpu_usage_percent) as cpu, max(memory_usage_percent) as mem from features where dst_ip <> '0.0.0.0' group by 1, 2),
+        stopped as (select host, block_ts // 30000000000 + 1 as interval, count(*) as n from blocks group by 1, 2),
+        ranked as (select host, src_ip, block_ts // 30000000000 + 1 as interval, row_number() over (partition by host order by block_ts, src_ip) as r from blocks),
+        both_kinds as (select host, interval, coalesce(c.n, 0) as n, coalesce(s.n, 0) as m, cpu, mem from counted c full join stopped s using (host, interval))
+        select host, interval * 30.0::double as elapsed_s, cast(sum(n) over w as bigint) as feature_rows, cast(sum(m) over w as bigint) as blocked_sources,
+          coalesce(cpu, 0.0) as cpu_usage_percent, coalesce(mem, 0.0) as memory_usage_percent,
+          coalesce((select string_agg(src_ip, ', ' order by r) from ranked k where k.host = b.host and k.interval <= b.interval and r <= 5), '') as blocked_ips
+        from both_kinds b window w as (partition by host order by interval)""",
     "merge_runs": """select run_id, anomaly_label, count(*) as rows, cast(sum(packet_count) as bigint) as packets from (
         select 'first' as run_id, * from features union all select 'second' as run_id, * from features) group by all""",
 }
 
 ORACLE = {name: build(body, *ctes) for name, (body, *ctes) in BASIC.items()}
 ORACLE.update({name: _on_features(body) for name, body in ON_FEATURES.items()})
+ORACLE.update({f"read_{name}": build(f"select * from {name}", name) for name in ("system_events", "host_samples", "process_samples", "cgroup_samples", "device_samples")})

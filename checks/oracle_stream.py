@@ -27,3 +27,4 @@ ORACLE["stream_late_repaired"] = ORACLE["stream_flow_core"]
 ORACLE["stream_l7_windows"] = MORE["l7_asof"]
 ORACLE["stream_l7_asof"] = PACKET_HITS
 ORACLE["stream_flow_features"] = MORE["flow_features"]
+ORACLE["stream_status"] = MORE["periodic_status"]

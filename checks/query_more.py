@@ -94,6 +94,35 @@ def label_balance(spark, sf):
     return report.label_balance(ruled(spark, sf).withColumn("anomaly_label", F.col("rule_label")))
 
 
+def periodic_status(spark, sf):
+    flow_rows = features(spark, sf).filter("dst_ip <> '0.0.0.0'")
+    return rounded(report.periodic_status(flow_rows, flood.flood_blocklist(packets(spark, sf), THRESHOLD)))
+
+
+def _read_back(name: str, read):
+    """A derived table written as files and read by its own reader."""
+
+    def run(spark, sf):
+        path = scratch_path(spark)
+        table(spark, sf, name).repartition(3).write.parquet(path)
+        return read(spark, path)
+
+    return run
+
+
+def feature_information(spark, sf):
+    return rounded(mlprep.feature_information(ruled(spark, sf), CORR, "rule_label"))
+
+
+def forest_importances(spark, sf):
+    return mlprep.forest_importances(ruled(spark, sf), CORR, "rule_label")
+
+
+def baseline_folds(spark, sf):
+    folds = mlprep.stratified_folds(ruled(spark, sf), 3, "rule_label")
+    return mlprep.baseline_by_fold(keep(folds.select("fold", "rule_label", *CORR)), CORR, "rule_label", 3)
+
+
 def _scaled(method: str):
     def run(spark, sf):
         source = features(spark, sf).select("timestamp", "flow_id", "src_ip", *SCALED)
@@ -192,6 +221,15 @@ QUERIES = {
     "kfold": kfold,
     "sequences": sequences,
     "feature_corr": lambda spark, sf: rounded(mlprep.feature_corr(ruled(spark, sf), CORR, "rule_label")),
+    "feature_information": feature_information,
+    "forest_importances": forest_importances,
+    "baseline_folds": baseline_folds,
+    "periodic_status": periodic_status,
+    "read_system_events": _read_back("system_events", readers.read_system_events),
+    "read_host_samples": _read_back("host_samples", readers.read_host_samples),
+    "read_process_samples": _read_back("process_samples", readers.read_process_samples),
+    "read_cgroup_samples": _read_back("cgroup_samples", readers.read_cgroup_samples),
+    "read_device_samples": _read_back("device_samples", readers.read_device_samples),
     "merge_runs": merge_runs,
     "sink_csv": _sink("csv"),
     "sink_parquet": _sink("parquet"),

@@ -104,6 +104,13 @@ def stream_conn_track(spark, sf):
     )
 
 
+def stream_status(spark, sf):
+    """Status rows every 30 s of the stream of windows."""
+    settings, hosts = Settings(threshold=THRESHOLD), keep(host_windows(spark, sf))
+    closed = wide.closed_windows(fed(spark, packets(spark, sf), "pkt_id"), settings)
+    return rounded(wide.run_closed(wide.stream_status(closed, settings, hosts)))
+
+
 QUERIES = {
     "stream_flow_core": stream_flow_core,
     "stream_late_repaired": stream_late_repaired,
@@ -112,4 +119,5 @@ QUERIES = {
     "stream_l7_asof": stream_l7_asof,
     "stream_l7_windows": stream_l7_windows,
     "stream_flow_features": stream_flow_features,
+    "stream_status": stream_status,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.ordered import FAN, running_total
@@ -11,6 +11,8 @@ from flowloom.operators.flows import count_where
 
 LABELS = 12
 ROWS_PER_LABEL = 100
+#: Blocked addresses that a status row names.
+SHOWN = 5
 
 
 def run_summary(features: DataFrame) -> DataFrame:
@@ -56,10 +58,11 @@ def label_balance(features: DataFrame, per_label: int = ROWS_PER_LABEL) -> DataF
 
 
 def periodic_status(features: DataFrame, blocklist: DataFrame, interval_s: float = 30, size_s: float = 5.0) -> DataFrame:
-    """Feature rows and blocked sources so far, at the end of each reporting interval.
+    """Feature rows and blocked sources so far, at the end of each reporting interval, with the first five blocked addresses.
 
     ``features`` has host, window_id, cpu_usage_percent and memory_usage_percent; a row counts
-    from the end of its window on.  CPU and memory are the highest values of the interval.
+    from the end of its window on.  CPU and memory are the highest values of the interval.  Intervals in
+    which no window ended and no source was blocked have no row.
     """
     step = size_ns(interval_s)
     at = lambda ns: (idiv(ns, step) + 1).alias("interval")
@@ -74,6 +77,12 @@ def periodic_status(features: DataFrame, blocklist: DataFrame, interval_s: float
     cut = both.withColumn("_block", idiv("interval", FAN))
     sums = {"feature_rows": F.coalesce("_rows", zero), "blocked_sources": F.coalesce("_blocked", zero)}
     total = running_total(cut, ["host"], "_block", ["interval"], sums)
-    names = ["feature_rows", "blocked_sources", "cpu_usage_percent", "memory_usage_percent"]
-    return total.select("host", (F.col("interval") * F.lit(float(interval_s))).alias("elapsed_s"), *names)
+    order = Window.partitionBy("host").orderBy("block_ts", "src_ip")
+    first = blocklist.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= SHOWN)
+    listed = first.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("_rank", at(F.col("block_ts")), "src_ip"))).alias("_first"))
+    shown = F.transform(F.filter("_first", lambda b: b["interval"] <= F.col("interval")), lambda b: b["src_ip"])
+    load = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("cpu_usage_percent", "memory_usage_percent")]
+    return total.join(listed, "host", "left").select(
+        "host", (F.col("interval") * F.lit(float(interval_s))).alias("elapsed_s"), "feature_rows", "blocked_sources", *load, F.coalesce(F.array_join(shown, ", "), F.lit("")).alias("blocked_ips")
+    )
 

@@ -26,6 +26,7 @@ from flowloom.functions.scalar import CONVERSATION, NS, endpoint_order, size_ns
 from flowloom.operators import flood, flows, packets
 from flowloom.operators.host import join_host
 from flowloom.operators.l7 import add_entries
+from flowloom.operators.report import SHOWN
 from flowloom.plans.pipeline import Settings, labelled, union_features
 from flowloom.streaming.flows import run_available
 from flowloom.streaming.keyed import END, arrow_schema, due_ms, pack, stamp, state_store, timed, unpack
@@ -54,7 +55,10 @@ _CLOSED = T.StructType(
     ]
 )
 _WITH_TIME = T.StructType([*_CLOSED.fields, T.StructField("at", T.TimestampType())])
-_OUT = T.StructType([*_CLOSED.fields, *S._struct("_syn bigint, is_blocked_flow int").fields])
+_OUT = T.StructType([*_CLOSED.fields, *S._struct("_syn bigint, is_blocked_flow int").fields, T.StructField("at", T.TimestampType())])
+_STATUS = S._struct(
+    "host string, elapsed_s double, feature_rows bigint, blocked_sources bigint, cpu_usage_percent double, memory_usage_percent double, blocked_ips string"
+)
 
 
 def _frame(rows: list[dict], schema: T.StructType):
@@ -349,13 +353,13 @@ class SourceTotals(StatefulProcessor):
             total = before + sum(n for w, n in counts.items() if w <= window + 1)
             pdf = unpack([b for w, b in held if w == window], self.schema)
             blocked = int(block_ts is not None and block_ts < (window + 2) * self.size)
-            yield self._named(key, pdf, total, blocked)
+            yield self._named(key, pdf, total, blocked, now)
         if ready:
             left = [(w, b) for w, b in held if w not in set(ready)]
             self.waiting.put(left) if left else self.waiting.clear()
         if not told and self.due(block_ts // self.size) <= now:
             total = before + sum(counts.values())
-            yield self._named(key, _frame([{"block_ts": block_ts, "block_id": block_id}], _CLOSED).drop(columns=S.SOURCE), total, 1)
+            yield self._named(key, _frame([{"block_ts": block_ts, "block_id": block_id}], _CLOSED).drop(columns=S.SOURCE), total, 1, now)
             self.block.update((block_ts, block_id, True))
         # Counts that no waiting window asks for one by one become one number.
         old = [w for w in counts if self.due(w) <= now]
@@ -364,10 +368,10 @@ class SourceTotals(StatefulProcessor):
             for w in old:
                 self.syn.removeKey((w,))
 
-    def _named(self, key, pdf, total: int, blocked: int):
+    def _named(self, key, pdf, total: int, blocked: int, now: int):
         import pandas as pd
 
-        extra = {"host": key[0], "src_ip": key[1], "_syn": pd.array([total or None] * len(pdf), dtype="Int64"), "is_blocked_flow": pd.array([blocked] * len(pdf), dtype="Int32")}
+        extra = {"host": key[0], "src_ip": key[1], "at": stamp(now), "_syn": pd.array([total or None] * len(pdf), dtype="Int64"), "is_blocked_flow": pd.array([blocked] * len(pdf), dtype="Int32")}
         return pdf.assign(**extra)[_OUT.names]
 
     def close(self) -> None:
@@ -382,6 +386,77 @@ def let_through(source: DataFrame, settings: Settings = Settings(), late_s: floa
     return packets.gate_protocols(stream_gate(slim, s.threshold, s.rate_window_s, late_s or s.size_s)).filter("dropped = 0 OR first = 1")
 
 
+class StatusReport(StatefulProcessor):
+    """One row per host and reporting interval, when all its windows are closed: counts so far and the interval's highest load.
+
+    State per host: a count and two maxima per open interval, the totals, and the first few blocked addresses.
+    """
+
+    def __init__(self, interval_s: float, due) -> None:
+        self.step, self.interval_s, self.due = size_ns(interval_s), float(interval_s), due
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "interval bigint", "n bigint, blocked bigint, cpu double, memory double")
+        self.total = handle.getValueState("total", "n bigint, blocked bigint")
+        self.first = handle.getListState("first", "block_ts bigint, src_ip string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        found, blocks = {}, []
+        for pdf in rows:
+            for interval, part in pdf.groupby((pdf["until"] - 1) // self.step + 1):
+                n, blocked, cpu, memory = found.get(int(interval), (0, 0, 0.0, 0.0))
+                told = part["block_ts"].notna()
+                shown = part[~told]
+                cpu, memory = (max([x, *shown[c]]) for x, c in ((cpu, "cpu_usage_percent"), (memory, "memory_usage_percent")))
+                found[int(interval)] = (n + len(shown), blocked + int(told.sum()), float(cpu), float(memory))
+            blocks += [(int(r.block_ts), r.src_ip) for r in pdf[pdf["block_ts"].notna()].itertuples()]
+        for interval, (n, blocked, cpu, memory) in found.items():
+            before = self.open.getValue((interval,)) or (0, 0, 0.0, 0.0)
+            self.open.updateValue((interval,), (before[0] + n, before[1] + blocked, max(before[2], cpu), max(before[3], memory)))
+            self.handle.registerTimer(self.due(interval * self.step))
+        if blocks:
+            self.first.put(sorted([*((int(t), ip) for t, ip in self.first.get()), *blocks])[:SHOWN])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        rows, blocked = self.total.get() if self.total.exists() else (0, 0)
+        first, out = [(int(t), ip) for t, ip in self.first.get()], []
+        for (interval,), (n, more, cpu, memory) in sorted((k, v) for k, v in self.open.iterator() if self.due(k[0] * self.step) <= now):
+            rows, blocked = rows + n, blocked + more
+            told = ", ".join(ip for t, ip in first if t // self.step + 1 <= interval)
+            out.append(dict(zip(_STATUS.names, (key[0], interval * self.interval_s, rows, blocked, cpu, memory, told), strict=True)))
+            self.open.removeKey((interval,))
+        if out:
+            self.total.update((rows, blocked))
+            yield _frame(out, _STATUS)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_status(closed: DataFrame, settings: Settings = Settings(), hosts: DataFrame | None = None, interval_s: float = 30, answer_s: float = 5.0) -> DataFrame:
+    """The rows of :func:`flowloom.operators.report.periodic_status` from a stream of closed windows, one interval at a time.
+
+    ``hosts`` are host metrics per window; without them load is 0.
+    """
+    size, rate, answer = size_ns(settings.size_s), size_ns(settings.rate_window_s), size_ns(answer_s)
+    load = ["cpu_usage_percent", "memory_usage_percent"]
+    end = (F.col("window_id") + 1) * F.lit(size).cast("long")
+    slim = closed.select("host", "window_id", "src_ip", "block_ts", F.coalesce(end, F.col("block_ts") + 1).alias("until"), "at")
+    if hosts is not None:
+        slim = slim.join(hosts.select("host", "window_id", *load), ["host", "window_id"], "left")
+    slim = slim.withColumns({c: F.coalesce(c, F.lit(0.0)) if hosts is not None else F.lit(0.0) for c in load})
+
+    def due(ns: int) -> int:
+        return closes(ns // size + 1, size, max(answer, rate), rate)
+
+    return slim.groupBy("host").transformWithStateInPandas(
+        statefulProcessor=StatusReport(interval_s, due), outputStructType=_STATUS, outputMode="append", timeMode="EventTime"
+    )
+
+
 def closed_windows(source: DataFrame, settings: Settings = Settings(), late_s: float | None = None, idle_s: float | None = None, answer_s: float = 5.0) -> DataFrame:
     """Raw numbers of every flow window of a packet stream, and a row with ``block_ts`` per blocked source.
 
@@ -394,7 +469,7 @@ def closed_windows(source: DataFrame, settings: Settings = Settings(), late_s: f
     options = {"outputMode": "append", "timeMode": "EventTime"}
     closed = both.groupBy(*CONVERSATION).transformWithStateInPandas(statefulProcessor=windows, outputStructType=_WITH_TIME, eventTimeColumnName="at", **options)
     totals = SourceTotals(s.size_s, answer_s, s.rate_window_s)
-    return closed.groupBy(*S.SOURCE).transformWithStateInPandas(statefulProcessor=totals, outputStructType=_OUT, **options)
+    return closed.groupBy(*S.SOURCE).transformWithStateInPandas(statefulProcessor=totals, outputStructType=_OUT, eventTimeColumnName="at", **options)
 
 
 def feature_rows(
