@@ -152,7 +152,7 @@ def split_hot_groups(
     max_rows: int | None,
     ts: str = "ts_ns",
 ) -> tuple[DataFrame, str]:
-    """Add ``window_id`` and name the block column that keeps ordered work small.
+    """Add ``window_id``, where it is missing, and name the block column that keeps ordered work small.
 
     Groups of ``keys + window_id`` with more than ``max_rows`` rows are cut into equal time
     slices, each by its own count.  Counting is one pre-aggregated pass; the crowded groups are stored
@@ -161,7 +161,7 @@ def split_hot_groups(
     A ``crowded`` column marks the rows of cut groups where there are any.
     """
     ns = size_ns(size_s)
-    out = df.withColumn("window_id", window_id(ts, size_s))
+    out = df if "window_id" in df.columns else df.withColumn("window_id", window_id(ts, size_s))
     if max_rows is None:
         return out, "window_id"
     counts = out.groupBy(*keys, "window_id").agg(F.count(F.lit(1)).alias("_n"))

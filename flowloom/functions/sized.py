@@ -52,6 +52,20 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Compute ``df`` once and store it in buckets of ``keys``, sorted by them and ``order``, in the shared folder.
+
+    Windows, groups and joins over these keys, or more columns, read it without a shuffle.  Rows of one key share a
+    bucket, so ``keys`` must be fine enough that no single one is large.  ``buckets`` is the session's number of shuffle partitions.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"flowloom_{uuid.uuid4().hex}"
+    rows = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys, *order)
+    rows.option("path", scratch_path(spark)).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Store a lookup once and tell whether it is small enough to broadcast."""
     kept = keep(df)

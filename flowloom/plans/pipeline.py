@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.scalar import size_ns
-from flowloom.functions.sized import small_side
+from flowloom import schema as S
+from flowloom.functions.scalar import size_ns, window_id
+from flowloom.functions.sized import keep_bucketed, small_side
 from flowloom.operators import dns, flood, flows, host, l7, packets
 from flowloom.operators.connections import MAX_ROWS
 
@@ -75,15 +76,17 @@ def build_features(
     """Feature rows of a packet table: the 94 columns, then ``host`` and ``window_id``.
 
     ``l7_records`` are parsed records, ``host_features`` the table of
-    :func:`flowloom.operators.host.host_features`.  Only the list of blocked sources, the host
-    table and the SYN totals are stored on the way; packets are never gathered or copied.
+    :func:`flowloom.operators.host.host_features`.  The list of blocked sources, the host table, the
+    SYN totals and, once, the packets that the gate lets through are stored on the way.
     """
     s = settings
     source = packets.time_range(source, s.start_ns, s.duration_s)
     blocklist = small_side(flood.flood_blocklist(source, s.threshold, s.rate_window_s))
     let_through = packets.gate_protocols(flood.passed(flood.mark_dropped(source, blocklist)))
     syn = small_side(flood.syn_cumulative(let_through, s.size_s))
-    seen = packets.annotate_packets(packets.filter_ip(let_through, s.filter_ip))
+    seen = packets.annotate_packets(packets.filter_ip(let_through, s.filter_ip)).withColumn("window_id", window_id(size_s=s.size_s))
+    # Tracking, aggregation, answers and entries all read these; by flow and window the first two need no shuffle of their own.
+    seen = keep_bucketed(seen, flows.GROUP, S.ORDER)
     rows = flows.flow_features(seen, s.size_s, s.rate_base, syn, s.max_rows, s.rcode_mask)
     rows = flood.flag_blocked(rows, blocklist, s.size_s)
     waits = dns.dns_latency(dns.dns_match(seen, size_s=s.size_s, max_rows=s.max_rows))
