@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.sized import keep
@@ -56,19 +56,38 @@ def tempered_targets(cells: DataFrame, power: float) -> dict[str, DataFrame]:
     return out
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int) -> DataFrame:
-    """Scale ``weight`` to each dimension's target in turn, ``sweeps`` times.
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int, tolerance: float = 1e-6, most: int = 100) -> DataFrame:
+    """Scale ``weight`` to each dimension's target in turn, ``sweeps`` times, and again until the targets are met.
 
     A value that no target names keeps no weight; a value without tokens is left out of the sums.
-    Sums are partial aggregates; the one row per value they give is what is joined back.
+    Targets are joined to the cells once; a sweep is window sums over the stored cells, so that neither
+    its plan nor the driver's memory grows with the number of sweeps.  After ``sweeps`` sweeps more follow
+    while some sum is off its target by more than ``tolerance``, up to ``most``: targets that contradict each
+    other cannot all be met, see :func:`residual`.
     """
-    for _ in range(sweeps):
-        for dim, target in targets.items():
-            factors = cells.groupBy(dim).agg(F.sum("weight").alias("_sum")).join(target, dim, "left")
-            factors = factors.select(dim, F.when(F.col("_sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("_sum")).otherwise(0.0).alias("_factor"))
-            cells = cells.join(factors, dim).withColumn("weight", F.col("weight") * F.col("_factor")).drop("_factor")
+    columns = cells.columns
+    for dim, target in targets.items():
+        cells = cells.join(target.select(F.col(dim), F.col("target").alias(f"_to_{dim}")).hint("merge"), dim, "left")
+    cells, done = keep(cells), 0
+    while True:
+        for _ in range(min(2, sweeps - done) if done < sweeps else 2):
+            for dim in targets:
+                total = F.sum("weight").over(Window.partitionBy(dim))
+                factor = F.when(total > 0, F.coalesce(f"_to_{dim}", F.lit(0.0)) / total).otherwise(0.0)
+                cells = cells.withColumn("weight", F.col("weight") * factor)
+            done += 1
         cells = keep(cells)
-    return cells
+        if done >= sweeps and (done >= most or residual(cells, list(targets)) <= tolerance):
+            return cells.select(*columns)
+
+
+def residual(cells: DataFrame, dims: Sequence[str]) -> float:
+    """Largest distance of a dimension value's weight from its target, over values that have weight."""
+    worst = 0.0
+    for dim in dims:
+        sums = cells.groupBy(dim).agg(F.sum("weight").alias("_sum"), F.first(f"_to_{dim}").alias("_to")).filter(F.col("_sum") > 0)
+        worst = max(worst, sums.agg(F.max(F.abs(F.col("_sum") - F.coalesce("_to", F.lit(0.0))))).first()[0] or 0.0)
+    return worst
 
 
 def probabilities(cells: DataFrame, keep_share: float, rounds: int = 8) -> DataFrame:
