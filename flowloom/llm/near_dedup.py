@@ -302,14 +302,15 @@ def group_documents(documents: DataFrame) -> DataFrame:
 def keep_one_each(documents: DataFrame) -> DataFrame:
     """The documents, all columns, without those another document of their group stands for.
 
-    Rows that repeat an id are reduced to one.
+    Rows that repeat an id and its text are reduced to one; other texts under one id stay with it.  Ids to leave grow with the
+    corpus, so the join is by shuffle at every size.
     """
     groups = keep(group_documents(documents))
     gone = groups.filter("NOT kept").select(F.col("doc_id").alias("_gone"))
     rows = documents.select(F.struct("*").alias("_row"))
-    stay = rows.join(gone.distinct(), F.col("_row.doc_id") == F.col("_gone"), "left_anti")
+    stay = rows.join(gone.distinct().hint("merge"), F.col("_row.doc_id") == F.col("_gone"), "left_anti")
     again = keep(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")))
     same = F.col("_row.doc_id") == F.col("_again")
     once = stay.join(again, same, "left_anti")
-    repeated = stay.join(again, same, "left_semi").select("_row.*").dropDuplicates(["doc_id"])
+    repeated = stay.join(again, same, "left_semi").select("_row.*").dropDuplicates(["doc_id", "text"])
     return once.select("_row.*").unionByName(repeated)

@@ -322,9 +322,13 @@ def report(spark: SparkSession, documents: DataFrame, labels: DataFrame, thresho
 
 
 def remove_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
-    """The documents, all columns, that score below ``threshold``."""
-    scored = score_documents(documents, train(documents, labels, **options)).filter(F.col("score") >= threshold)
-    gone = keep(scored.select(F.col("doc_id").alias("_g_id"), F.col("text_hash").alias("_g_h")).distinct())
-    rows = documents.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("_h"))
-    clean = rows.join(gone, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_g_id")) & (F.col("_h") == F.col("_g_h")), "left_anti")
-    return clean.select("_row.*")
+    """The documents, all columns, that score below ``threshold``; rows are dropped where they are scored, nothing is joined."""
+    shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels, **options))
+
+    def run(batches):
+        restorer = Restorer(shared.value.language)
+        for batch in batches:
+            scores = [shared.value.score(restorer.known_terms(t or "", shared.value.counts)) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([x < threshold for x in scores], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

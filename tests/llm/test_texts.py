@@ -78,6 +78,9 @@ def test_near_repeats_nulls_and_removal(spark):
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 3, 4, 5]
     assert near_dedup.group_documents(documents(spark, {})).count() == 0
+    # Different texts under one id are no copies of each other.
+    other = documents(spark, [(1, text), (1, text), (1, "quite another text that stands under the same id"), (2, text)])
+    assert sorted(r["text"][:5] for r in near_dedup.keep_one_each(other).collect()) == sorted([text[:5], "quite"])
 
 
 def test_components_of_a_long_chain(spark):
