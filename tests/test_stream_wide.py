@@ -15,12 +15,20 @@ from flowloom.streaming.keyed import end_marker
 
 L7_FIELDS = {n: "0" for n in ("http_status_code", "http_latency_ms", "grpc_status_code", "dns_response_code", "dns_num_answers", "kafka_api_key", "kafka_error_code")}
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small inputs: two tasks per stateful step instead of one per core."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
 
 def same(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def shuffled(spark, rows, path, late_s, n=4):
+def shuffled(spark, rows, path, late_s, n=3):
     """Files in the order of time plus up to ``late_s``, so that each holds rows older than the newest of the one before."""
     span = rows.agg(F.max("ts_ns")).first()[0] // n + 1
     arrival = F.col("ts_ns") + F.pmod(F.xxhash64("pkt_id"), F.lit(int(late_s * 1e9)))

@@ -1,14 +1,22 @@
 """Streams over several micro-batches against the batch operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks.fixtures import table
-from flowloom import schema as S
 from flowloom.operators import flood
 from flowloom.sources import readers
 from flowloom.streaming import flows, state, wide
 from flowloom.streaming.keyed import end_marker, state_store
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small inputs: two tasks per stateful step instead of one per core."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
 
 def parts(spark, sf, path, n=4):
     """Packets as ``n`` files in time order, and a reader of one file per micro-batch."""
@@ -99,8 +107,6 @@ def test_ended_flows_leave_the_state_and_no_packet_is_lost(spark, tmp_path):
 
 
 def test_windows_below_a_millisecond(spark, sf):
-    import pytest
-
     source = table(spark, sf, "packets").limit(50)
     assert flows.stream_flow_core(source, 0.0005).agg(F.sum("packet_count")).first()[0] > 0
     with pytest.raises(ValueError):
