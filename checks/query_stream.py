@@ -15,7 +15,7 @@ from flowloom.operators.flows import flow_features
 from flowloom.operators.l7 import META, PAYLOAD, add_entries, l7_entries
 from flowloom.plans.pipeline import Settings
 from flowloom.sources.readers import read_packets
-from flowloom.streaming import flows, l7, state, wide
+from flowloom.streaming import flows, l7, partials, state, wide
 from flowloom.streaming.keyed import end_marker
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -44,10 +44,12 @@ def stream_late_repaired(spark, sf):
     steps = [~late & (F.col("pkt_id") >= i * step) & (F.col("pkt_id") < (i + 1) * step) for i in range(4)]
     for part in (*steps, late):
         source.filter(part).coalesce(1).write.mode("append").parquet(path)
-    stream = read_packets(spark, path, stream=True, maxFilesPerTrigger=1)
-    closed = flows.run_available(flows.stream_flow_core(stream))
-    repaired = flows.repair_late(closed, source)
-    return rounded(flows.flush_open_windows(repaired, source), {"inter_arrival_std_ms": 4})
+    kept = scratch_path(spark)
+    stream = read_packets(spark, path, stream=True, maxFilesPerTrigger=1).writeStream
+    stream = stream.foreachBatch(partials.partials_sink(spark, kept)).option("checkpointLocation", scratch_path(spark))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    repaired = partials.repaired_rows(spark, kept).unionByName(partials.open_rows(spark, kept))
+    return rounded(repaired, {"inter_arrival_std_ms": 4})
 
 
 def fed(spark: SparkSession, rows: DataFrame, number: str, n: int = 5) -> DataFrame:

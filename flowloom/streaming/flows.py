@@ -46,21 +46,11 @@ def _mean_std(values: Column) -> tuple[Column, Column]:
     )
 
 
-def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
-    """Core features per flow and window, on a stream or a batch of packets.
-
-    Streams cannot use row-ordered windows, so a window's packet times are gathered and
-    sorted; feed streams that passed the flood gate, which bounds them.  With a watermark of
-    one window, a window closes once a packet two windows later has been seen.  Packets of
-    closed windows are dropped; :func:`late_packets` counts them and :func:`repair_late` puts them in.
-    """
-    timed = event_time(packets)
-    if packets.isStreaming:
-        timed = timed.withWatermark("ts", whole_micros(size_s))
+def core_numbers() -> list[Column]:
+    """The numbers of a flow window behind :func:`core_rows`; all merge by sums, minima and joined lists."""
     valid = valid_size()
     tcp = valid & (F.col("protocol") == S.TCP)
-    span = F.window("ts", whole_micros(size_s))
-    grouped = timed.groupBy(*S.FLOW, span.alias("_window")).agg(
+    return [
         count_where(valid).alias("packet_count"),
         F.sum(F.when(valid, F.col("packet_size"))).alias("byte_count"),
         F.sort_array(F.collect_list(F.when(valid, F.col("ts_ns")))).alias("_times"),
@@ -70,15 +60,17 @@ def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
         count_where(tcp & has_flag(S.RST)).alias("rst_count"),
         count_where(tcp & (F.col("tcp_window") == 0)).alias("zero_window_count"),
         F.min(F.when(F.col("ip_ttl") > 0, F.col("ip_ttl"))).alias("ttl_min"),
-    )
-    start_us = F.unix_micros(F.col("_window.start"))
-    window = F.call_function("div", start_us * 1000, F.lit(size_ns(size_s)).cast("long")).alias("window_id")
+    ]
+
+
+def core_rows(numbers: DataFrame, size_s: float = 5.0) -> DataFrame:
+    """Core feature rows from :func:`core_numbers` per flow and ``window_id``."""
     n, size, seconds = F.col("packet_count"), F.col("byte_count"), float(size_s)
-    shown = grouped.filter(n > 0).withColumn("_gaps", F.array_sort(_gaps(F.col("_times"))))
+    shown = numbers.filter(n > 0).withColumn("_gaps", F.array_sort(_gaps(F.col("_times"))))
     mean, std = _mean_std(F.col("_gaps"))
     gap_count = F.size("_gaps")
     return shown.select(
-        *S.FLOW, window, flow_id().alias("flow_id"), "packet_count", "byte_count",
+        *S.FLOW, "window_id", flow_id().alias("flow_id"), "packet_count", "byte_count",
         clamp(n / seconds, 0, MAX_PPS).alias("packets_per_second"),
         clamp(size / seconds, 0, MAX_BPS).alias("bytes_per_second"),
         clamp(size / n, MIN_AVG_SIZE, MAX_AVG_SIZE).alias("avg_packet_size"),
@@ -90,6 +82,25 @@ def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
     )
 
 
+def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
+    """Core features per flow and window, on a stream or a batch of packets.
+
+    Streams cannot use row-ordered windows, so a window's packet times are gathered and
+    sorted; feed streams that passed the flood gate, which bounds them.  With a watermark of
+    one window, a window closes once a packet two windows later has been seen.  Packets of
+    closed windows are dropped; :func:`late_packets` counts them and :func:`repair_late` puts them in,
+    both from the whole input.  :mod:`flowloom.streaming.partials` keeps what is needed to merge them.
+    """
+    timed = event_time(packets)
+    if packets.isStreaming:
+        timed = timed.withWatermark("ts", whole_micros(size_s))
+    span = F.window("ts", whole_micros(size_s))
+    grouped = timed.groupBy(*S.FLOW, span.alias("_window")).agg(*core_numbers())
+    start_us = F.unix_micros(F.col("_window.start"))
+    window = F.call_function("div", start_us * 1000, F.lit(size_ns(size_s)).cast("long"))
+    return core_rows(grouped.withColumn("window_id", window), size_s)
+
+
 def run_available(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process everything available, then stop; returns the written Parquet table.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import table
 from flowloom.operators import flood
 from flowloom.sources import readers
-from flowloom.streaming import flows, state, wide
+from flowloom.streaming import flows, partials, state, wide
 from flowloom.streaming.keyed import end_marker, state_store
 
 @pytest.fixture(autouse=True)
@@ -83,6 +83,40 @@ def test_late_packets_are_counted_and_repaired(spark, sf, tmp_path):
     assert same(flows.flush_open_windows(flows.repair_late(closed, source), source), flows.stream_flow_core(source))
 
 
+def run_partials(spark, stream, path, checkpoint):
+    query = stream.writeStream.foreachBatch(partials.partials_sink(spark, path)).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_partials_mend_late_windows_without_the_packets(spark, sf, tmp_path):
+    path, checkpoint = str(tmp_path / "kept"), str(tmp_path / "cp")
+    stream, source = late_parts(spark, sf, str(tmp_path / "in"))
+    run_partials(spark, stream, path, checkpoint)
+    whole = flows.stream_flow_core(source)
+    mended = partials.repaired_rows(spark, path)
+    assert same(mended.unionByName(partials.open_rows(spark, path)), whole)
+    late = source.filter("pkt_id % 9 = 0 AND pkt_id < 500").filter(flows.valid_size()).count()
+    assert partials.late_counts(spark, path).agg(F.sum("late")).first()[0] == late > 20
+    assert not same(partials.closed_rows(spark, path), mended)
+    # Restarted with nothing new, and with a replayed batch: nothing is doubled.
+    run_partials(spark, stream, path, checkpoint)
+    partials.partials_sink(spark, path)(spark.read.schema(source.schema).parquet(str(tmp_path / "in")).filter("pkt_id % 9 = 0 AND pkt_id < 500"), 4)
+    assert same(partials.repaired_rows(spark, path).unionByName(partials.open_rows(spark, path)), whole)
+
+
+def test_partials_of_late_only_windows_and_empty_batches(spark, sf, tmp_path):
+    path, source = str(tmp_path / "kept"), table(spark, sf, "packets")
+    write = partials.partials_sink(spark, path)
+    newest = source.agg(F.max("ts_ns")).first()[0]
+    write(source.limit(0), 0)
+    assert partials.first_open(spark, path) is None and partials.open_rows(spark, path).isEmpty()
+    write(source.filter(F.col("ts_ns") == newest), 1)
+    write(source.filter(F.col("ts_ns") < newest), 2)
+    rows = partials.repaired_rows(spark, path).unionByName(partials.open_rows(spark, path))
+    assert same(rows, flows.stream_flow_core(source))
+    assert partials.closed_rows(spark, path).isEmpty() and not partials.late_counts(spark, path).isEmpty()
+
+
 def test_late_packets_keep_their_row_without_ttl(spark, sf, tmp_path):
     stream, source = late_parts(spark, sf, str(tmp_path / "in"))
     tracked = wide.run_closed(state.stream_prev_seq(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
