@@ -1,6 +1,6 @@
 """Check queries of packet, connection, flow and flood operators."""
 
-from checks.oracle_base import GROUP, build
+from checks.oracle_base import CTES, GROUP, build, same_rounding
 
 
 def _q(q: str) -> str:
@@ -267,3 +267,10 @@ ORACLE["flood_steady"] = build(
     "packets",
     recursive=True,
 )
+_PACKETS = same_rounding(CTES["packets"])
+_BURST = f"""select * replace (case when odd then 12000000000 else ts_ns end as ts_ns, case when odd then 'node-0' else host end as host,
+  case when odd then '10.0.0.1' else src_ip end as src_ip, case when odd then 1000 else src_port end as src_port,
+  case when odd then '10.0.0.2' else dst_ip end as dst_ip, case when odd then 80 else dst_port end as dst_port,
+  case when odd then 6 else protocol end as protocol) from (select *, pkt_id % 2 = 1 as odd from ({_PACKETS}))"""
+for _name, _body in (("conn_track_burst", "conn_track"), ("flow_burst", "flow_latency")):
+    ORACLE[_name] = ORACLE[_body].replace(_PACKETS, _BURST)

@@ -14,6 +14,7 @@ from flowloom.operators import connections, flood, flows
 from flowloom.operators import packets as pk
 
 GROUP = flows.GROUP
+BURST_FLOW, BURST_NS = ("node-0", "10.0.0.1", 1000, "10.0.0.2", 80, 6), 12_000_000_000
 
 
 def rounded(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
@@ -72,6 +73,25 @@ def conn_track(spark, sf):
     )
 
 
+def burst(spark: SparkSession, sf: str) -> DataFrame:
+    """The packets, every second one moved to one instant of one flow."""
+    odd, values = F.col("pkt_id") % 2 == 1, {**dict(zip(S.FLOW, BURST_FLOW, strict=True)), "ts_ns": BURST_NS}
+    source = packets(spark, sf)
+    return source.withColumns({n: F.when(odd, F.lit(v).cast(source.schema[n].dataType)).otherwise(F.col(n)) for n, v in values.items()})
+
+
+def conn_track_burst(spark, sf):
+    """Tracking where half of all packets share one instant of one flow, cut to parts of at most 500 rows."""
+    tracked = connections.track_connections(pk.annotate_packets(burst(spark, sf)), max_rows=500)
+    return tracked.select("pkt_id", "window_id", "prev_seq", "retransmission", "out_of_order", "conn_state", "error_flags")
+
+
+def flow_burst(spark, sf):
+    feats = flows.flow_features(pk.annotate_packets(burst(spark, sf)), max_rows=500)
+    names = ["latency_p50", "latency_p95", "latency_p99", "tail_latency_ratio"]
+    return rounded(feats.select(*GROUP, *names))
+
+
 def flow_dns_compat(spark, sf):
     compat = pk.annotate_packets(packets(spark, sf), compat=True)
     return flows.flow_features(compat).select(*GROUP, "dns_failures")
@@ -130,6 +150,8 @@ QUERIES = {
     "ip_filter": ip_filter,
     "ip_number": ip_number,
     "conn_track": conn_track,
+    "conn_track_burst": conn_track_burst,
+    "flow_burst": flow_burst,
     "flow_core": _flow(
         "flow_id", "packet_count", "byte_count", "packets_per_second", "bytes_per_second", "avg_packet_size",
         "connection_duration", "inter_arrival_mean_ms", "inter_arrival_std_ms", "inter_arrival_jitter",

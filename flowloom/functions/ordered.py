@@ -7,7 +7,7 @@ block rows are cut once more into groups of ``FAN`` blocks, so even the rows tha
 summarised stay spread when a single key holds most of a long history.
 
 A block column must not decrease along the order: it is usually a time window, or one of
-the finer slices :func:`split_hot_groups` makes of crowded windows.
+the finer slices :func:`split_hot_groups` makes of crowded windows and of crowded instants.
 """
 
 from __future__ import annotations
@@ -27,6 +27,10 @@ from flowloom.functions.sized import keep
 FAN = 4096
 #: Slices a crowded window may be cut into.
 MAX_SLICES = 65_536
+#: Parts the crowded instants of one slice may be cut into.
+MAX_PARTS = 1024
+#: Blocks per window of the block columns finer than a window.
+PER_WINDOW = {"slice_id": MAX_SLICES, "part_id": MAX_SLICES * MAX_PARTS}
 
 
 def _spec(keys: Sequence[str], order: Sequence[str], frame_end: int) -> WindowSpec:
@@ -39,8 +43,8 @@ def _with_group(df: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
     Per-block rows are used twice.  Grouping by ``_group`` as well and naming the null checks
     that the joins imply makes both uses equal below the exchange, so Spark runs it once.
     """
-    # A slice id packs its window, so groups are counted in windows for both.
-    grouped = df.withColumn("_group", idiv(block, FAN * MAX_SLICES if block == "slice_id" else FAN))
+    # Slice and part ids pack their window, so groups are counted in windows for all.
+    grouped = df.withColumn("_group", idiv(block, FAN * PER_WINDOW.get(block, 1)))
     return grouped.filter(functools.reduce(operator.and_, [F.col(c).isNotNull() for c in (*keys, "_group", block)]))
 
 
@@ -151,6 +155,7 @@ def split_hot_groups(
     size_s: float,
     max_rows: int | None,
     ts: str = "ts_ns",
+    tie: str | None = None,
 ) -> tuple[DataFrame, str]:
     """Add ``window_id``, where it is missing, and name the block column that keeps ordered work small.
 
@@ -158,6 +163,8 @@ def split_hot_groups(
     slices, each by its own count.  Counting is one pre-aggregated pass; the crowded groups are stored
     and joined back, by broadcast only where the stored table is small enough for Spark's own limit.
     With no crowded group, or with ``max_rows=None`` for input of proven rate, windows are blocks.
+    ``tie`` names the integer column that orders rows of equal time, if nothing else does; with it a
+    burst at one instant is cut as well.
     A ``crowded`` column marks the rows of cut groups where there are any.
     """
     ns = size_ns(size_s)
@@ -175,5 +182,32 @@ def split_hot_groups(
     part = idiv(offset * F.coalesce(F.col("_slices"), F.lit(0)), ns)
     out = out.withColumn("slice_id", F.col("window_id") * F.lit(MAX_SLICES).cast("long") + part)
     out = out.withColumn("crowded", F.col("_slices").isNotNull()).drop("_slices")
-    return out, "slice_id"
+    return _split_instants(out, keys, max_rows, ts, tie) if tie else (out, "slice_id")
+
+
+def _split_instants(rows: DataFrame, keys: Sequence[str], max_rows: int, ts: str, tie: str) -> tuple[DataFrame, str]:
+    """Cut slices where more than ``max_rows`` rows share one time, at quantiles of ``tie``.
+
+    Counts and quantile sketches merge before they are shuffled.  A cut is a position ``(time, tie)``; the
+    part of a row is the number of its slice's cuts up to it, so parts follow the order whatever the cuts are.
+    """
+    at = [*keys, "slice_id", ts]
+    counts = rows.filter("crowded").groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = keep(counts.filter(F.col("_n") > max_rows))
+    if heavy.isEmpty():
+        return rows, "slice_id"
+    inside = rows.filter("crowded").select(*at, F.col(tie).cast("long").alias("_tie")).join(heavy, at)
+    shares = [i / MAX_PARTS for i in range(1, MAX_PARTS)]
+    marks = inside.groupBy(*at).agg(F.percentile_approx("_tie", shares, 10_000).alias("_marks"), F.first("_n").alias("_n"))
+    # Every so many marks, so that a part holds about half of max_rows.
+    step = F.greatest(F.lit(1), F.floor(F.lit(MAX_PARTS * max_rows) / (F.col("_n") * 2))).cast("int")
+    chosen = F.filter("_marks", lambda mark, i: F.pmod(i, step) == 0)
+    positions = F.transform(chosen, lambda mark: F.struct(F.col(ts).alias("at"), mark.alias("tie")))
+    cuts = marks.select(*at, positions.alias("_cuts")).groupBy(*keys, "slice_id")
+    cuts = keep(cuts.agg(F.array_distinct(F.flatten(F.collect_list("_cuts"))).alias("_cuts")))
+    here = F.struct(F.col(ts).alias("at"), F.col(tie).cast("long").alias("tie"))
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= here))
+    part = F.when(F.col("_cuts").isNull(), 0).otherwise(F.least(passed, F.lit(MAX_PARTS - 1)))
+    out = rows.join(cuts, [*keys, "slice_id"], "left")
+    return out.withColumn("part_id", F.col("slice_id") * F.lit(MAX_PARTS).cast("long") + part).drop("_cuts"), "part_id"
 

@@ -46,7 +46,7 @@ def track_connections(packets: DataFrame, size_s: float = 5.0, max_rows: int | N
     window; what crosses a window is carried by one row per window.  ``max_rows=None`` skips
     the search for crowded windows; use it behind the flood gate, which bounds them.
     """
-    cut, block = split_hot_groups(packets, S.FLOW, size_s, max_rows)
+    cut, block = split_hot_groups(packets, S.FLOW, size_s, max_rows, tie="pkt_id")
     tcp = F.col("protocol") == S.TCP
     here = F.struct("window_id", "ts_ns", F.when(tcp, F.col("tcp_window")).alias("tcp_window"))
     out = last_before(

@@ -22,9 +22,10 @@ def extra_packet_stats(packets: DataFrame, size_s: float = 5.0, max_rows: int |
     """
     tracked = packets if "retransmission" in packets.columns else track_connections(packets, size_s, max_rows)
     gap = F.col("gap_ns")
-    if "slice_id" in tracked.columns:
+    block = next((name for name in ("part_id", "slice_id") if name in tracked.columns), None)
+    if block:
         held = {"_held": F.when(gap.isNotNull(), F.struct("window_id", "gap_ns"))}
-        tracked = last_before(tracked, S.FLOW, "slice_id", S.ORDER, held)
+        tracked = last_before(tracked, S.FLOW, block, S.ORDER, held)
         before = F.when(F.col("_held.window_id") == F.col("window_id"), F.col("_held.gap_ns"))
     else:
         earlier = Window.partitionBy(*GROUP).orderBy(*S.ORDER).rowsBetween(Window.unboundedPreceding, -1)
@@ -103,7 +104,7 @@ def endpoint_order_columns() -> list:
 def dup_acks(packets: DataFrame, size_s: float = 5.0, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """TCP packets without payload that repeat the flow's preceding ACK number, per window."""
     tcp = packets.filter(F.col("protocol") == S.TCP).select(*S.FLOW, *S.ORDER, "tcp_ack", "payload_size")
-    cut, block = split_hot_groups(tcp, S.FLOW, size_s, max_rows)
+    cut, block = split_hot_groups(tcp, S.FLOW, size_s, max_rows, tie="pkt_id")
     seen = last_before(cut, S.FLOW, block, S.ORDER, {"_before": F.col("tcp_ack")})
     same = (F.col("payload_size") == 0) & (F.col("tcp_ack") == F.col("_before"))
     return seen.groupBy(*GROUP).agg(count_where(same).alias("duplicate_acks"))

@@ -136,6 +136,25 @@ def test_each_crowded_window_is_cut_by_its_own_count(spark):
     assert cut.select("slice_id").distinct().count() > 20
 
 
+def test_burst_at_one_instant_is_cut(spark):
+    """Two bursts in one window: parts are small, and every ordered feature stays."""
+    from flowloom.functions.ordered import split_hot_groups
+
+    order = random.Random(5)
+    rows = [{"ts_ns": t, "tcp_seq": order.randrange(1, 9) * 1000, "tcp_ack": order.randrange(2), "tcp_window": order.randrange(3)}
+            for t in [0, 1, *[7] * 200, 8, *[2 * S1] * 100, 3 * S1, 7 * S1]]
+    source = make(spark, rows).cache()
+    cut, block = split_hot_groups(source, S.FLOW, 5.0, 20, tie="pkt_id")
+    assert block == "part_id" and cut.count() == len(rows)
+    assert cut.groupBy(block).count().agg(F.max("count")).first()[0] <= 20
+    blocks = [r[0] for r in cut.orderBy(*S.ORDER).select(block).collect()]
+    assert blocks == sorted(blocks)
+    for build in (flows.flow_features, extra.extra_packet_stats, extra.dup_acks):
+        whole, parts = ({r.window_id: r.asDict() for r in build(source, max_rows=n).collect()} for n in (None, 20))
+        assert whole.keys() == parts.keys() == {0, 1}
+        assert all(parts[w] == pytest.approx(row, nan_ok=True) for w, row in whole.items())
+
+
 def test_tracking_over_packets_matches_python(spark):
     rows = sorted(_busy(), key=lambda r: (r["ts_ns"], r["pkt_id"]))
     last, want = {}, {}
