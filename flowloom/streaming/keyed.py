@@ -37,6 +37,14 @@ def due_ms(ns: int) -> int:
     return -(-ns // 1_000_000) + SHIFT_MS
 
 
+def done_by(timerValues, expiredTimerInfo) -> int:
+    """The time up to which a call for a timer may do everything: that of the batch's watermark, not only the timer's own.
+
+    A key then needs one timer, for the first thing that is due, and one call per micro-batch serves all that is.
+    """
+    return max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+
+
 def stamp(ms: int):
     import pandas as pd
 

@@ -18,9 +18,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from flowloom import schema as S
 from flowloom.functions.scalar import CONVERSATION, endpoint_order, size_ns
 from flowloom.operators.l7 import META, PAYLOAD, TTL_S
-from flowloom.streaming.keyed import END, SHIFT_MS, arrow_schema, due_ms, pack, timed, unpack
+from flowloom.streaming.keyed import END, SHIFT_MS, arrow_schema, done_by, due_ms, pack, timed, unpack
 
 ENTRY, PACKET, LATE = 0, 1, 2
+#: Rows given out at once.
+MOST_ROWS = 5000
 
 
 class EntryCache(StatefulProcessor):
@@ -42,13 +44,16 @@ class EntryCache(StatefulProcessor):
         self.windows = handle.getMapState("windows", "window_id bigint, dir int", hit)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        soonest = None
         for pdf in rows:
             pdf = pdf[pdf["id"] != END]
             if not len(pdf):
                 continue
             self.waiting.appendValue((pack(pdf[self.schema.names], self.schema),))
-            for step in np.unique(pdf["ts_ns"].to_numpy(np.int64) // self.step):
-                self.handle.registerTimer(due_ms((int(step) + 1) * self.step))
+            oldest = int(pdf["ts_ns"].min())
+            soonest = oldest if soonest is None else min(soonest, oldest)
+        if soonest is not None:
+            self.handle.registerTimer(self.after(soonest))
         return iter(())
 
     def after(self, ns: int) -> int:
@@ -57,23 +62,22 @@ class EntryCache(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         # All rows before this time have come; a gate before gives them out in whole steps.
-        known_to = (expiredTimerInfo.getExpiryTimeInMs() - SHIFT_MS) * 1_000_000 // self.step * self.step
+        known_to = (done_by(timerValues, expiredTimerInfo) - SHIFT_MS) * 1_000_000 // self.step * self.step
         held = unpack([b for (b,) in self.waiting.get()], self.schema)
         ready = held[held["ts_ns"] < known_to]
+        left = held[held["ts_ns"] >= known_to]
         if len(ready):
-            left = held[held["ts_ns"] >= known_to]
             self.waiting.put([(pack(left, self.schema),)]) if len(left) else self.waiting.clear()
-        windows = {tuple(k): list(v) for k, v in self.windows.iterator()}
-        for window, d in {(int(t) // self.size, int(d)) for t, d, k in ready[["ts_ns", "dir", "kind"]].itertuples(index=False) if k == PACKET}:
-            if (window, d) not in windows:
-                windows[window, d] = [False] + [None] * len(self.names)
-                self.windows.updateValue((window, d), tuple(windows[window, d]))
-                self.handle.registerTimer(self.after((window + 2) * self.size))
-        looks = [((w + 2) * self.size, LATE, 0, d, w) for w, d in windows if (w + 2) * self.size < known_to]
-        line = [(int(r.ts_ns), int(r.kind), int(r.id), int(r.dir), k) for k, r in enumerate(ready[["ts_ns", "kind", "id", "dir"]].itertuples(index=False))]
+        stored = {tuple(k): list(v) for k, v in self.windows.iterator()}
+        found = {k: list(v) for k, v in stored.items()}
+        asked = ready[ready["kind"] == PACKET]
+        for window, d in set(zip((asked["ts_ns"] // self.size).tolist(), asked["dir"].tolist(), strict=True)):
+            found.setdefault((window, d), [False] + [None] * len(self.names))
+        looks = [((w + 2) * self.size, LATE, 0, d, w) for w, d in found if (w + 2) * self.size < known_to]
+        line = [*zip(*[ready[c].tolist() for c in ("ts_ns", "kind", "id", "dir")], range(len(ready)), strict=True)]
         newest = [s.get() if s.exists() else None for s in self.newest]
         table = ready[self.names].astype(object).where(ready[self.names].notna(), None).to_numpy()
-        found, changed, out = windows, set(), []
+        out = []
         for ts, kind, number, d, at in sorted(line + looks):
             if kind == ENTRY:
                 newest[d] = (ts, *table[at])
@@ -83,20 +87,28 @@ class EntryCache(StatefulProcessor):
             answer = found[window, d]
             if seen is not None and not answer[0]:
                 answer[:] = [True, *seen[1:]]
-                changed.add((window, d))
             shown = answer[1:] if kind == LATE else list(seen[1:]) if seen is not None else [None] * len(self.names)
             out.append((d, window, kind, number if kind == PACKET else None, ts, (answer[0] if kind == LATE else seen is not None), *shown))
             if kind == LATE:
-                self.windows.removeKey((window, d))
-                changed.discard((window, d))
-        for k in changed:
-            self.windows.updateValue(k, tuple(found[k]))
+                del found[window, d]
+            if len(out) >= MOST_ROWS:
+                yield self._frame(key, out)
+                out = []
+        # Only windows still open are kept.
+        for k in stored.keys() - found.keys():
+            self.windows.removeKey(k)
+        for k, answer in found.items():
+            if stored.get(k) != answer:
+                self.windows.updateValue(k, tuple(answer))
         for d, state in enumerate(self.newest):
             if newest[d] is not None and newest[d][0] + self.ttl < known_to:
                 state.clear()
             elif newest[d] is not None and len(ready):
                 state.update(tuple(newest[d]))
                 self.handle.registerTimer(self.after(newest[d][0] + self.ttl))
+        waits = [(w + 2) * self.size for w, _ in found] + ([int(left["ts_ns"].min())] if len(left) else [])
+        if waits:
+            self.handle.registerTimer(self.after(min(waits)))
         if out:
             yield self._frame(key, out)
 

@@ -3,7 +3,8 @@
 ``Gate`` (one state per source) lets packets through in event order and ends floods, ``FlowWindows`` (one per
 conversation) buffers both directions and closes their windows, ``SourceTotals`` (one per source) holds closed windows until
 the source's SYN packets of the window after are known.  Event-time timers do all closing, so results do not depend on how
-rows are dealt to micro-batches, as long as none comes behind the watermark.
+rows are dealt to micro-batches, as long as none comes behind the watermark.  A key has a timer for what is due first; the
+call for it does all that the watermark has passed, so a batch costs a key a few calls however much time it spans.
 
 What a key holds is bounded: the gate keeps at most twice the threshold of packets per rate window, a packet beyond that is
 dropped for certain; a conversation keeps the packets of its open windows, which the gate bounds; a source keeps the
@@ -13,6 +14,7 @@ passed; with ``idle_s`` conversations leave after that time without packets, wit
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from flowloom.operators.l7 import add_entries
 from flowloom.operators.report import SHOWN
 from flowloom.plans.pipeline import Settings, labelled, union_features
 from flowloom.streaming.flows import run_available
-from flowloom.streaming.keyed import END, arrow_schema, due_ms, pack, stamp, state_store, timed, unpack
+from flowloom.streaming.keyed import END, SHIFT_MS, arrow_schema, done_by, due_ms, pack, stamp, state_store, timed, unpack
 
 #: Packets that a gated conversation needs, in both directions.
 _MEASURES = [
@@ -69,6 +71,10 @@ def _frame(rows: list[dict], schema: T.StructType):
     return pd.DataFrame({f.name: pd.Series([r.get(f.name) for r in rows], dtype=kinds[type(f.dataType)]) for f in schema.fields})
 
 
+#: Rate windows that the gate's state holds as one value.
+SPAN = 64
+
+
 class Gate(StatefulProcessor):
     """Packets of a source with ``dropped``, and ``first`` for the one that got it blocked, in event order.
 
@@ -82,54 +88,74 @@ class Gate(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.rate = handle.getValueState("rate", "reset bigint, n bigint, block_ts bigint, block_id bigint")
-        self.waiting = handle.getMapState("waiting", "bucket bigint", "packets binary")
+        self.waiting = handle.getMapState("waiting", "span bigint", "packets binary")
 
-    def _marked(self, pdf, dropped, first=0):
+    def _marked(self, pdf, dropped, first=0, at=None):
         import pandas as pd
 
-        ends = (pdf["ts_ns"].astype("int64") // self.win + 1) * self.win
-        return pdf.assign(dropped=dropped, first=first, at=pd.to_datetime([due_ms(int(e)) for e in ends], unit="ms"))
+        ends = (pdf["ts_ns"].to_numpy(np.int64) // self.win + 1) * self.win
+        shifted = pd.to_datetime(-(-ends // 1_000_000) + SHIFT_MS, unit="ms") if at is None else stamp(at)
+        return pdf.assign(dropped=dropped, first=first, at=shifted)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import pandas as pd
 
         held = self.rate.get() if self.rate.exists() else None
         blocked = held is not None and held[2] is not None
-        most = 2 * self.threshold
+        soonest = None
         for pdf in rows:
             pdf = pdf.loc[pdf["pkt_id"] != END, self.schema.names]
-            if blocked and len(pdf):
+            if not len(pdf):
+                continue
+            if blocked:
                 yield self._marked(pdf, 1)
                 continue
-            for bucket, part in pdf.groupby(pdf["ts_ns"] // self.win):
-                before = self.waiting.getValue((int(bucket),))
+            bucket = int(pdf["ts_ns"].min()) // self.win
+            soonest = bucket if soonest is None else min(soonest, bucket)
+            for span, part in pdf.groupby(pdf["ts_ns"] // (self.win * SPAN)):
+                before = self.waiting.getValue((int(span),))
                 if before:
                     part = pd.concat([unpack([before[0]], self.schema), part])
                 part = part.sort_values(S.ORDER, kind="stable")
-                if len(part) > most:
-                    yield self._marked(part.iloc[most:], 1)
-                self.waiting.updateValue((int(bucket),), (pack(part.iloc[:most], self.schema),))
-                self.handle.registerTimer(due_ms((int(bucket) + 1) * self.win))
+                buckets = part["ts_ns"].to_numpy(np.int64) // self.win
+                over = np.arange(len(buckets)) - np.searchsorted(buckets, buckets) >= 2 * self.threshold
+                if over.any():
+                    yield self._marked(part[over], 1)
+                    part = part[~over]
+                self.waiting.updateValue((int(span),), (pack(part, self.schema),))
+        if soonest is not None:
+            self.handle.registerTimer(due_ms((soonest + 1) * self.win))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = done_by(timerValues, expiredTimerInfo)
         reset, n, block_ts, block_id = self.rate.get() if self.rate.exists() else (None, 0, None, None)
-        for bucket in sorted(b for (b,) in self.waiting.keys() if due_ms((b + 1) * self.win) <= now):
-            pdf = unpack([self.waiting.getValue((bucket,))[0]], self.schema)
-            self.waiting.removeKey((bucket,))
+        # Buckets before this one are over.
+        known = (now - SHIFT_MS) * 1_000_000 // self.win
+        for span in sorted(k for (k,) in self.waiting.keys()):
+            pdf = unpack([self.waiting.getValue((span,))[0]], self.schema)
             ts = pdf["ts_ns"].to_numpy(np.int64)
-            at, drop_from = 0, len(ts) if block_ts is None else 0
+            cut = int(np.searchsorted(ts, known * self.win))
+            if cut == 0:
+                self.handle.registerTimer(due_ms((int(ts[0]) // self.win + 1) * self.win))
+                break
+            pdf, left, ts = pdf.iloc[:cut], pdf.iloc[cut:], ts[:cut]
+            if len(left):
+                self.waiting.updateValue((span,), (pack(left, self.schema),))
+                self.handle.registerTimer(due_ms((int(left["ts_ns"].iloc[0]) // self.win + 1) * self.win))
+            else:
+                self.waiting.removeKey((span,))
+            at, drop_from, first = 0, len(ts) if block_ts is None else 0, -1
             while block_ts is None and at < len(ts):
                 if reset is None or ts[at] - reset > self.win:
                     reset, n = int(ts[at]), 0
                 end = int(np.searchsorted(ts, reset + self.win, side="right"))
                 if n + end - at > self.threshold:
-                    drop_from, n = at + self.threshold - n, self.threshold
-                    block_ts, block_id = int(ts[drop_from]), int(pdf["pkt_id"].iloc[drop_from])
+                    first = drop_from = at + self.threshold - n
+                    n, block_ts, block_id = self.threshold, int(ts[first]), int(pdf["pkt_id"].iloc[first])
                     break
                 n, at = n + end - at, end
             place = np.arange(len(ts))
-            yield self._marked(pdf, (place >= drop_from).astype("int32"), ((place == drop_from) & (pdf["pkt_id"].to_numpy(np.int64) == (block_id if block_id is not None else END))).astype("int32"))
+            yield self._marked(pdf, (place >= drop_from).astype("int32"), (place == first).astype("int32"), now + 1)
         # When the bucket in which the rate window ends is judged, a packet still to come opens a new one whatever is known.
         over = None if reset is None else due_ms((reset // self.win + 2) * self.win)
         if block_ts is None and over is not None and over <= now:
@@ -236,6 +262,10 @@ def dns_waits(asked: np.ndarray, answered: np.ndarray, most_ns: int) -> dict:
     return {"dns_query_latency_ms": mean / 1e6, "dns_query_latency_p95": p95 / 1e6}
 
 
+#: Rows that a processor gives out at once.
+MOST_ROWS = 5000
+
+
 class FlowWindows(StatefulProcessor):
     """Closed windows of both directions of a conversation; rows of blocking packets pass at once."""
 
@@ -246,14 +276,14 @@ class FlowWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "window_id bigint, packets binary")
+        self.waiting = handle.getListState("waiting", "packets binary")
         self.last = handle.getValueState("last", "seq0 bigint, seq1 bigint, newest_ns bigint")
 
     def due(self, window: int) -> int:
         return closes(window, self.size, self.answer, self.rate)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        newest = None
+        newest = soonest = None
         for pdf in rows:
             first = pdf[pdf["first"] == 1]
             if len(first):
@@ -261,43 +291,52 @@ class FlowWindows(StatefulProcessor):
                     [{"host": key[0], "src_ip": r.src_ip, "block_ts": r.ts_ns, "block_id": r.pkt_id, "at": r.at} for r in first.itertuples()], _WITH_TIME
                 )
             pdf = pdf[pdf["dropped"] == 0]
-            for window, part in pdf.groupby(pdf["ts_ns"] // self.size):
-                self.waiting.appendValue((int(window), pack(part[_MEASURES], self.schema)))
-                self.handle.registerTimer(self.due(int(window)))
             if len(pdf):
-                newest = max(newest or 0, int(pdf["ts_ns"].max()))
+                self.waiting.appendValue((pack(pdf[_MEASURES], self.schema),))
+                low, high = int(pdf["ts_ns"].min()), int(pdf["ts_ns"].max())
+                soonest, newest = (low, high) if newest is None else (min(soonest, low), max(newest, high))
+        if newest is not None:
+            self.handle.registerTimer(self.due(soonest // self.size))
         if newest is not None and self.idle:
-            seqs = self.last.get()[:2] if self.last.exists() else (None, None)
-            self.last.update((*seqs, newest))
+            seqs = self.last.get() if self.last.exists() else (None, None, None)
+            newest = max(newest, seqs[2] or newest)
+            self.last.update((*seqs[:2], newest))
             self.handle.registerTimer(due_ms(newest + self.idle))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        held = list(self.waiting.get())
+        now = done_by(timerValues, expiredTimerInfo)
+        held = unpack([b for (b,) in self.waiting.get()], self.schema).sort_values(S.ORDER, kind="stable")
+        columns = {c: held[c].to_numpy(np.int64) for c in _MEASURES}
+        windows = columns["ts_ns"] // self.size
         seqs = list(self.last.get()) if self.last.exists() else [None, None, None]
-        ready = sorted({w for w, _ in held if self.due(w) <= now})
-        out = []
-        for window in ready:
-            pdf = unpack([b for w, b in held if w == window], self.schema).sort_values(S.ORDER, kind="stable")
+        distinct, begins = np.unique(windows, return_index=True)
+        ready = bisect_right(distinct.tolist(), now, key=self.due)
+        ends = [*begins[1:].tolist(), len(held)]
+        tcp, udp, out = key[5] == S.TCP, key[5] == S.UDP, []
+        for window, begin, end in zip(distinct[:ready].tolist(), begins.tolist(), ends, strict=False):
+            part = {c: v[begin:end] for c, v in columns.items()}
             for d in (0, 1):
-                mine = pdf[pdf["dir"] == d]
-                if not len(mine):
+                mine = part["dir"] == d
+                if not mine.any():
                     continue
                 (ip_s, port_s), (ip_d, port_d) = (key[1:3], key[3:5]) if d == 0 else (key[3:5], key[1:3])
-                arrays = {c: mine[c].to_numpy(np.int64) for c in _MEASURES}
-                tcp, udp = key[5] == S.TCP, key[5] == S.UDP
+                arrays = {c: v[mine] for c, v in part.items()}
                 numbers, seqs[d] = window_numbers(arrays, tcp, udp, port_s, port_d, seqs[d], self.rcode_mask)
                 if numbers["dns_queries"]:
-                    near = [b for w, b in held if window <= w <= window + 1 + self.answer // self.size]
-                    both = unpack(near, self.schema)
-                    answers = np.sort(both.loc[both["dir"] != d, "ts_ns"].to_numpy(np.int64)) if port_d == 53 else np.zeros(0, dtype=np.int64)
+                    near = slice(begin, int(np.searchsorted(windows, window + 1 + self.answer // self.size, side="right")))
+                    answers = columns["ts_ns"][near][columns["dir"][near] != d] if port_d == 53 else np.zeros(0, dtype=np.int64)
                     numbers |= dns_waits(arrays["ts_ns"], answers, self.answer)
-                out.append({"host": key[0], "src_ip": ip_s, "src_port": port_s, "dst_ip": ip_d, "dst_port": port_d, "protocol": key[5], "window_id": window, "at": stamp(now), **numbers})
+                out.append({"host": key[0], "src_ip": ip_s, "src_port": port_s, "dst_ip": ip_d, "dst_port": port_d, "protocol": key[5], "window_id": window, "at": stamp(now + 1), **numbers})
+            if len(out) >= MOST_ROWS:
+                yield _frame(out, _WITH_TIME)
+                out = []
         if ready:
-            left = [(w, b) for w, b in held if w not in set(ready)]
+            left = held.iloc[ends[ready - 1] :]
             # Without packets left, nothing is held but what later packets are compared with.
-            self.waiting.put(left) if left else self.waiting.clear()
+            self.waiting.put([(pack(left, self.schema),)]) if len(left) else self.waiting.clear()
             self.last.update(tuple(seqs))
+        if ready < len(distinct):
+            self.handle.registerTimer(self.due(int(distinct[ready])))
         if self.idle and seqs[2] is not None and due_ms(seqs[2] + self.idle) <= now:
             self.last.clear()
         if out:
@@ -316,8 +355,7 @@ class SourceTotals(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "window_id bigint, rows binary")
-        self.syn = handle.getMapState("syn", "window_id bigint", "n bigint")
+        self.waiting = handle.getListState("waiting", "rows binary")
         self.before = handle.getValueState("before", "n bigint")
         self.block = handle.getValueState("block", "block_ts bigint, block_id bigint, told boolean")
 
@@ -326,52 +364,52 @@ class SourceTotals(StatefulProcessor):
         return closes(window + 1, self.size, max(self.answer, self.rate), self.rate)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        soonest = None
         for pdf in rows:
             for r in pdf[pdf["window_id"].isna()].itertuples():
                 self.block.update((int(r.block_ts), int(r.block_id), False))
                 self.handle.registerTimer(self.due(int(r.block_ts) // self.size))
             closed = pdf[pdf["window_id"].notna()]
-            for window, part in closed.groupby(closed["window_id"].astype("int64")):
-                window, n = int(window), int(part["syn_seen"].sum())
-                if n:
-                    known = self.syn.getValue((window,))
-                    self.syn.updateValue((window,), (n + (known[0] if known else 0),))
-                shown = part[part["packet_count"] > 0]
-                if len(shown):
-                    self.waiting.appendValue((window, pack(shown[self.schema.names], self.schema)))
-                self.handle.registerTimer(self.due(window))
+            if len(closed):
+                self.waiting.appendValue((pack(closed[self.schema.names], self.schema),))
+                window = int(closed["window_id"].min())
+                soonest = window if soonest is None else min(soonest, window)
+        if soonest is not None:
+            self.handle.registerTimer(self.due(soonest))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        counts = {w: n for (w,), (n,) in self.syn.iterator()}
+        now = done_by(timerValues, expiredTimerInfo)
         before = self.before.get()[0] if self.before.exists() else 0
         block_ts, block_id, told = self.block.get() if self.block.exists() else (None, None, True)
-        held = list(self.waiting.get())
-        ready = sorted({w for w, _ in held if self.due(w) <= now})
-        for window in ready:
-            total = before + sum(n for w, n in counts.items() if w <= window + 1)
-            pdf = unpack([b for w, b in held if w == window], self.schema)
-            blocked = int(block_ts is not None and block_ts < (window + 2) * self.size)
-            yield self._named(key, pdf, total, blocked, now)
+        held = unpack([b for (b,) in self.waiting.get()], self.schema)
+        distinct, where = np.unique(held["window_id"].to_numpy(np.int64), return_inverse=True)
+        ready = bisect_right(distinct.tolist(), now, key=self.due)
+        counts = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(counts, where, held["syn_seen"].to_numpy(np.int64))
         if ready:
-            left = [(w, b) for w, b in held if w not in set(ready)]
-            self.waiting.put(left) if left else self.waiting.clear()
+            so_far = before + np.cumsum(counts)
+            totals = so_far[np.searchsorted(distinct, distinct[:ready] + 1, side="right") - 1]
+            shown = (where < ready) & (held["packet_count"].to_numpy(np.int64) > 0)
+            blocked = np.zeros(ready, dtype=np.int32) if block_ts is None else (block_ts < (distinct[:ready] + 2) * self.size).astype(np.int32)
+            if shown.any():
+                yield self._named(key, held[shown], totals[where[shown]], blocked[where[shown]], now + 1)
         if not told and self.due(block_ts // self.size) <= now:
-            total = before + sum(counts.values())
-            yield self._named(key, _frame([{"block_ts": block_ts, "block_id": block_id}], _CLOSED).drop(columns=S.SOURCE), total, 1, now)
+            rows = _frame([{"block_ts": block_ts, "block_id": block_id}], _CLOSED).drop(columns=S.SOURCE)
+            yield self._named(key, rows, np.array([before + counts.sum()]), np.ones(1, dtype=np.int32), now + 1)
             self.block.update((block_ts, block_id, True))
-        # Counts that no waiting window asks for one by one become one number.
-        old = [w for w in counts if self.due(w) <= now]
-        if old:
-            self.before.update((before + sum(counts[w] for w in old),))
-            for w in old:
-                self.syn.removeKey((w,))
-
-    def _named(self, key, pdf, total: int, blocked: int, now: int):
+        if ready:
+            # Counts that no waiting window asks for one by one become one number.
+            self.before.update((int(before + counts[:ready].sum()),))
+            left = held[where >= ready]
+            self.waiting.put([(pack(left, self.schema),)]) if len(left) else self.waiting.clear()
+        if ready < len(distinct):
+            self.handle.registerTimer(self.due(int(distinct[ready])))
+
+    def _named(self, key, pdf, total: np.ndarray, blocked: np.ndarray, at: int):
         import pandas as pd
 
-        extra = {"host": key[0], "src_ip": key[1], "at": stamp(now), "_syn": pd.array([total or None] * len(pdf), dtype="Int64"), "is_blocked_flow": pd.array([blocked] * len(pdf), dtype="Int32")}
+        extra = {"host": key[0], "src_ip": key[1], "at": stamp(at), "_syn": pd.arrays.IntegerArray(total.astype(np.int64), total == 0), "is_blocked_flow": pd.array(blocked, dtype="Int32")}
         return pdf.assign(**extra)[_OUT.names]
 
     def close(self) -> None:
@@ -414,16 +452,20 @@ class StatusReport(StatefulProcessor):
         for interval, (n, blocked, cpu, memory) in found.items():
             before = self.open.getValue((interval,)) or (0, 0, 0.0, 0.0)
             self.open.updateValue((interval,), (before[0] + n, before[1] + blocked, max(before[2], cpu), max(before[3], memory)))
-            self.handle.registerTimer(self.due(interval * self.step))
+        if found:
+            self.handle.registerTimer(self.due(min(found) * self.step))
         if blocks:
             self.first.put(sorted([*((int(t), ip) for t, ip in self.first.get()), *blocks])[:SHOWN])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = done_by(timerValues, expiredTimerInfo)
         rows, blocked = self.total.get() if self.total.exists() else (0, 0)
         first, out = [(int(t), ip) for t, ip in self.first.get()], []
-        for (interval,), (n, more, cpu, memory) in sorted((k, v) for k, v in self.open.iterator() if self.due(k[0] * self.step) <= now):
+        for (interval,), (n, more, cpu, memory) in sorted(self.open.iterator()):
+            if self.due(interval * self.step) > now:
+                self.handle.registerTimer(self.due(interval * self.step))
+                break
             rows, blocked = rows + n, blocked + more
             told = ", ".join(ip for t, ip in first if t // self.step + 1 <= interval)
             out.append(dict(zip(_STATUS.names, (key[0], interval * self.interval_s, rows, blocked, cpu, memory, told), strict=True)))
