@@ -13,7 +13,7 @@ from flowloom.functions.scalar import blocked_flow_id, has_flag, idiv, size_ns,
 from flowloom.functions.sized import lookup_join
 
 THRESHOLD = 500
-#: Rate windows per piece of a source's history that one task walks at a time.
+#: Rate windows per piece of a source's history, and at least in a group of pieces, that one task walks at a time.
 PIECE = 64
 #: Neighbouring pieces that one task joins into one.
 PIECES_JOINED = 256
@@ -25,12 +25,12 @@ _PIECE_SCHEMA = (
 
 
 def _piece_outcomes(threshold: int, win_ns: int, piece: int = PIECE):
-    """Outcome of one piece of a source for every packet that may open its first window.
+    """Outcome of each piece in a stretch of a source for every packet that may open its first window.
 
     A rate window opens at a packet and lasts ``win_ns``; the next one opens at the first
-    packet after it.  Where the piece starts inside a window left open by the piece before,
+    packet after it.  Where a piece starts inside a window left open by the piece before,
     the first own window opens at one of the packets of the first ``win_ns``.  For each of
-    those the windows are followed to the end of the piece, all at once, one window a step.
+    those the windows are followed to the end of the piece, for all pieces at once, one window a step.
     The result is the packet that gets the source blocked, or the window left open.
     """
 
@@ -40,28 +40,32 @@ def _piece_outcomes(threshold: int, win_ns: int, piece: int = PIECE):
 
         pdf = pdf.sort_values(["ts_ns", "pkt_id"], kind="stable")
         ts, ids = pdf["ts_ns"].to_numpy(np.int64), pdf["pkt_id"].to_numpy(np.int64)
-        n = len(ts)
         after = np.searchsorted(ts, ts + win_ns, side="right")
-        start = int(key[2]) * piece * win_ns
-        head = int(np.searchsorted(ts, start + win_ns, side="left"))
-        at = np.arange(head + 1)
-        blocked = np.full(head + 1, -1)
-        live = at < n
-        while live.any():
+        pieces, begins = np.unique(ts // (piece * win_ns), return_index=True)
+        ends = np.append(begins[1:], len(ts))
+        heads = np.searchsorted(ts, (pieces * piece + 1) * win_ns, side="left")
+        starts = np.concatenate([[0], np.cumsum(heads - begins + 1)])
+        own = np.repeat(np.arange(len(pieces)), heads - begins + 1)
+        at, end = np.arange(starts[-1]) - starts[own] + begins[own], ends[own]
+        blocked = np.full(len(at), -1)
+        live = np.flatnonzero(at < end)
+        while len(live):
             cur = at[live]
-            over = after[cur] - cur > threshold
-            blocked[np.flatnonzero(live)[over]] = cur[over] + threshold
-            more = ~over & (after[cur] < n)
-            at[np.flatnonzero(live)[more]] = after[cur[more]]
-            live[np.flatnonzero(live)[~more]] = False
-        hit, inside = blocked >= 0, at < n
+            following = np.minimum(after[cur], end[live])
+            over = following - cur > threshold
+            blocked[live[over]] = cur[over] + threshold
+            more = ~over & (following < end[live])
+            live = live[more]
+            at[live] = following[more]
+        hit, inside = blocked >= 0, at < end
         safe_at, safe_hit = np.where(inside, at, 0), np.where(hit, blocked, 0)
-        row = {
-            "head_ts": ts[:head], "head_id": ids[:head],
+        rows = {
             "block_ts": np.where(hit, ts[safe_hit], -1), "block_id": np.where(hit, ids[safe_hit], -1),
-            "exit_ts": np.where(inside, ts[safe_at], -1), "exit_n": np.where(inside, n - at, 0),
+            "exit_ts": np.where(inside, ts[safe_at], -1), "exit_n": np.where(inside, end - at, 0),
         }
-        return pd.DataFrame({"host": [key[0]], "src_ip": [key[1]], "piece": [key[2]], **{k: [v] for k, v in row.items()}})
+        cut = lambda values: [values[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        head = lambda values: [values[a:b] for a, b in zip(begins, heads, strict=True)]
+        return pd.DataFrame({"host": key[0], "src_ip": key[1], "piece": pieces, "head_ts": head(ts), "head_id": head(ids), **{k: cut(v) for k, v in rows.items()}})
 
     return outcomes
 
@@ -133,7 +137,7 @@ def flood_blocklist(
     two windows, so it blocks for certain, and by its packet of that number at the latest:
     later buckets and later packets of a bucket are left out.  That bounds the packets of a
     source by ``2 * threshold`` per bucket however many it sent.  What is left is cut into
-    pieces of ``piece`` buckets that are solved independently.  A piece is a function from the window
+    pieces of ``piece`` buckets that are solved independently, ``PIECE`` buckets in one group.  A piece is a function from the window
     left open before it to the blocking packet or the window it leaves open; such functions compose,
     so neighbours are joined ``fan`` at a time, level by level, and no task walks a source's history.
     """
@@ -156,8 +160,8 @@ def flood_blocklist(
     in_bucket = Window.partitionBy(*S.SOURCE, "bucket").orderBy(*S.ORDER)
     kept = rows.withColumn("_rank", F.row_number().over(in_bucket)).filter(F.col("_rank") <= most)
     pieces = (
-        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", piece).alias("piece"))
-        .groupBy(*S.SOURCE, "piece")
+        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", piece * max(1, PIECE // piece)).alias("stretch"))
+        .groupBy(*S.SOURCE, "stretch")
         .applyInPandas(_piece_outcomes(threshold, win_ns, piece), _PIECE_SCHEMA)
     )
     # Pieces of 64-bit times: so many levels leave one per source.

@@ -102,3 +102,17 @@ def test_pieces_compose_to_the_fold(spark, piece, fan):
         found = flood.flood_blocklist(table(spark, rows), threshold, piece=piece, fan=fan).collect()
         assert {r.src_ip: (r.block_ts, r.block_id) for r in found} == want and len(found) == len(want)
     assert "late" in fold(rows, 5) and "steady" not in fold(rows, 5)
+
+
+def test_short_pieces_share_a_call():
+    """Pieces of one bucket are solved a stretch at a time, each as it would be alone."""
+    import pandas as pd
+
+    rows = pd.DataFrame(sorted((t, p) for _, t, p in burst(3, 400, 1, S1 // 5)), columns=["ts_ns", "pkt_id"])
+    rows["stretch"] = rows["ts_ns"] // (64 * S1)
+    solve = flood._piece_outcomes(6, S1, 1)
+    together = pd.concat([solve(("h", "a", key), part) for key, part in rows.groupby("stretch")])
+    alone = pd.concat([solve(("h", "a", key), part) for key, part in rows.groupby(rows["ts_ns"] // S1)])
+    assert len(together) > 50 and rows["stretch"].nunique() > 1
+    flat = lambda df: [[x.tolist() if hasattr(x, "tolist") else x for x in r] for r in df.itertuples(index=False)]
+    assert flat(together) == flat(alone)
