@@ -13,8 +13,10 @@ from flowloom.functions.scalar import blocked_flow_id, has_flag, idiv, size_ns,
 from flowloom.functions.sized import lookup_join
 
 THRESHOLD = 500
-#: Rate windows per piece of a source's history, and at least in a group of pieces, that one task walks at a time.
+#: Rate windows per piece of a source's history that one task walks at a time.
 PIECE = 64
+#: Packets that a group of neighbouring pieces may hold at most, unless one piece may hold more.
+GROUP_ROWS = 64_000
 #: Neighbouring pieces that one task joins into one.
 PIECES_JOINED = 256
 
@@ -137,12 +139,13 @@ def flood_blocklist(
     two windows, so it blocks for certain, and by its packet of that number at the latest:
     later buckets and later packets of a bucket are left out.  That bounds the packets of a
     source by ``2 * threshold`` per bucket however many it sent.  What is left is cut into
-    pieces of ``piece`` buckets that are solved independently, ``PIECE`` buckets in one group.  A piece is a function from the window
+    pieces of ``piece`` buckets that are solved independently, as many in one call as keep to ``GROUP_ROWS``.  A piece is a function from the window
     left open before it to the blocking packet or the window it leaves open; such functions compose,
     so neighbours are joined ``fan`` at a time, level by level, and no task walks a source's history.
     """
     win_ns = size_ns(window_s)
     most = 2 * threshold
+    stretch = piece * max(1, GROUP_ROWS // (most * piece))
     slim = packets.select(*S.SOURCE, *S.ORDER, idiv("ts_ns", win_ns).alias("bucket"))
     counts = slim.groupBy(*S.SOURCE, "bucket").agg(F.count(F.lit(1)).alias("n"))
     pairs = counts.select(
@@ -160,7 +163,7 @@ def flood_blocklist(
     in_bucket = Window.partitionBy(*S.SOURCE, "bucket").orderBy(*S.ORDER)
     kept = rows.withColumn("_rank", F.row_number().over(in_bucket)).filter(F.col("_rank") <= most)
     pieces = (
-        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", piece * max(1, PIECE // piece)).alias("stretch"))
+        kept.select(*S.SOURCE, *S.ORDER, idiv("bucket", stretch).alias("stretch"))
         .groupBy(*S.SOURCE, "stretch")
         .applyInPandas(_piece_outcomes(threshold, win_ns, piece), _PIECE_SCHEMA)
     )

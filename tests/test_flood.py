@@ -116,3 +116,29 @@ def test_short_pieces_share_a_call():
     assert len(together) > 50 and rows["stretch"].nunique() > 1
     flat = lambda df: [[x.tolist() if hasattr(x, "tolist") else x for x in r] for r in df.itertuples(index=False)]
     assert flat(together) == flat(alone)
+
+
+def test_calls_follow_packets_not_time(spark):
+    """A slow source over hours is solved in few calls; a call stays within the bound at any threshold."""
+    rows = table(spark, [("a", i * 20 * S1 + j, i * 3 + j) for i in range(900) for j in range(3)])
+    solved = flood.flood_blocklist(rows, 2)
+    assert solved.count() == 1
+    calls, outcomes = spark.sparkContext.accumulator(0), flood._piece_outcomes
+
+    def counted(*given):
+        solve = outcomes(*given)
+
+        def one(key, pdf):
+            calls.add(1)
+            return solve(key, pdf)
+
+        return one
+
+    flood._piece_outcomes = counted
+    try:
+        assert flood.flood_blocklist(rows, 2).count() == 1 and flood.flood_blocklist(rows, 3).count() == 0
+        steady = table(spark, [("a", i * 10 * S1 + j, i * 5 + j) for i in range(900) for j in range(5)])
+        calls.value = 0
+        assert flood.flood_blocklist(steady, 4).count() == 1 and 0 < calls.value <= 2
+    finally:
+        flood._piece_outcomes = outcomes
