@@ -185,11 +185,18 @@ def split_hot_groups(
     return _split_instants(out, keys, max_rows, ts, tie) if tie else (out, "slice_id")
 
 
+def passed_cuts(cuts: Column, here: Column) -> Column:
+    """How many of the sorted ``cuts`` are not beyond ``here``, at most ``MAX_PARTS - 1``; a look-up costs ten comparisons."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MAX_PARTS.bit_length() - 1))])
+    step = lambda n, more: F.when(F.get(cuts, n + more - 1) <= here, n + more).otherwise(n)
+    return F.aggregate(steps, F.lit(0), step)
+
+
 def _split_instants(rows: DataFrame, keys: Sequence[str], max_rows: int, ts: str, tie: str) -> tuple[DataFrame, str]:
     """Cut slices where more than ``max_rows`` rows share one time, at quantiles of ``tie``.
 
     Counts and quantile sketches merge before they are shuffled.  A cut is a position ``(time, tie)``; the
-    part of a row is the number of its slice's cuts up to it, so parts follow the order whatever the cuts are.
+    part of a row is the number of its slice's cuts up to it, found by halving, so parts follow the order whatever the cuts are.
     """
     at = [*keys, "slice_id", ts]
     counts = rows.filter("crowded").groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
@@ -204,10 +211,9 @@ def _split_instants(rows: DataFrame, keys: Sequence[str], max_rows: int, ts: str
     chosen = F.filter("_marks", lambda mark, i: F.pmod(i, step) == 0)
     positions = F.transform(chosen, lambda mark: F.struct(F.col(ts).alias("at"), mark.alias("tie")))
     cuts = marks.select(*at, positions.alias("_cuts")).groupBy(*keys, "slice_id")
-    cuts = keep(cuts.agg(F.array_distinct(F.flatten(F.collect_list("_cuts"))).alias("_cuts")))
+    cuts = keep(cuts.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_cuts")))).alias("_cuts")))
     here = F.struct(F.col(ts).alias("at"), F.col(tie).cast("long").alias("tie"))
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= here))
-    part = F.when(F.col("_cuts").isNull(), 0).otherwise(F.least(passed, F.lit(MAX_PARTS - 1)))
+    part = F.when(F.col("_cuts").isNull(), 0).otherwise(passed_cuts(F.col("_cuts"), here))
     out = rows.join(cuts, [*keys, "slice_id"], "left")
     return out.withColumn("part_id", F.col("slice_id") * F.lit(MAX_PARTS).cast("long") + part).drop("_cuts"), "part_id"
 

@@ -183,3 +183,16 @@ def test_preview_and_conform(spark):
     assert row.columns == S.FEATURES.names and len(row.columns) == 94
     first = packets.preview(row).collect()[0]
     assert first.flow_id == "x" and first.anomaly_label == 0
+
+
+def test_cuts_are_found_by_halving(spark):
+    """The part of a row is the count of cuts up to it, without a look at each of them."""
+    from flowloom.functions.ordered import MAX_PARTS, passed_cuts
+
+    draw = random.Random(7)
+    for n in (0, 1, 2, 31, 32, 33, 1022, 1023, 1500):
+        cuts = sorted((draw.randrange(5), draw.randrange(400)) for _ in range(n))
+        rows = [(draw.randrange(-1, 6), draw.randrange(-5, 405)) for _ in range(60)]
+        source = spark.createDataFrame([(*r, cuts) for r in rows], "at long, tie long, cuts array<struct<at:long,tie:long>>")
+        got = source.select("at", "tie", passed_cuts(F.col("cuts"), F.struct("at", "tie")).alias("n")).collect()
+        assert all(r.n == min(sum(c <= (r["at"], r.tie) for c in cuts), MAX_PARTS - 1) for r in got)
