@@ -37,17 +37,17 @@ def stream_flow_core(spark, sf):
 
 
 def stream_late_repaired(spark, sf):
-    """Five files, one per micro-batch; every ninth packet of the first half comes last, after its window closed."""
-    source, path = packets(spark, sf), scratch_path(spark)
+    """Five steps, a micro-batch each; every ninth packet of the first half comes last, after its window closed."""
+    source, path, kept, checkpoint = packets(spark, sf), scratch_path(spark), scratch_path(spark), scratch_path(spark)
     step = source.agg(F.max("pkt_id")).first()[0] // 4 + 1
     late = (F.col("pkt_id") % 9 == 0) & (F.col("pkt_id") < 2 * step)
     steps = [~late & (F.col("pkt_id") >= i * step) & (F.col("pkt_id") < (i + 1) * step) for i in range(4)]
+    sink = partials.partials_sink(spark, kept)
     for part in (*steps, late):
-        source.filter(part).coalesce(1).write.mode("append").parquet(path)
-    kept = scratch_path(spark)
-    stream = read_packets(spark, path, stream=True, maxFilesPerTrigger=1).writeStream
-    stream = stream.foreachBatch(partials.partials_sink(spark, kept)).option("checkpointLocation", scratch_path(spark))
-    stream.trigger(availableNow=True).start().awaitTermination()
+        # As many files as there are tasks; each run of the stream takes what is new in one micro-batch.
+        source.filter(part).write.mode("append").parquet(path)
+        stream = read_packets(spark, path, stream=True).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+        stream.trigger(availableNow=True).start().awaitTermination()
     repaired = partials.repaired_rows(spark, kept).unionByName(partials.open_rows(spark, kept))
     return rounded(repaired, {"inter_arrival_std_ms": 4})
 

@@ -25,6 +25,8 @@ KEYS = [*S.FLOW, "window_id"]
 SUMS = ["packet_count", "byte_count", "syn_ack_count", "half_open_connections", "fin_count", "rst_count", "zero_window_count"]
 #: Windows per partition of the table of partials.
 BLOCK = 64
+#: Files a batch adds to one block at most, however many tasks it has.
+FILES = 4
 
 
 def partials_of(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
@@ -69,6 +71,7 @@ def partials_sink(spark: SparkSession, path: str, size_s: float = 5.0, late_s: f
         before = first_open(session, path, batch_id, size_s, late_s)
         late = F.lit(0) if before is None else (F.col("window_id") < before).cast("int")
         placed = partials_of(batch, size_s).withColumns({"late": late, "block": idiv("window_id", BLOCK)})
+        placed = placed.repartition("late", "block", F.pmod(F.xxhash64(*S.FLOW), F.lit(FILES)))
         placed.write.mode("overwrite").partitionBy("late", "block").parquet(f"{path}/partials/batch_id={batch_id}")
         stored = read_partials(session, path).filter(F.col("batch_id") <= batch_id)
         newest = stored.filter(F.col("batch_id") == batch_id).agg(F.max("last_ns").alias("newest"))

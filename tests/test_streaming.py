@@ -1,5 +1,7 @@
 """Streams over several micro-batches against the batch operators."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,24 @@ def test_replayed_status_batch_is_not_doubled(spark, sf, tmp_path):
         sink(rows, 7)
     assert spark.read.parquet(str(tmp_path / "rows")).count() == rows.count()
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "status")).select("batch_id", "rows").collect()] == [(7, rows.count())]
+
+
+def test_late_query_writes_steps_by_all_tasks(spark, sf, tmp_path, monkeypatch):
+    """A step of several input files is written by as many tasks, and still is one micro-batch."""
+    from checks.query_stream import stream_late_repaired
+
+    for share in spark.read.parquet(f"{sf}/events.parquet").randomSplit([1.0] * 4, 3):
+        share.coalesce(1).write.mode("append").parquet(str(tmp_path / "sf" / "events.parquet"))
+    monkeypatch.setattr("checks.query_stream.scratch_path", lambda _: str(tmp_path / "kept" / uuid.uuid4().hex))
+    assert same(stream_late_repaired(spark, str(tmp_path / "sf")), stream_late_repaired(spark, sf))
+    runs = [p.parent for p in (tmp_path / "kept").rglob("marks")]
+    assert all(sorted(int(p.name[9:]) for p in (run / "partials").glob("batch_id=*")) == [0, 1, 2, 3, 4] for run in runs)
+    written = [len(list(p.glob("part-*.parquet"))) for p in (tmp_path / "kept").iterdir()]
+    assert len(runs) == 2 and max(written) > 5
+
+
+def test_blocks_get_few_files_from_many_tasks(spark, sf, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    partials.partials_sink(spark, str(tmp_path))(table(spark, sf, "packets"), 0)
+    blocks = list((tmp_path / "partials" / "batch_id=0" / "late=0").iterdir())
+    assert blocks and all(len(list(b.glob("*.parquet"))) <= partials.FILES for b in blocks)
