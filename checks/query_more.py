@@ -64,11 +64,11 @@ def _extra(*names: str, **digits: int):
 
 
 def nat_alias(spark, sf):
-    return l7.nat_expand(l7.nat_carry(records(spark, sf))).select(*S.FLOW, "ts_ns", "rec_id", "has_l7")
+    return l7.nat_expand(l7.nat_carry(keep(records(spark, sf)))).select(*S.FLOW, "ts_ns", "rec_id", "has_l7")
 
 
 def nat_carry(spark, sf):
-    return l7.nat_carry(records(spark, sf)).select("rec_id", "src_ip", "dst_ip", "src_xlated", "dst_xlated")
+    return l7.nat_carry(keep(records(spark, sf))).select("rec_id", "src_ip", "dst_ip", "src_xlated", "dst_xlated")
 
 
 def l7_asof(spark, sf):

@@ -78,6 +78,56 @@ def _add_last(df, keys, block, order, values, inclusive, carried) -> DataFrame:
     return out.select(*df.columns, *[F.coalesce(f"_in_{n}", f"_up_{n}").alias(n) for n in values])
 
 
+def remembered(
+    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], ttl: int, lines: Sequence[tuple[Column, dict[str, Column]]]
+) -> DataFrame:
+    """Add, per named value, its last non-null on rows of its line up to and including the row itself.
+
+    A line is the rows of a key that meet a condition.  What it taught is forgotten where it had no row for longer
+    than ``ttl``, counted in the first column of ``order``.  Rows are sorted and stored once; the last row of a block
+    tells what the block leaves to later ones, so what is carried comes from one short row per block.
+    """
+    ts, pos = F.col(order[0]), F.struct(*order)
+    before, here = _spec([*keys, block], order, -1), _spec([*keys, block], order, 0)
+    numbered = list(enumerate(lines))
+    mark = lambda name, d: f"_{name}{d}"
+    last = lambda value: F.last(value, ignorenulls=True)
+    cuts, inside = {}, {}
+    for d, (mine, values) in numbered:
+        pause = ts - last(F.when(mine, ts)).over(before) > ttl
+        cuts[mark("start", d)] = F.when(mine & F.coalesce(pause, ts.isNull()), pos)
+        inside[mark("start", d)] = last(F.col(mark("start", d))).over(here)
+        inside[mark("seen", d)] = last(F.when(mine, ts)).over(here)
+        inside[mark("first", d)] = F.first(F.when(mine, pos), ignorenulls=True).over(here)
+        for name, value in values.items():
+            known = F.when(mine & value.isNotNull(), F.struct(pos.alias("pos"), value.alias("value")))
+            inside[f"_in_{name}"] = last(known).over(here)
+    ending = F.lead(F.lit(1)).over(Window.partitionBy(*keys, block).orderBy(*order)).isNull()
+    stored = keep(df.withColumns(cuts).select(*df.columns, *[c.alias(n) for n, c in inside.items()], ending.alias("_end")))
+    ends = keep(_with_group(stored.filter("_end"), keys, block).select(*keys, "_group", block, *inside))
+
+    def start(d: int) -> Column:
+        """Where the line last began inside the block: after a pause there, or at its first row after one that reaches back."""
+        first, was = F.col(mark("first", d)), F.col(mark("was", d))
+        return F.coalesce(mark("start", d), F.when(first.isNotNull() & F.coalesce(first[order[0]] - was > ttl, F.lit(True)), first))
+
+    seen = _carry(ends, keys, block, [mark("seen", d) for d, _ in numbered])
+    seen = seen.select(*keys, block, *[F.col(mark("seen", d)).alias(mark("was", d)) for d, _ in numbered])
+    ends = keep(ends.join(seen, [*keys, block], "left").withColumns({mark("start", d): start(d) for d, _ in numbered}))
+    names = [*[mark("start", d) for d, _ in numbered], *[n for n in inside if n.startswith("_in_")]]
+    above = _carry(ends, keys, block, names).select(*keys, block, *[F.col(n).alias(f"_up{n}") for n in names])
+    carried = keep(ends.select(*keys, block, *[mark("was", d) for d, _ in numbered]).join(above, [*keys, block]))
+    out = stored.join(carried, [*keys, block], "left")
+    alive = []
+    for d, (_, values) in numbered:
+        live = ts - F.coalesce(mark("seen", d), mark("was", d)) <= ttl
+        began = F.coalesce(start(d), F.col("_up" + mark("start", d)))
+        for name in values:
+            known = F.coalesce(f"_in_{name}", f"_up_in_{name}")
+            alive.append(F.when(live & (known["pos"] >= began), known["value"]).alias(name))
+    return out.select(*df.columns, *alive)
+
+
 def _carry(tails: DataFrame, keys, block: str, names: list[str]) -> DataFrame:
     """Per block: the last non-null value over all earlier blocks of the key."""
     inner = _spec([*keys, "_group"], [block], -1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom import schema as S
-from flowloom.functions.ordered import last_before, split_hot_groups
+from flowloom.functions.ordered import last_before, remembered, split_hot_groups
 from flowloom.functions.scalar import CONVERSATION, endpoint_order, is_ipv4, size_ns, window_id
 from flowloom.functions.sized import keep
 from flowloom.operators.connections import MAX_ROWS
@@ -113,31 +113,16 @@ def nat_carry(l7: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_RO
     """
     ttl = size_ns(ttl_s)
     rows, block = split_hot_groups(l7.withColumns(endpoint_order()), CONVERSATION, ttl_s, max_rows)
-    # Every pass reads its input twice; storing the first keeps the plan from doubling again.
-    rows = keep(last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")}))
-    pos = F.struct(*RECORD)
-    fresh = F.col("_prev_ts").isNull() | (F.col("ts_ns") - F.col("_prev_ts") > ttl)
-    values = {}
-    for d in (0, 1):
-        mine = F.col("dir") == d
-        values[f"_start{d}"] = F.when(mine & fresh, pos)
-        values[f"_seen{d}"] = F.when(mine, F.col("ts_ns"))
-        for side in ("src", "dst"):
-            known = F.struct(pos.alias("pos"), F.col(f"{side}_xlated").alias("ip"))
-            values[f"_{side}{d}"] = F.when(mine & (F.col(f"{side}_xlated") != ""), known)
-    rows = last_before(rows, CONVERSATION, block, RECORD, values, inclusive=True)
-
-    def learned(side: str, d: int) -> Column:
-        live = F.col("ts_ns") - F.col(f"_seen{d}") <= ttl
-        return F.when(live & (F.col(f"_{side}{d}.pos") >= F.col(f"_start{d}")), F.col(f"_{side}{d}.ip"))
-
+    known = lambda side: F.when(F.col(f"{side}_xlated") != "", F.col(f"{side}_xlated"))
+    lines = [(F.col("dir") == d, {f"_{side}{d}": known(side) for side in ("src", "dst")}) for d in (0, 1)]
+    rows = remembered(rows, CONVERSATION, block, RECORD, ttl, lines)
     by_dir = lambda pick: F.when(F.col("dir") == 0, pick(0)).otherwise(pick(1))
     rows = rows.withColumns(
         {
-            "_fs": by_dir(lambda d: learned("src", d)),
-            "_fd": by_dir(lambda d: learned("dst", d)),
-            "_rs": by_dir(lambda d: learned("dst", 1 - d)),
-            "_rd": by_dir(lambda d: learned("src", 1 - d)),
+            "_fs": by_dir(lambda d: F.col(f"_src{d}")),
+            "_fd": by_dir(lambda d: F.col(f"_dst{d}")),
+            "_rs": by_dir(lambda d: F.col(f"_dst{1 - d}")),
+            "_rd": by_dir(lambda d: F.col(f"_src{1 - d}")),
         }
     )
     own = F.col("_fs").isNotNull() | F.col("_fd").isNotNull()
@@ -168,20 +153,13 @@ def merge_l7(l7: DataFrame, ttl_s: float = TTL_S, max_rows: int | None = MAX_ROW
     """
     ttl = size_ns(ttl_s)
     rows, block = split_hot_groups(l7, S.FLOW, ttl_s, max_rows)
-    # Every pass reads its input twice; storing the first keeps the plan from doubling again.
-    rows = keep(last_before(rows, S.FLOW, block, RECORD, {"_prev_ts": F.col("ts_ns")}))
-    pos = F.struct(*RECORD)
-    fresh = F.col("_prev_ts").isNull() | (F.col("ts_ns") - F.col("_prev_ts") > ttl)
-    values = {
-        "_start": F.when(fresh, pos),
-        "_kept": F.when(F.col("has_l7"), F.struct(pos.alias("pos"), F.struct(*PAYLOAD).alias("data"))),
-    }
-    rows = last_before(rows, S.FLOW, block, RECORD, values, inclusive=True)
-    held = F.col("_kept.pos") >= F.col("_start")
+    data = F.when(F.col("has_l7"), F.struct(*PAYLOAD))
+    rows = remembered(rows, S.FLOW, block, RECORD, ttl, [(F.lit(True), {"_kept": data})])
+    held = F.col("_kept").isNotNull()
     return rows.select(
         *S.FLOW,
         *RECORD,
-        *[F.when(held, F.col(f"_kept.data.{n}")).otherwise(F.col(n)).alias(n) for n in PAYLOAD],
+        *[F.when(held, F.col(f"_kept.{n}")).otherwise(F.col(n)).alias(n) for n in PAYLOAD],
         *META,
     )
 

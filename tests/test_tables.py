@@ -195,3 +195,29 @@ def test_time_range(spark):
     late = rows.selectExpr("ts_ns + 1000000000000 AS ts_ns")
     assert packets.time_range(late).count() == 5 and packets.time_range(late, None, 2).count() == 2
     assert packets.time_range(rows.limit(0), None, 2).count() == 0
+
+
+def test_remembered_against_brute_force(spark):
+    """Two lines of one key over many blocks, pauses at, below and above the limit, rows without time or key."""
+    import random
+
+    from flowloom.functions.ordered import remembered, split_hot_groups
+
+    draw, ttl, at, rows = random.Random(5), 3 * 10**9, 0, []
+    for i in range(500):
+        at += draw.choice([0, 1, 10**9, 10**9, 2 * 10**9, ttl, ttl + 1])
+        rows.append((draw.choice("ab"), at, i, draw.randrange(2), draw.choice([None, None, None, f"v{i}"])))
+    rows += [("a", None, 900, 0, "lost"), ("a", None, 901, 0, None), (None, 5, 902, 0, "x"), (None, 6, 903, 0, None)]
+    source = spark.createDataFrame(rows, "k string, ts_ns long, id long, dir int, v string")
+    want = {902: ("x", None), 903: ("x", None), 900: (None, None), 901: (None, None)}
+    for k in "ab":
+        state = {0: (None, None), 1: (None, None)}
+        for _, t, i, d, v in (r for r in rows[:500] if r[0] == k):
+            seen, kept = state[d]
+            state[d] = (t, v or (kept if seen is not None and t - seen <= ttl else None))
+            want[i] = tuple(kept if seen is not None and t - seen <= ttl else None for seen, kept in (state[0], state[1]))
+    lines = [(F.col("dir") == d, {f"v{d}": F.col("v")}) for d in (0, 1)]
+    for max_rows in (None, 5):
+        cut, block = split_hot_groups(source, ["k"], 40.0, max_rows)
+        got = remembered(cut, ["k"], block, ["ts_ns", "id"], ttl, lines).collect()
+        assert block == ("slice_id" if max_rows else "window_id") and {r.id: (r.v0, r.v1) for r in got} == want
