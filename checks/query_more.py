@@ -158,7 +158,8 @@ def newest_run(spark, sf):
     path = scratch_path(spark)
     rows = features(spark, sf)
     sinks.write_features(rows.limit(1), f"{path}/a", "parquet")
-    sinks.write_features(rows.repartition(3), f"{path}/b", "parquet", ["anomaly_label"])
+    parts = rows.repartition(max(3, spark.sparkContext.defaultParallelism))
+    sinks.write_features(parts, f"{path}/b", "parquet", ["anomaly_label"])
     found = readers.read_features(spark, readers.latest_run(spark, path, "parquet"), fmt="parquet")
     return found.agg(F.count("*").alias("rows"), F.sum("packet_count").alias("packets"))
 

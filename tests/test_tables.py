@@ -221,3 +221,12 @@ def test_remembered_against_brute_force(spark):
         cut, block = split_hot_groups(source, ["k"], 40.0, max_rows)
         got = remembered(cut, ["k"], block, ["ts_ns", "id"], ttl, lines).collect()
         assert block == ("slice_id" if max_rows else "window_id") and {r.id: (r.v0, r.v1) for r in got} == want
+
+
+def test_newest_run_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    from checks import query_more
+
+    monkeypatch.setattr(query_more, "features", lambda spark, sf: spark.range(400).selectExpr("id AS packet_count"))
+    monkeypatch.setattr(query_more, "scratch_path", lambda _: str(tmp_path / "runs"))
+    assert tuple(query_more.newest_run(spark, "").first()) == (400, 79_800)
+    assert len(list((tmp_path / "runs" / "b" / "anomaly_label=0").glob("*.parquet"))) > 3
