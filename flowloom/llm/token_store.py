@@ -16,8 +16,9 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,20 @@ def unpack(n_ids: int, n_planes: int, sizes: list[int], payload: bytes) -> np.nd
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
+class Known(dict):
+    """Values by text, each made when it is first asked for; emptied when it holds more than ``limit``."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int) -> None:
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, text: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[text] = self.make(text)
+        return found
+
+
 class Encoder:
     """Ids of whole texts; each distinct word is handed to the tokenizer once.
 
@@ -95,37 +110,29 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.model, self.pieces, self.words, self.cached = self.tokenizer.model, {}, {}, cached
+        self.model, self.pieces, self.words = self.tokenizer.model, Known(self._piece, cached), Known(self._word, cached)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            text = piece if piece.isascii() else "".join(map(self.BYTES.__getitem__, piece.encode()))
-            found = self.pieces[piece] = self._bytes([t.id for t in self.model.tokenize(text)])
-        return found
+        text = piece if piece.isascii() else "".join(map(self.BYTES.__getitem__, piece.encode()))
+        return self._bytes([t.id for t in self.model.tokenize(text)])
 
     def _word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word) and not ("<" in word and any(s in word for s in self.special)):
+        plain = word.isascii()
+        if plain and word.isalpha():
+            return self.pieces[word.lower()]
+        if (word.isprintable() if plain else self.PLAIN.fullmatch(word)) and not ("<" in word and any(s in word for s in self.special)):
             pieces = self.PIECE.findall(word.lower())
-            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+            return b"".join(map(self.pieces.__getitem__, pieces))
         return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> np.ndarray:
         # Python also splits at four control characters that are no white space to the vocabulary.
         words = self.GAP.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        known = self.words
-        if len(known) > self.cached:
-            known.clear()
-        if len(self.pieces) > self.cached:
-            self.pieces.clear()
-        for word in set(words):
-            if word not in known:
-                known[word] = self._word(word)
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
 
 
 @functools.cache

@@ -283,3 +283,14 @@ def test_wrapped_headers_and_whole_licence_files(spark):
         assert got[i]["own"] == name, (i, text[:60])
         if text.startswith(notice) or text.startswith("MIT License") or text == licenses.TEXTS.get(name):
             assert got[100 + i]["licence"] == name, (i, text[:60])
+
+
+def test_encoder_asks_for_a_word_once_and_empties_full_caches():
+    encoder, texts = token_store.Encoder(VOCABULARY, cached=5), ["Alpha beta, GAMMA alpha! 12 x<y", "é É\x1cß delta's", "a b c d e f g h i j a"]
+    for text in texts * 2:
+        assert encoder.encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert len(encoder.words) <= 5 and len(encoder.pieces) <= 5
+    asked, encoder = [], token_store.Encoder(VOCABULARY)
+    plain, encoder.words.make = encoder.words.make, lambda word: asked.append(word) or plain(word)
+    encoder.encode("one two one"), encoder.encode("two three")
+    assert asked == ["one", "two", "three"]
