@@ -52,14 +52,29 @@ def stream_late_repaired(spark, sf):
     return rounded(repaired, {"inter_arrival_std_ms": 4})
 
 
-def fed(spark: SparkSession, rows: DataFrame, number: str, n: int = 5) -> DataFrame:
-    """A stream of ``n`` files of rows in the order of ``number``, one per micro-batch, and of a last row that ends it."""
-    path, rows = scratch_path(spark), keep(rows)
-    step = (rows.agg(F.max(number)).first()[0] or 0) // n + 1
+#: Rows of a step that one file holds, about.
+FILE_ROWS = 100_000
+
+
+def fed(spark: SparkSession, rows: DataFrame, number: str, n: int = 5, file_rows: int = FILE_ROWS) -> DataFrame:
+    """A stream of ``n`` steps of rows in the order of ``number``, one per micro-batch, and of a last row that ends it.
+
+    ``rows`` are read once per step, so they should be stored or cheap to derive.  Every step has the same number of files, by the number of all
+    rows, so that as many tasks write it and a micro-batch is that many files.
+    """
+    path = scratch_path(spark)
+    last, count = rows.agg(F.max(number), F.count(F.lit(1))).first()
+    step, files = (last or 0) // n + 1, count // (n * file_rows) + 1
     for i in range(n):
-        rows.filter((F.col(number) >= i * step) & (F.col(number) < (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+        part = rows.filter((F.col(number) >= i * step) & (F.col(number) < (i + 1) * step))
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
+        if files > 1:
+            # A task without rows writes no file.
+            missing = (i + 1) * files - len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+            for _ in range(missing):
+                rows.limit(0).coalesce(1).write.mode("append").parquet(path)
     end_marker(rows, 120).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def stream_flood_gate(spark, sf):
@@ -67,31 +82,37 @@ def stream_flood_gate(spark, sf):
     return gated.select("pkt_id", "host", "src_ip", "dropped")
 
 
-def l7_told(spark: SparkSession, source: DataFrame, entries: DataFrame) -> DataFrame:
-    return wide.run_closed(l7.stream_matches(source, fed(spark, entries, "rec_id")))
+def l7_told(spark: SparkSession, source: DataFrame, entries: DataFrame, kind: int) -> DataFrame:
+    """What a stream of ``source`` and of stored ``entries`` gives, rows of ``kind``."""
+    return l7.stream_matches(source, fed(spark, entries, "rec_id"), kinds=[kind])
 
 
 def stream_l7_asof(spark, sf):
     """One row per packet, with the entry it sees."""
     source, entries = packets(spark, sf), entries_of(spark, sf)
-    told = l7.packet_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries))
+    told = wide.run_closed(l7.packet_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries, l7.PACKET)))
     return told.select("pkt_id", "matched", *PAYLOAD, *META)
 
 
 def stream_l7_windows(spark, sf):
     """One row per flow window, with the entry it is given."""
     source, entries = packets(spark, sf), entries_of(spark, sf)
-    matched = l7.window_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries))
+    matched = wide.run_closed(l7.window_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries, l7.LATE)))
     return add_entries(flow_features(annotated(spark, sf)).select(*GROUP), matched)
 
 
 def stream_flow_features(spark, sf):
     """The 94 columns from streams of packets and of application entries, five files each."""
-    settings, hosts = Settings(threshold=THRESHOLD), host_windows(spark, sf)
-    closed = wide.run_closed(wide.closed_windows(fed(spark, packets(spark, sf), "pkt_id"), settings))
-    passed = wide.let_through(fed(spark, packets(spark, sf), "pkt_id"), settings).filter("dropped = 0")
-    matched = l7.window_matches(l7_told(spark, passed, entries_of(spark, sf)))
-    return rounded(wide.feature_rows(closed, settings, hosts, matched), {"zero_window_duration": 9, "handshake_latency": 9})
+    settings = Settings(threshold=THRESHOLD)
+    source = fed(spark, packets(spark, sf), "pkt_id")
+    # Windows close while the entries are prepared and matched.
+    with wide.closing(wide.closed_windows(source, settings)) as closed:
+        passed = wide.let_through(source, settings).filter("dropped = 0")
+        matched = l7.window_matches(l7_told(spark, passed, entries_of(spark, sf), l7.LATE))
+        with wide.closing(matched) as told:
+            hosts = keep(host_windows(spark, sf))
+            rows = wide.feature_rows(closed(), settings, hosts, told())
+    return rounded(rows, {"zero_window_duration": 9, "handshake_latency": 9})
 
 
 def stream_conn_track(spark, sf):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,8 +103,9 @@ def stream_flow_core(packets: DataFrame, size_s: float = 5.0) -> DataFrame:
     return core_rows(grouped.withColumn("window_id", window), size_s)
 
 
-def run_available(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Process everything available, then stop; returns the written Parquet table.
+@contextmanager
+def started(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> Iterator[Callable[[], DataFrame]]:
+    """Process everything available while the block goes on; a call of what is yielded waits for the written Parquet table.
 
     Folders not given are made in the session's checkpoint folder.
     """
@@ -118,8 +121,21 @@ def run_available(stream: DataFrame, path: str | None = None, checkpoint: str |
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+
+    def written() -> DataFrame:
+        query.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(path)
+
+    try:
+        yield written
+    finally:
+        query.stop()
+
+
+def run_available(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Process everything available, then stop; returns the written Parquet table."""
+    with started(stream, path, checkpoint) as written:
+        return written()
 
 
 def flush_open_windows(emitted: DataFrame, packets: DataFrame, size_s: float = 5.0) -> DataFrame:

@@ -51,18 +51,30 @@ def stamp(ms: int):
     return pd.Timestamp(ms, unit="ms")
 
 
-def pack(pdf, schema: pa.Schema) -> bytes:
-    """Rows without a schema; :func:`unpack` is given it again."""
-    return pa.RecordBatch.from_pandas(pdf, schema=schema, preserve_index=False).serialize().to_pybytes()
+def pack(rows, schema: pa.Schema) -> bytes:
+    """Rows, of pandas or Arrow, without a schema; :func:`unpack` is given it again.  The first eight bytes are the length before compression."""
+    if isinstance(rows, pa.Table):
+        rows = rows.combine_chunks().to_batches()[0]
+    batch = rows if isinstance(rows, pa.RecordBatch) else pa.RecordBatch.from_pandas(rows, schema=schema, preserve_index=False)
+    plain = batch.serialize()
+    return plain.size.to_bytes(8, "little") + pa.compress(plain, codec="lz4", asbytes=True)
 
 
-def unpack(blobs: Iterable[bytes], schema: pa.Schema):
+def unpack_table(blobs: Iterable[bytes], schema: pa.Schema) -> pa.Table:
+    """The rows of all ``blobs``, each column in one piece."""
+    plain = (pa.decompress(memoryview(b)[8:], int.from_bytes(b[:8], "little"), codec="lz4") for b in blobs)
+    return pa.Table.from_batches([pa.ipc.read_record_batch(p, schema) for p in plain], schema).combine_chunks()
+
+
+def as_pandas(table: pa.Table):
+    """Rows as pandas, whole numbers with nulls."""
     import pandas as pd
 
-    parts = [pa.ipc.read_record_batch(pa.py_buffer(b), schema) for b in blobs]
-    if not parts:
-        return pd.DataFrame(columns=schema.names)
-    return pa.Table.from_batches(parts, schema).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
+    return table.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
+
+
+def unpack(blobs: Iterable[bytes], schema: pa.Schema):
+    return as_pandas(unpack_table(blobs, schema))
 
 
 @contextmanager

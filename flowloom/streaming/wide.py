@@ -15,9 +15,11 @@ passed; with ``idle_s`` conversations leave after that time without packets, wit
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,8 @@ from flowloom.operators.host import join_host
 from flowloom.operators.l7 import add_entries
 from flowloom.operators.report import SHOWN
 from flowloom.plans.pipeline import Settings, labelled, union_features
-from flowloom.streaming.flows import run_available
-from flowloom.streaming.keyed import END, SHIFT_MS, arrow_schema, done_by, due_ms, pack, stamp, state_store, timed, unpack
+from flowloom.streaming.flows import started
+from flowloom.streaming.keyed import END, SHIFT_MS, arrow_schema, as_pandas, done_by, due_ms, pack, stamp, state_store, timed, unpack, unpack_table
 
 #: Packets that a gated conversation needs, in both directions.
 _MEASURES = [
@@ -73,6 +75,10 @@ def _frame(rows: list[dict], schema: T.StructType):
 
 #: Rate windows that the gate's state holds as one value.
 SPAN = 64
+#: Rows that a processor gives out at once.
+MOST_ROWS = 5000
+#: Packets of a batch that the gate gathers before it puts them to those that wait.
+MOST_HELD = 100_000
 
 
 class Gate(StatefulProcessor):
@@ -97,14 +103,33 @@ class Gate(StatefulProcessor):
         shifted = pd.to_datetime(-(-ends // 1_000_000) + SHIFT_MS, unit="ms") if at is None else stamp(at)
         return pdf.assign(dropped=dropped, first=first, at=shifted)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
+    def _ordered(self, batches: list[pa.RecordBatch]) -> pa.Table:
+        rows = pa.Table.from_batches(batches, self.schema).combine_chunks()
+        ts, number = (rows[c].to_numpy() for c in S.ORDER)
+        return rows.take(pa.array(np.lexsort((number, ts)))) if len(rows) > 1 else rows
+
+    def _kept(self, batches: list[pa.RecordBatch]) -> Iterator:
+        """Put packets to those that wait, a span at a time; yields those beyond what a bucket may hold."""
+        rows = self._ordered(batches)
+        spans = rows["ts_ns"].to_numpy() // (self.win * SPAN)
+        distinct, begins = np.unique(spans, return_index=True)
+        for span, begin, end in zip(distinct.tolist(), begins.tolist(), [*begins[1:].tolist(), len(rows)], strict=True):
+            part, before = rows.slice(begin, end - begin), self.waiting.getValue((span,))
+            if before:
+                part = self._ordered([*unpack_table([before[0]], self.schema).to_batches(), *part.to_batches()])
+            buckets = part["ts_ns"].to_numpy() // self.win
+            over = np.arange(len(buckets)) - np.searchsorted(buckets, buckets) >= 2 * self.threshold
+            if over.any():
+                yield self._marked(as_pandas(part.filter(pa.array(over))), 1)
+                part = part.filter(pa.array(~over))
+            self.waiting.updateValue((span,), (pack(part, self.schema),))
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
         held = self.rate.get() if self.rate.exists() else None
         blocked = held is not None and held[2] is not None
-        soonest = None
+        soonest, batches = None, []
         for pdf in rows:
-            pdf = pdf.loc[pdf["pkt_id"] != END, self.schema.names]
+            pdf = pdf.loc[(pdf["pkt_id"] != END) & pdf["ts_ns"].notna(), self.schema.names]
             if not len(pdf):
                 continue
             if blocked:
@@ -112,50 +137,60 @@ class Gate(StatefulProcessor):
                 continue
             bucket = int(pdf["ts_ns"].min()) // self.win
             soonest = bucket if soonest is None else min(soonest, bucket)
-            for span, part in pdf.groupby(pdf["ts_ns"] // (self.win * SPAN)):
-                before = self.waiting.getValue((int(span),))
-                if before:
-                    part = pd.concat([unpack([before[0]], self.schema), part])
-                part = part.sort_values(S.ORDER, kind="stable")
-                buckets = part["ts_ns"].to_numpy(np.int64) // self.win
-                over = np.arange(len(buckets)) - np.searchsorted(buckets, buckets) >= 2 * self.threshold
-                if over.any():
-                    yield self._marked(part[over], 1)
-                    part = part[~over]
-                self.waiting.updateValue((int(span),), (pack(part, self.schema),))
+            batches.append(pa.RecordBatch.from_pandas(pdf, schema=self.schema, preserve_index=False))
+            if sum(map(len, batches)) >= MOST_HELD:
+                yield from self._kept(batches)
+                batches = []
+        if batches:
+            yield from self._kept(batches)
         if soonest is not None:
             self.handle.registerTimer(due_ms((soonest + 1) * self.win))
 
+    def _judged(self, parts: list[pa.Table], rate: tuple, at: int) -> tuple:
+        """The rate after packets in order, and the packets with what becomes of them."""
+        reset, n, block_ts, block_id = rate
+        pdf = as_pandas(pa.concat_tables(parts))
+        ts = pdf["ts_ns"].to_numpy(np.int64)
+        place, drop_from, first = 0, len(ts) if block_ts is None else 0, -1
+        while block_ts is None and place < len(ts):
+            if reset is None or ts[place] - reset > self.win:
+                reset, n = int(ts[place]), 0
+            end = int(np.searchsorted(ts, reset + self.win, side="right"))
+            if n + end - place > self.threshold:
+                first = drop_from = place + self.threshold - n
+                n, block_ts, block_id = self.threshold, int(ts[first]), int(pdf["pkt_id"].iloc[first])
+                break
+            n, place = n + end - place, end
+        places = np.arange(len(ts))
+        out = self._marked(pdf, (places >= drop_from).astype("int32"), (places == first).astype("int32"), at)
+        return (reset, n, block_ts, block_id), out
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         now = done_by(timerValues, expiredTimerInfo)
-        reset, n, block_ts, block_id = self.rate.get() if self.rate.exists() else (None, 0, None, None)
+        rate = self.rate.get() if self.rate.exists() else (None, 0, None, None)
         # Buckets before this one are over.
         known = (now - SHIFT_MS) * 1_000_000 // self.win
+        parts = []
         for span in sorted(k for (k,) in self.waiting.keys()):
-            pdf = unpack([self.waiting.getValue((span,))[0]], self.schema)
-            ts = pdf["ts_ns"].to_numpy(np.int64)
+            rows = unpack_table([self.waiting.getValue((span,))[0]], self.schema)
+            ts = rows["ts_ns"].to_numpy()
             cut = int(np.searchsorted(ts, known * self.win))
-            if cut == 0:
-                self.handle.registerTimer(due_ms((int(ts[0]) // self.win + 1) * self.win))
+            if cut:
+                parts.append(rows.slice(0, cut))
+            if cut < len(ts):
+                if cut:
+                    self.waiting.updateValue((span,), (pack(rows.slice(cut), self.schema),))
+                self.handle.registerTimer(due_ms((int(ts[cut]) // self.win + 1) * self.win))
                 break
-            pdf, left, ts = pdf.iloc[:cut], pdf.iloc[cut:], ts[:cut]
-            if len(left):
-                self.waiting.updateValue((span,), (pack(left, self.schema),))
-                self.handle.registerTimer(due_ms((int(left["ts_ns"].iloc[0]) // self.win + 1) * self.win))
-            else:
-                self.waiting.removeKey((span,))
-            at, drop_from, first = 0, len(ts) if block_ts is None else 0, -1
-            while block_ts is None and at < len(ts):
-                if reset is None or ts[at] - reset > self.win:
-                    reset, n = int(ts[at]), 0
-                end = int(np.searchsorted(ts, reset + self.win, side="right"))
-                if n + end - at > self.threshold:
-                    first = drop_from = at + self.threshold - n
-                    n, block_ts, block_id = self.threshold, int(ts[first]), int(pdf["pkt_id"].iloc[first])
-                    break
-                n, at = n + end - at, end
-            place = np.arange(len(ts))
-            yield self._marked(pdf, (place >= drop_from).astype("int32"), (place == first).astype("int32"), now + 1)
+            self.waiting.removeKey((span,))
+            if sum(map(len, parts)) >= MOST_ROWS:
+                rate, out = self._judged(parts, rate, now + 1)
+                yield out
+                parts = []
+        if parts:
+            rate, out = self._judged(parts, rate, now + 1)
+            yield out
+        reset, n, block_ts, block_id = rate
         # When the bucket in which the rate window ends is judged, a packet still to come opens a new one whatever is known.
         over = None if reset is None else due_ms((reset // self.win + 2) * self.win)
         if block_ts is None and over is not None and over <= now:
@@ -262,10 +297,6 @@ def dns_waits(asked: np.ndarray, answered: np.ndarray, most_ns: int) -> dict:
     return {"dns_query_latency_ms": mean / 1e6, "dns_query_latency_p95": p95 / 1e6}
 
 
-#: Rows that a processor gives out at once.
-MOST_ROWS = 5000
-
-
 class FlowWindows(StatefulProcessor):
     """Closed windows of both directions of a conversation; rows of blocking packets pass at once."""
 
@@ -546,7 +577,16 @@ def features_sink(path: str, settings: Settings = Settings(), hosts: DataFrame |
     return write
 
 
+@contextmanager
+def closing(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> Iterator[Callable[[], DataFrame]]:
+    """:func:`flowloom.streaming.flows.started` with the state store the processors need."""
+    with ExitStack() as open_while:
+        with state_store(stream.sparkSession):
+            written = open_while.enter_context(started(stream, path, checkpoint))
+        yield written
+
+
 def run_closed(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process everything available with the state store the processors need; the written table."""
-    with state_store(stream.sparkSession):
-        return run_available(stream, path, checkpoint)
+    with closing(stream, path, checkpoint) as written:
+        return written()
