@@ -97,8 +97,9 @@ def stream_l7_asof(spark, sf):
 def stream_l7_windows(spark, sf):
     """One row per flow window, with the entry it is given."""
     source, entries = packets(spark, sf), entries_of(spark, sf)
-    matched = wide.run_closed(l7.window_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries, l7.LATE)))
-    return add_entries(flow_features(annotated(spark, sf)).select(*GROUP), matched)
+    with wide.closing(l7.window_matches(l7_told(spark, fed(spark, source, "pkt_id"), entries, l7.LATE))) as matched:
+        windows = keep(flow_features(annotated(spark, sf)).select(*GROUP))
+        return add_entries(windows, matched())
 
 
 def stream_flow_features(spark, sf):
